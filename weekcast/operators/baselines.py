@@ -163,7 +163,8 @@ def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
         cold = (extra_pairs.select(*keys).distinct().join(st.select(*keys), keys, "left_anti")
                 .crossJoin(F.broadcast(weekly.agg(F.max(wc).alias("last_week")))))
         if category_col in st.columns and category_col in extra_pairs.columns:
-            cold = cold.join(extra_pairs.select(*keys, category_col), keys, "left")
+            cats = extra_pairs.groupBy(*keys).agg(F.min(category_col).alias(category_col))
+            cold = cold.join(cats, keys, "left")
         st = st.unionByName(cold.withColumns({"_recent": F.lit(1), "_n_obs": F.lit(0).cast("long")}),
                             allowMissingColumns=True)
     by_cat, by_prod, glob = backoff_means(weekly, cfg, category_col)

@@ -41,17 +41,18 @@ def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConf
     """Delivery rows (week_no, store_id, product_id, quantity) for the target month.
 
     ``only_active`` keeps pairs sold in the ``active_window`` weeks before the
-    target month.  It is applied before forecasting (a semi join on the pair
-    keys); the smart baseline's product and global means still use every pair.
+    target month (a semi join on the pair keys, after the weeks are numbered);
+    the smart baseline's product and global means still use every pair.
     """
     keys, wc = cfg.keys, cfg.week_col
     fc = forecast(weekly, baseline, cfg, cfg.horizon, alpha)
     pred = f"pred_{baseline.lower()}"
-    if only_active:
-        start = active_start or cfg.target_start
-        fc = fc.join(active_pairs(weekly, start, active_window, cfg), keys, "left_semi")
     wk = F.col(wc)
     fc = fc.where((wk >= F.lit(cfg.target_start)) & (wk < F.lit(cfg.target_end)))
+    # weeks are numbered over all pairs, before the active filter
     fc = fc.join(F.broadcast(month_weeks(fc, cfg)), wc)
+    if only_active:
+        start = active_start or cfg.target_start
+        fc = fc.join(active_pairs(weekly, start, active_window, cfg), keys, "left_semi")
     return fc.select(F.col("week_no"), export_id(F.col(keys[0])).alias(keys[0]),
                      export_id(F.col(keys[1])).alias(keys[1]), export_quantity(pred).alias("quantity"))
