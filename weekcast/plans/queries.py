@@ -285,3 +285,203 @@ WHERE week_start >= DATE '2001-01-01' - INTERVAL 21 DAY AND week_start < DATE '2
 def q_active_pairs(spark, d):
     """Pairs sold in the 3 weeks before the target month (the delivery recipe's window)."""
     return active_pairs(f1_panel(spark, d), DEFAULT.target_start, 3)
+
+
+# ------------------------------------------------------------- quality
+from weekcast.operators import quality as qa  # noqa: E402
+from weekcast.plans.sqlparts import (SQL_SALES_DIRTY, SQL_SALES_DIRTY_TYPED, SQL_STORES_ORPHANS,  # noqa: E402
+                                     weekly_sql, panel_grid_sql)
+from weekcast.sources.normalize import consolidate_schema, canonical_rename, standardize_columns  # noqa: E402
+
+DEDUP_SUBSET = ["store_id", "product_id", "txn_date", "gross_value", "quantity"]
+TYPED_DOUBLES = ("quantity",) + MONEY
+YEAR_START, YEAR_END = fx.F1_START, fx.dt.date(2000, 12, 31)
+
+
+def f3_typed(spark, d):
+    return consolidate_schema(fx.sales_dirty(spark, d))
+
+
+@query("normalize_schema", """
+SELECT internal_store_id AS store_id, internal_product_id AS product_id, transaction_date AS txn_date, quantity
+FROM (""" + SQL_SALES_DIRTY + ") d")
+def q_normalize_schema(spark, d):
+    """Names stripped and lower-cased, then renamed (N1, N2); values untouched."""
+    df = canonical_rename(standardize_columns(fx.sales_dirty(spark, d)))
+    return df.select("store_id", "product_id", "txn_date", "quantity")
+
+
+@query("coerce_types", r6(SQL_SALES_DIRTY_TYPED, TYPED_DOUBLES))
+def q_coerce_types(spark, d):
+    """Ids, dates and measures parsed with try-casts; bad text becomes null."""
+    return r6df(f3_typed(spark, d))
+
+
+@query("date_range_audit", f"""
+SELECT min(txn_date) AS min_date, max(txn_date) AS max_date, count(*) AS rows,
+       count(*) FILTER (WHERE txn_date >= DATE '2000-01-01' AND txn_date < DATE '2001-01-01') AS rows_in_range,
+       count(*) FILTER (WHERE NOT COALESCE(txn_date >= DATE '2000-01-01' AND txn_date < DATE '2001-01-01', FALSE)) AS rows_dropped
+FROM ({SQL_SALES_DIRTY_TYPED}) t""")
+def q_date_range_audit(spark, d):
+    return qa.date_range_audit(f3_typed(spark, d), "txn_date", YEAR_START, YEAR_END)
+
+
+_DEDUP_SQL = f"""
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY store_id, product_id, txn_date, gross_value, quantity
+                               ORDER BY net_value NULLS FIRST, gross_profit NULLS FIRST, discount NULLS FIRST,
+                                        taxes NULLS FIRST) AS _rn
+  FROM ({SQL_SALES_DIRTY_TYPED}) t) x WHERE _rn = 1"""
+
+
+@query("dedup_sales", r6(_DEDUP_SQL, TYPED_DOUBLES))
+def q_dedup_sales(spark, d):
+    """Subset de-duplication of the typed dirty sales, all dates."""
+    return r6df(qa.dedup(f3_typed(spark, d), DEDUP_SUBSET))
+
+
+@query("dedup_counts", f"""
+SELECT b.n AS rows_before, a.n AS rows_after, b.n - a.n AS removed
+FROM (SELECT count(*) AS n FROM ({SQL_SALES_DIRTY_TYPED}) t) b, (SELECT count(*) AS n FROM ({_DEDUP_SQL}) u) a""")
+def q_dedup_counts(spark, d):
+    t = f3_typed(spark, d)
+    return qa.dedup_counts(t, qa.dedup(t, DEDUP_SUBSET))
+
+
+_CLEAN_SALES_SQL = f"""
+SELECT * FROM ({_DEDUP_SQL}) x
+WHERE txn_date >= DATE '2000-01-01' AND txn_date < DATE '2001-01-01'"""
+
+
+@query("clean_weekly", r6(with_ctes([("sales", _CLEAN_SALES_SQL), ("weekly", weekly_sql("sales"))],
+                                    "SELECT * FROM weekly"), WEEKLY_DOUBLES))
+def q_clean_weekly(spark, d):
+    """Dirty sales -> types -> year filter -> dedup -> weekly aggregate (U6 cleaning path)."""
+    t = qa.date_range_filter(f3_typed(spark, d), "txn_date", YEAR_START, YEAR_END)
+    return r6df(weekly_sales(qa.dedup(t, DEDUP_SUBSET)))
+
+
+@query("profile", f"""
+SELECT min(txn_date) AS min_date, max(txn_date) AS max_date, count(*) AS rows,
+       count(DISTINCT store_id) AS distinct_stores, count(DISTINCT product_id) AS distinct_products,
+       count(*) FILTER (WHERE store_id IS NULL) AS nulls_store_id,
+       count(*) FILTER (WHERE product_id IS NULL) AS nulls_product_id,
+       count(*) FILTER (WHERE txn_date IS NULL) AS nulls_txn_date,
+       count(*) FILTER (WHERE quantity IS NULL) AS nulls_quantity,
+       count(*) FILTER (WHERE gross_value IS NULL) AS nulls_gross_value,
+       count(*) FILTER (WHERE net_value IS NULL) AS nulls_net_value,
+       count(*) FILTER (WHERE gross_profit IS NULL) AS nulls_gross_profit,
+       count(*) FILTER (WHERE discount IS NULL) AS nulls_discount,
+       count(*) FILTER (WHERE taxes IS NULL) AS nulls_taxes
+FROM ({SQL_SALES_DIRTY_TYPED}) t""")
+def q_profile(spark, d):
+    return qa.profile(f3_typed(spark, d))
+
+
+# ------------------------------------------------------- registers (J1-J4, O)
+STORE_ATTRS = ("premise", "store_category", "zipcode")
+
+
+@query("enrich_left", r6(f"""
+SELECT s.*, r.premise, r.store_category, r.zipcode
+FROM ({SQL_SALES_CLEAN}) s LEFT JOIN ({SQL_STORES_ORPHANS}) r USING (store_id)""", ("quantity",) + MONEY))
+def q_enrich_left(spark, d):
+    return r6df(qa.enrich(f1_sales(spark, d), fx.stores_register(spark, d, with_orphans=True), how="left"))
+
+
+@query("consolidate", r6(f"""
+SELECT s.*, r.premise, r.store_category, r.zipcode
+FROM ({SQL_SALES_CLEAN}) s JOIN ({SQL_STORES_ORPHANS}) r USING (store_id)""", ("quantity",) + MONEY))
+def q_consolidate(spark, d):
+    return r6df(qa.enrich(f1_sales(spark, d), fx.stores_register(spark, d, with_orphans=True), how="inner"))
+
+
+@query("orphan_stores", f"""
+SELECT DISTINCT store_id FROM ({SQL_SALES_CLEAN}) s
+WHERE store_id IS NOT NULL AND store_id NOT IN (SELECT store_id FROM ({SQL_STORES_ORPHANS}) r)""")
+def q_orphan_stores(spark, d):
+    return qa.orphan_keys(f1_sales(spark, d), fx.stores_register(spark, d, with_orphans=True))
+
+
+@query("orphan_impact", r6(f"""
+WITH s AS ({SQL_SALES_CLEAN}), r AS ({SQL_STORES_ORPHANS}),
+f AS (SELECT s.*, (s.store_id IS NOT NULL AND s.store_id NOT IN (SELECT store_id FROM r)) AS o FROM s)
+SELECT count(DISTINCT store_id) FILTER (WHERE o) AS orphan_keys,
+       COALESCE(sum(quantity) FILTER (WHERE o), 0) AS orphan_units, COALESCE(sum(quantity), 0) AS total_units,
+       count(*) FILTER (WHERE o) AS orphan_rows, count(*) AS total_rows,
+       100.0 * COALESCE(sum(quantity) FILTER (WHERE o), 0) / sum(quantity) AS pct_units,
+       100.0 * count(*) FILTER (WHERE o) / count(*) AS pct_rows
+FROM f""", ("orphan_units", "total_units", "pct_units", "pct_rows")))
+def q_orphan_impact(spark, d):
+    return r6df(qa.orphan_impact(f1_sales(spark, d), fx.stores_register(spark, d, with_orphans=True)))
+
+
+@query("key_set_audit", f"""
+SELECT (SELECT count(DISTINCT store_id) FROM ({SQL_SALES_CLEAN}) s) AS keys_in_sales,
+       (SELECT count(DISTINCT store_id) FROM ({SQL_STORES_ORPHANS}) r) AS keys_in_register,
+       (SELECT count(*) FROM (SELECT DISTINCT store_id FROM ({SQL_SALES_CLEAN}) s WHERE store_id IS NOT NULL
+                              EXCEPT SELECT store_id FROM ({SQL_STORES_ORPHANS}) r) x) AS keys_without_register""")
+def q_key_set_audit(spark, d):
+    return qa.key_set_audit(f1_sales(spark, d), fx.stores_register(spark, d, with_orphans=True))
+
+
+@query("union_parts", r6(f"SELECT * FROM ({SQL_SALES_CLEAN}) s", ("quantity",) + MONEY))
+def q_union_parts(spark, d):
+    """The year read as two date partitions and concatenated (O1)."""
+    mid = fx.dt.date(2000, 7, 1)
+    first = fx.sales_clean(spark, d, fx.F1_START, mid)
+    second = fx.sales_clean(spark, d, mid, fx.F1_END)
+    return r6df(first.unionByName(second))
+
+
+@query("store_attrs", f"""
+SELECT store_id, m.premise, m.store_category, m.zipcode FROM (
+SELECT store_id, min(struct_pack(premise := premise, store_category := store_category, zipcode := zipcode)) AS m
+FROM ({SQL_SALES_CLEAN}) s JOIN ({SQL_STORES}) r USING (store_id) GROUP BY store_id) x""")
+def q_store_attrs(spark, d):
+    """One attribute row per store from the consolidated set."""
+    cons = fx.consolidated_clean(spark, d)
+    return qa.first_per_key(cons, "store_id", list(STORE_ATTRS))
+
+
+@query("table_shapes", """
+SELECT 'lineitem' AS table_name, count(*) AS rows, 11::BIGINT AS n_columns,
+       'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate' AS columns FROM lineitem
+UNION ALL SELECT 'part', count(*), 6, 'p_partkey,p_name,p_brand,p_type,p_size,p_retailprice' FROM part
+UNION ALL SELECT 'supplier', count(*), 4, 's_suppkey,s_name,s_nationkey,s_acctbal' FROM supplier""")
+def q_table_shapes(spark, d):
+    """Per input file: rows, column count and names."""
+    from weekcast.sources.readers import read_table
+    return qa.table_shapes({t: read_table(spark, d, t) for t in ("lineitem", "part", "supplier")})
+
+
+@query("sample_10pct")
+def q_sample_10pct(spark, d):
+    """10 % Bernoulli sample of the consolidated set, seed 42 (S7; rows-only check)."""
+    return r6df(qa.sample_rows(fx.consolidated_clean(spark, d), 0.1, 42))
+
+
+# ------------------------------------------------------------- splits
+@query("temporal_split", r6(with_ctes(base_ctes(), """
+SELECT CASE WHEN week_start < DATE '2000-12-04' THEN 'train' ELSE 'valid' END AS split,
+       count(*) AS rows, sum(qty) AS qty, min(week_start) AS first_week, max(week_start) AS last_week
+FROM panel GROUP BY 1"""), ("qty",)))
+def q_temporal_split(spark, d):
+    p = f1_panel(spark, d)
+    lab = F.when(F.col("week_start") < F.lit(DEFAULT.cutoff), "train").otherwise("valid")
+    return r6df(p.groupBy(lab.alias("split")).agg(F.count(F.lit(1)).alias("rows"), F.sum("qty").alias("qty"),
+                                                  F.min("week_start").alias("first_week"),
+                                                  F.max("week_start").alias("last_week")))
+
+
+@query("split_counts", with_ctes(base_ctes(), """
+SELECT count(*) FILTER (WHERE week_start < DATE '2000-12-04') AS rows_train,
+       count(*) FILTER (WHERE week_start >= DATE '2000-12-04') AS rows_valid,
+       count(*) FILTER (WHERE week_start >= DATE '2000-12-04' AND week_start < DATE '2001-01-01') AS rows_valid_window,
+       count(*) AS rows_total FROM panel"""))
+def q_split_counts(spark, d):
+    p, wk = f1_panel(spark, d), F.col("week_start")
+    return p.agg(F.count_if(wk < F.lit(DEFAULT.cutoff)).alias("rows_train"),
+                 F.count_if(wk >= F.lit(DEFAULT.cutoff)).alias("rows_valid"),
+                 F.count_if((wk >= F.lit(DEFAULT.cutoff)) & (wk < F.lit(DEFAULT.valid_end))).alias("rows_valid_window"),
+                 F.count(F.lit(1)).alias("rows_total"))
