@@ -122,3 +122,19 @@ def panel(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, span: str = "local")
     if span == "grid":
         return panel_grid(weekly, cfg)
     raise ValueError(f"unknown panel span: {span}")
+
+
+def enrich_panel(panel_df: DataFrame, stores: DataFrame | None, products: DataFrame | None,
+                 cfg: ForecastConfig = DEFAULT) -> DataFrame:
+    """Left joins of register attributes onto the panel.
+
+    Registers are dimension tables; Spark broadcasts them when their size is
+    under the broadcast threshold (checked by AQE at run time) and shuffles
+    otherwise, so no unchecked broadcast is forced here.
+    """
+    out = panel_df
+    if stores is not None:
+        out = out.join(stores, cfg.store_col, "left")
+    if products is not None:
+        out = out.join(products, cfg.product_col, "left")
+    return out

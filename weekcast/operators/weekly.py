@@ -17,12 +17,12 @@ MONEY_COLUMNS = ("gross_value", "net_value", "gross_profit", "discount", "taxes"
 WEEKLY_MEASURES = ("qty", "qty_return") + MONEY_COLUMNS + ("n_tx",)
 
 
-def weekly_sales(sales: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def weekly_sales(sales: DataFrame, cfg: ForecastConfig = DEFAULT, money_scale: int = 6) -> DataFrame:
     """(store, product, week) -> units, returns, money sums and transaction count.
 
     Rows with a null store, product or date are dropped, as a pandas groupby
     drops null keys.  Sums of all-null groups are 0; ``n_tx`` counts rows with
-    a date.
+    a date.  Money columns are summed exactly at ``money_scale`` decimals.
     """
     keys = cfg.keys
     split = returns_split(F.col("quantity"), null_as_zero=True)
@@ -34,6 +34,10 @@ def weekly_sales(sales: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
                     *money, F.col(cfg.date_col)))
     aggs = [F.coalesce(F.sum("_q"), F.lit(0.0)).alias(cfg.target_col),
             F.coalesce(F.sum("_r"), F.lit(0.0)).alias("qty_return")]
-    aggs += [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in money]
+    # Money sums are exact: each value is cast to DECIMAL(18, money_scale) and
+    # summed in decimal, so the total does not depend on the order in which
+    # partial sums meet (doubles would), then it is returned as a double.
+    dec = f"decimal(18,{int(money_scale)})"
+    aggs += [F.coalesce(F.sum(F.col(c).cast(dec)).cast("double"), F.lit(0.0)).alias(c) for c in money]
     aggs += [F.count(cfg.date_col).alias("n_tx")]
     return base.groupBy(*keys, cfg.week_col).agg(*aggs)

@@ -35,9 +35,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def round6(c) -> F.Column:
+    """round(x * 1e6) / 1e6 on the binary double: the same arithmetic as the
+    oracle's ``round(x, 6)``, so ties at the 7th decimal break alike."""
+    return F.round(F.col(c) * F.lit(1e6), 0) / F.lit(1e6)
+
+
 def r6df(df: DataFrame) -> DataFrame:
     """Round every double column to 6 places (same rule as the oracle SQL)."""
-    cols = [F.round(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    cols = [round6(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)
 
@@ -485,3 +491,154 @@ def q_split_counts(spark, d):
                  F.count_if(wk >= F.lit(DEFAULT.cutoff)).alias("rows_valid"),
                  F.count_if((wk >= F.lit(DEFAULT.cutoff)) & (wk < F.lit(DEFAULT.valid_end))).alias("rows_valid_window"),
                  F.count(F.lit(1)).alias("rows_total"))
+
+
+# ------------------------------------------------------------- features (W, X)
+from weekcast.functions.dates import calendar_columns  # noqa: E402
+from weekcast.operators import features as ft  # noqa: E402
+from weekcast.plans import oracle_features as ofe  # noqa: E402
+from weekcast.plans.sqlparts import SQL_HOLIDAYS, SQL_PRODUCTS  # noqa: E402
+
+PK = ["store_id", "product_id", "week_start"]
+
+
+def f1_pair_features(spark, d):
+    return ft.add_pair_features(f1_panel(spark, d), DEFAULT)
+
+
+def _feat_query(name: str, cols: tuple[str, ...], dbl: tuple[str, ...]):
+    sql = r6(with_ctes(base_ctes() + ofe.pair_features_sql("panel"),
+                       f"SELECT store_id, product_id, week_start, {', '.join(cols)} FROM feat"), dbl)
+
+    def run(spark, d):
+        return r6df(f1_pair_features(spark, d).select(*PK, *cols))
+    run.__doc__ = f"Pair window features {', '.join(cols)}."
+    query(name, sql)(run)
+
+
+_LAGS = tuple(f"lag_qty_{L}" for L in (1, 2, 3, 4, 8, 12, 26))
+_feat_query("feat_lags", _LAGS, _LAGS)
+_feat_query("feat_ma", ("ma_qty_4", "ma_qty_12"), ("ma_qty_4", "ma_qty_12"))
+_feat_query("feat_std", ("std_qty_4", "std_qty_12"), ("std_qty_4", "std_qty_12"))
+_feat_query("feat_diff_ratio", ("diff_qty_1", "ratio_qty_12"), ("diff_qty_1", "ratio_qty_12"))
+_feat_query("feat_price", ("price_u", "price_u_ma8"), ("price_u", "price_u_ma8"))
+_feat_query("feat_active_share", ("active_share_8", "active_share_13", "active_share_26"),
+            ("active_share_8", "active_share_13", "active_share_26"))
+_feat_query("feat_recency", ("weeks_since_last_sale", "weeks_since_prev_sale", "n_tx_lag1"), ())
+_feat_query("feat_first_sale", ("weeks_since_first_sale", "weeks_since_first_sale_ascoded"), ())
+_feat_query("feat_zero_streak", ("zero_streak",), ())
+
+
+@query("feat_calendar", with_ctes(base_ctes(), ofe.CALENDAR_SQL))
+def q_feat_calendar(spark, d):
+    return f1_panel(spark, d).select(*PK, *[v.alias(k) for k, v in calendar_columns("week_start").items()])
+
+
+@query("feat_expanding_causal", r6(with_ctes(base_ctes(), ofe.level_causal_sql("panel")),
+                                   ("avg_qty_store", "avg_qty_product")))
+def q_feat_expanding_causal(spark, d):
+    """Rows and mean qty of the store / product in all earlier weeks (W9, W10 causal)."""
+    out = ft.add_level_encodings(f1_panel(spark, d), DEFAULT)
+    return r6df(out.select(*PK, "freq_store", "avg_qty_store", "freq_product", "avg_qty_product"))
+
+
+@query("feat_expanding_asis", r6(with_ctes(base_ctes(), f"SELECT store_id, product_id, week_start, avg_qty_store, "
+                                                       f"avg_qty_product FROM ({ofe.level_ascoded_sql('panel')}) x"),
+                                 ("avg_qty_store", "avg_qty_product")))
+def q_feat_expanding_asis(spark, d):
+    """Expanding means in the reference's (product, week) / (store, week) order (W10, trap R6)."""
+    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), DEFAULT)
+    return r6df(out.select(*PK, "avg_qty_store", "avg_qty_product"))
+
+
+@query("feat_freq", with_ctes(base_ctes(), f"SELECT store_id, product_id, week_start, freq_store, freq_product "
+                                           f"FROM ({ofe.level_ascoded_sql('panel')}) x"))
+def q_feat_freq(spark, d):
+    """Running row count per store and per product in the reference's order."""
+    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), DEFAULT)
+    return out.select(*PK, "freq_store", "freq_product")
+
+
+@query("feat_promo", r6(with_ctes(base_ctes(), ofe.PROMO_SQL), ("discount_rate", "discount_rate_lag1")))
+def q_feat_promo(spark, d):
+    out = ft.add_discount_promo(f1_panel(spark, d), DEFAULT)
+    return r6df(out.select(*PK, "discount_rate", "promo_flag", "discount_rate_lag1", "promo_flag_lag1"))
+
+
+@query("feat_holiday", with_ctes(base_ctes() + [("hol", SQL_HOLIDAYS)], """
+SELECT store_id, product_id, week_start,
+       (week_start IN (SELECT holiday_date FROM hol WHERE country = 'US'))::INTEGER AS is_holiday,
+       EXISTS (SELECT 1 FROM hol h WHERE h.country = 'US' AND h.holiday_date >= week_start
+               AND h.holiday_date < week_start + 7)::INTEGER AS is_holiday_week,
+       (week_start IN (DATE '2000-11-20', DATE '2000-11-27'))::INTEGER AS is_bf_cm_week
+FROM panel"""))
+def q_feat_holiday(spark, d):
+    out = ft.add_holiday_features(f1_panel(spark, d), fx.holidays_table(spark), DEFAULT)
+    return out.select(*PK, "is_holiday", "is_holiday_week", "is_bf_cm_week")
+
+
+@query("panel_enriched", r6(with_ctes(base_ctes(), f"""
+SELECT p.*, s.premise, s.store_category, s.zipcode, r.brand, r.category, r.maker
+FROM panel p LEFT JOIN ({SQL_STORES}) s USING (store_id) LEFT JOIN ({SQL_PRODUCTS}) r USING (product_id)"""),
+                            WEEKLY_DOUBLES))
+def q_panel_enriched(spark, d):
+    """Panel with store and product register attributes."""
+    from weekcast.operators.panel import enrich_panel
+    p = enrich_panel(f1_panel(spark, d), fx.stores_register(spark, d), fx.products_register(spark, d), DEFAULT)
+    return r6df(p)
+
+
+@query("history_window", r6(with_ctes(base_ctes(), """
+SELECT * FROM panel WHERE week_start >= DATE '2000-12-04' - INTERVAL 182 DAY AND week_start < DATE '2000-12-04'"""),
+                            WEEKLY_DOUBLES))
+def q_history_window(spark, d):
+    """Training rows of the last 26 weeks before the cut-off."""
+    from weekcast.operators.ml import history_window
+    return r6df(history_window(f1_panel(spark, d), DEFAULT, 26))
+
+
+@query("future_weeks", with_ctes(base_ctes(), """
+SELECT store_id, product_id, CAST(max(week_start) + CAST(7 * i AS INTEGER) AS DATE) AS week_start, i::INTEGER AS step
+FROM panel, (SELECT unnest(generate_series(1, 5)) AS i) t GROUP BY store_id, product_id, i"""))
+def q_future_weeks(spark, d):
+    """The 5 weeks after each pair's last week (T4)."""
+    from weekcast.operators.panel import future_weeks
+    last = f1_panel(spark, d).groupBy("store_id", "product_id").agg(F.max("week_start").alias("_last"))
+    return last.select("store_id", "product_id", F.posexplode(future_weeks("_last", 5)).alias("_i", "week_start")) \
+               .select("store_id", "product_id", "week_start", (F.col("_i") + 1).alias("step"))
+
+
+@query("latest_state", r6(with_ctes(base_ctes() + ofe.pair_features_sql("panel"), """
+SELECT store_id, product_id, week_start, qty, lag_qty_1, lag_qty_2, lag_qty_26, weeks_since_last_sale, zero_streak
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id, product_id ORDER BY week_start DESC) AS rn FROM feat) x
+WHERE rn = 1"""), ("qty", "lag_qty_1", "lag_qty_2", "lag_qty_26")))
+def q_latest_state(spark, d):
+    """Latest row of each pair with its features."""
+    from weekcast.operators.ml import latest_rows
+    cols = ["qty", "lag_qty_1", "lag_qty_2", "lag_qty_26", "weeks_since_last_sale", "zero_streak"]
+    return r6df(latest_rows(f1_pair_features(spark, d), DEFAULT).select(*PK, *cols))
+
+
+@query("backoff_means", r6(with_ctes(base_ctes() + [("pc", f"SELECT p.*, s.store_category FROM panel p LEFT JOIN ({SQL_STORES}) s USING (store_id)")], """
+SELECT c.product_id, c.store_category, c.mean_cat, m.mean_prod, g.mean_global
+FROM (SELECT product_id, store_category, avg(qty) AS mean_cat FROM pc WHERE n_tx > 0 GROUP BY 1, 2) c
+JOIN (SELECT product_id, avg(qty) AS mean_prod FROM pc WHERE n_tx > 0 GROUP BY 1) m USING (product_id)
+CROSS JOIN (SELECT COALESCE(avg(qty), 0) AS mean_global FROM pc WHERE n_tx > 0) g"""),
+                           ("mean_cat", "mean_prod", "mean_global")))
+def q_backoff_means(spark, d):
+    """Observed-week means by product x store category, product and overall."""
+    p = f1_panel(spark, d).join(fx.stores_register(spark, d).select("store_id", "store_category"), "store_id", "left")
+    by_cat, by_prod, glob = bl.backoff_means(p, DEFAULT)
+    out = by_cat.join(by_prod, "product_id").crossJoin(F.broadcast(glob))
+    return r6df(out.select("product_id", "store_category", F.col("_mean_cat").alias("mean_cat"),
+                           F.col("_mean_prod").alias("mean_prod"), F.col("_mean_global").alias("mean_global")))
+
+
+@query("round_export", with_ctes(base_ctes(), f"""
+SELECT store_id, product_id, week_start, round_even(GREATEST(pred, 0), 0)::BIGINT AS quantity
+FROM ({ofc.ewma_sql('panel', '5')}) f"""))
+def q_round_export(spark, d):
+    """EWMA forecasts (many .5 values) rounded half-to-even to integers."""
+    from weekcast.functions.scalars import export_quantity
+    fc = bl.forecast(f1_panel(spark, d), "ewma")
+    return fc.select("store_id", "product_id", "week_start", export_quantity("pred_ewma").alias("quantity"))

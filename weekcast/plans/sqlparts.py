@@ -21,7 +21,7 @@ def week_expr(col: str, anchor_day: int = 1) -> str:
 
 
 def weekly_sql(sales: str = "sales", anchor_day: int = 1) -> str:
-    money = ",\n       ".join(f"COALESCE(SUM({c}), 0) AS {c}" for c in MONEY)
+    money = ",\n       ".join(f"COALESCE(CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE), 0) AS {c}" for c in MONEY)
     return f"""
 SELECT store_id, product_id, {week_expr('txn_date', anchor_day)} AS week_start,
        COALESCE(SUM(GREATEST(COALESCE(quantity, 0), 0)), 0) AS qty,
