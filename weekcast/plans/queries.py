@@ -642,3 +642,188 @@ def q_round_export(spark, d):
     from weekcast.functions.scalars import export_quantity
     fc = bl.forecast(f1_panel(spark, d), "ewma")
     return fc.select("store_id", "product_id", "week_start", export_quantity("pred_ewma").alias("quantity"))
+
+
+# ------------------------------------------------------------- learned model (L)
+from weekcast.config import DENSE  # noqa: E402
+from weekcast.operators import ml  # noqa: E402
+from weekcast.plans.sqlparts import SQL_SALES_DENSE  # noqa: E402
+
+ML_ITER = 30
+
+
+def f2_featured(spark, d, span="to_global_max"):
+    """Dense fixture, panel extended to its last week, full feature set."""
+    from weekcast.operators.panel import panel as make_panel
+    wk = weekly_sales(fx.sales_dense(spark, d), DENSE)
+    return ft.build_features(make_panel(wk, DENSE, span), fx.holidays_table(spark), DENSE)
+
+
+def _f2_feature_ctes() -> list[tuple[str, str]]:
+    ctes = base_ctes(SQL_SALES_DENSE, span="span") + [("hol", SQL_HOLIDAYS)]
+    ctes += ofe.pair_features_sql("panel")
+    ctes += [
+        ("cal", ofe.CALENDAR_SQL),
+        ("promo", ofe.PROMO_SQL),
+        ("lvl", ofe.level_causal_sql("panel")),
+        ("allf", """
+SELECT f.*, c.week, c.month, c.quarter, c.is_year_end, c.is_month_start, c.is_month_end,
+       pr.discount_rate_lag1, pr.promo_flag_lag1, l.freq_store, l.avg_qty_store, l.freq_product, l.avg_qty_product,
+       (f.week_start IN (SELECT holiday_date FROM hol WHERE country = 'US'))::INTEGER AS is_holiday,
+       (f.week_start IN (DATE '2000-11-20', DATE '2000-11-27'))::INTEGER AS is_bf_cm_week
+FROM feat f JOIN cal c USING (store_id, product_id, week_start) JOIN promo pr USING (store_id, product_id, week_start)
+JOIN lvl l USING (store_id, product_id, week_start)"""),
+    ]
+    return ctes
+
+
+def _training_matrix_sql() -> str:
+    feats = ml.model_features(True)
+    cols = ",\n       ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in feats)
+    cut, end = "DATE '2001-10-08'", "DATE '2001-11-05'"
+    w = (f"CASE WHEN week_start >= {cut} THEN 1.0 ELSE LEAST(GREATEST(exp(-GREATEST(date_diff('day', week_start, {cut}) / 7.0, 0) / 13.0), 1e-3), 1.0) END")
+    sel = f"""
+SELECT store_id, product_id, week_start, week_start >= {cut} AS is_valid, qty::DOUBLE AS label, {w} AS weight,
+       {cols}
+FROM allf
+WHERE (week_start < {cut} AND week_start >= {cut} - INTERVAL 182 DAY) OR (week_start >= {cut} AND week_start < {end})"""
+    return r6(with_ctes(_f2_feature_ctes(), sel), ["label", "weight"] + feats)
+
+
+@query("training_matrix", _training_matrix_sql())
+def q_training_matrix(spark, d):
+    """Model rows of the dense fixture: 26 weeks of history, 13-week decay weights,
+    causal features imputed with 0 (L1, N6, N7, X6)."""
+    tm = ml.training_matrix(f2_featured(spark, d), DENSE, history_weeks=26, decay_weeks=13, causal=True)
+    return r6df(tm)
+
+
+@query("recency_weight", r6(with_ctes(base_ctes(), """
+SELECT store_id, product_id, week_start,
+       LEAST(GREATEST(exp(-GREATEST(date_diff('day', week_start, DATE '2000-12-04') / 7.0, 0) / 13.0), 1e-3), 1.0) AS weight
+FROM panel WHERE week_start < DATE '2000-12-04' AND week_start >= DATE '2000-12-04' - INTERVAL 182 DAY"""), ("weight",)))
+def q_recency_weight(spark, d):
+    """exp(-weeks before cut-off / 13) clipped to [1e-3, 1] on the last 26 weeks."""
+    from weekcast.functions.scalars import recency_weight
+    h = ml.history_window(f1_panel(spark, d), DEFAULT, 26)
+    return r6df(h.select(*PK, recency_weight("week_start", DEFAULT.cutoff, 13).alias("weight")))
+
+
+def _state_step_sql() -> str:
+    ext = """
+SELECT * FROM panel0
+UNION ALL
+SELECT store_id, product_id, CAST(max(week_start) + 7 AS DATE), 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0::BIGINT
+FROM panel0 GROUP BY 1, 2"""
+    ctes = base_ctes(SQL_SALES_DENSE, span="span")
+    ctes = ctes[:-1] + [("panel0", ctes[-1][1]), ("panel", ext)] + ofe.pair_features_sql("panel")
+    cols = ["lag_qty_1", "lag_qty_2", "lag_qty_3", "lag_qty_4", "lag_qty_8", "lag_qty_12", "lag_qty_26",
+            "ma_qty_4", "ma_qty_12", "std_qty_4", "std_qty_12", "diff_qty_1", "ratio_qty_12",
+            "active_share_8", "active_share_13", "active_share_26",
+            "weeks_since_prev_sale", "weeks_since_first_sale", "zero_streak"]
+    sel = f"""
+SELECT store_id, product_id, week_start, {', '.join(cols)}
+FROM (SELECT *, row_number() OVER (PARTITION BY store_id, product_id ORDER BY week_start DESC) AS rn FROM feat) x
+WHERE rn = 1"""
+    dbl = [c for c in cols if not c.startswith(("weeks_", "zero_"))]
+    return r6(with_ctes(ctes, sel), dbl)
+
+
+STATE_STEP_COLS = ["lag_qty_1", "lag_qty_2", "lag_qty_3", "lag_qty_4", "lag_qty_8", "lag_qty_12", "lag_qty_26",
+                   "ma_qty_4", "ma_qty_12", "std_qty_4", "std_qty_12", "diff_qty_1", "ratio_qty_12",
+                   "active_share_8", "active_share_13", "active_share_26",
+                   "weeks_since_prev_sale", "weeks_since_first_sale", "zero_streak"]
+
+
+@query("ml_state_step", _state_step_sql())
+def q_ml_state_step(spark, d):
+    """Features of the first forecast week rebuilt from the per-pair state (arrays,
+    counters) must equal the training windows evaluated one week past the
+    history (L4 state rebuild, traps R13, R14, R21)."""
+    feats = ml.model_features(True)
+    st = ml.forecast_state(f2_featured(spark, d), feats, DENSE)
+    x = ml.step_features(st, F.date_add("last_week", 7), DENSE)
+    return r6df(x.select(*PK, *STATE_STEP_COLS))
+
+
+def _trained(spark, d, two_stage: bool):
+    return ml.train(f2_featured(spark, d), DENSE, two_stage=two_stage, tau=0.1, history_weeks=26,
+                    decay_weeks=13, max_iter=ML_ITER)
+
+
+@query("ml_regressor")
+def q_ml_regressor(spark, d):
+    """Boosted regressor, validation WMAPE next to the predict-zero score (L2, L6; rows-only)."""
+    art = _trained(spark, d, False)
+    return r6df(ml.evaluate_model(art["valid"]).withColumn("wmape_zero", F.lit(1.0)))
+
+
+@query("ml_two_stage")
+def q_ml_two_stage(spark, d):
+    """Classifier + positive-only regressor, threshold 0.1 (L3; rows-only)."""
+    art = _trained(spark, d, True)
+    return r6df(ml.evaluate_model(art["valid"]).withColumn("tau", F.lit(0.1)))
+
+
+@query("ml_forecast")
+def q_ml_forecast(spark, d):
+    """Recursive 5-week learned forecast for the pairs active in the last 3 weeks (L4; rows-only)."""
+    art = _trained(spark, d, True)
+    return ml.forecast_ml(f2_featured(spark, d), art, DENSE, fx.holidays_table(spark),
+                          only_active=True, active_window=3)
+
+
+@query("ml_save_load")
+def q_ml_save_load(spark, d):
+    """Model saved with Spark ML persistence and loaded back scores the same (S6; rows-only)."""
+    from weekcast.session import shared_dir
+    art = _trained(spark, d, False)
+    path = shared_dir(spark, "model")
+    ml.save_artefact(spark, art, path)
+    back = ml.load_artefact(spark, path)
+    valid = ml.training_matrix(f2_featured(spark, d), DENSE, 26, 13).where("is_valid")
+    a = ml.predict_quantity(art["model"], valid, "y_saved").select(*PK, "y_saved")
+    b = ml.predict_quantity(back["model"], valid, "y_loaded").select(*PK, "y_loaded")
+    return r6df(a.join(b, PK).withColumn("same", F.col("y_saved") == F.col("y_loaded")))
+
+
+# ------------------------------------------------------------- round trips
+def _roundtrip(spark, d, fmt):
+    from weekcast.session import shared_dir
+    from weekcast.sources.sinks import read_forecast, write_forecast
+    path = shared_dir(spark, f"forecast-{fmt}")
+    write_forecast(forecast_month(f1_panel(spark, d), "smart"), path, fmt)
+    return read_forecast(spark, path, fmt)
+
+
+@query("roundtrip_parquet", _month_sql(False))
+def q_roundtrip_parquet(spark, d):
+    """Delivery forecast written as snappy parquet and read back."""
+    return _roundtrip(spark, d, "parquet")
+
+
+@query("roundtrip_csv", _month_sql(False))
+def q_roundtrip_csv(spark, d):
+    """Delivery forecast written as ';' CSV without header and read back (S3)."""
+    return _roundtrip(spark, d, "csv")
+
+
+@query("future_calendar", with_ctes(base_ctes() + [("hol", SQL_HOLIDAYS)], """
+SELECT p.store_id, p.product_id, w.week_start, weekofyear(w.week_start)::INTEGER AS week,
+       month(w.week_start)::INTEGER AS month, quarter(w.week_start)::INTEGER AS quarter,
+       (w.week_start IN (SELECT holiday_date FROM hol))::INTEGER AS is_holiday
+FROM (SELECT DISTINCT store_id, product_id FROM panel) p
+CROSS JOIN (SELECT CAST(DATE '2001-01-01' + CAST(7 * i AS INTEGER) AS DATE) AS week_start
+            FROM (SELECT unnest(generate_series(0, 4)) AS i) t) w"""))
+def q_future_calendar(spark, d):
+    """Every pair x the 5 target weeks with their calendar and holiday flags.
+    The calendar side is 5 rows (bounded by the horizon) and is broadcast."""
+    pairs = f1_panel(spark, d).select("store_id", "product_id").distinct()
+    cal = spark.range(5).select(F.date_add(F.lit(DEFAULT.target_start), (F.col("id") * 7).cast("int")).alias("week_start"))
+    cal = ft.add_holiday_features(cal.withColumns({"store_id": F.lit(0).cast("long"),
+                                                   "product_id": F.lit(0).cast("long")}),
+                                  fx.holidays_table(spark), DEFAULT).select("week_start", "is_holiday")
+    cc = calendar_columns("week_start")
+    cal = cal.select("week_start", cc["week"].alias("week"), cc["month"].alias("month"),
+                     cc["quarter"].alias("quarter"), "is_holiday")
+    return pairs.crossJoin(F.broadcast(cal))
