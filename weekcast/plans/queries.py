@@ -649,7 +649,7 @@ from weekcast.config import DENSE  # noqa: E402
 from weekcast.operators import ml  # noqa: E402
 from weekcast.plans.sqlparts import SQL_SALES_DENSE  # noqa: E402
 
-ML_ITER = 30
+ML_ITER = 20
 
 
 def f2_featured(spark, d, span="to_global_max"):
@@ -781,7 +781,7 @@ def q_ml_save_load(spark, d):
     path = shared_dir(spark, "model")
     ml.save_artefact(spark, art, path)
     back = ml.load_artefact(spark, path)
-    valid = ml.training_matrix(f2_featured(spark, d), DENSE, 26, 13).where("is_valid")
+    valid = art["valid"].drop("y_pred")
     a = ml.predict_quantity(art["model"], valid, "y_saved").select(*PK, "y_saved")
     b = ml.predict_quantity(back["model"], valid, "y_loaded").select(*PK, "y_loaded")
     return r6df(a.join(b, PK).withColumn("same", F.col("y_saved") == F.col("y_loaded")))
