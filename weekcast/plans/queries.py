@@ -827,3 +827,13 @@ def q_future_calendar(spark, d):
     cal = cal.select("week_start", cc["week"].alias("week"), cc["month"].alias("month"),
                      cc["quarter"].alias("quarter"), "is_holiday")
     return pairs.crossJoin(F.broadcast(cal))
+
+
+@query("prepare_features")
+def q_prepare_features(spark, d):
+    """The whole prepare step on the consolidated one-year sales: weekly aggregate,
+    local panel, register attributes, every feature (U1; rows-only, the parts are
+    checked by the feat_* oracles)."""
+    from weekcast.plans.pipeline import prepare
+    return r6df(prepare(fx.consolidated_clean(spark, d), DEFAULT, holidays=fx.holidays_table(spark),
+                        products=fx.products_register(spark, d)))
