@@ -21,6 +21,18 @@ def _seven_days():
     return F.expr("INTERVAL 7 DAYS")
 
 
+def by_pair(df: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+    """Hash-partition by the full pair key.
+
+    The pair window needs this exchange anyway, so it is free on the normal
+    path (weekly aggregate -> panel).  It matters when the input was last
+    shuffled by the store or the product alone (e.g. a register join): Spark
+    would accept that partitioning for a pair window, and one hot store would
+    then be sorted and windowed in a single task.
+    """
+    return df.repartition(*cfg.keys)
+
+
 def _measures(df: DataFrame, cfg: ForecastConfig) -> list[str]:
     skip = set(cfg.keys) | {cfg.week_col}
     return [c for c in df.columns if c not in skip]
@@ -46,15 +58,15 @@ def panel_local(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, end: str | Non
     ``end="global_max"`` extends every pair to the last week of the whole
     table instead (the ``to_global_max`` span, trap R9): a one-row aggregate
     is cross-joined (broadcast, one row) to every pair's last row.
-    Numeric measures of filled weeks are 0; other columns carry through.
+    Weekly measures of filled weeks are 0; other columns (register
+    attributes) carry through from the observed row.
     """
     keys, wc = cfg.keys, cfg.week_col
     w = Window.partitionBy(*keys).orderBy(wc)
     measures = _measures(weekly, cfg)
-    zero_cols = [c for c in measures if c in WEEKLY_MEASURES or
-                 weekly.schema[c].dataType.typeName() in ("double", "long", "integer", "float")]
+    zero_cols = [c for c in measures if c in WEEKLY_MEASURES]
     nxt = F.lead(wc).over(w)
-    df = weekly.withColumn("_next", nxt)
+    df = by_pair(weekly, cfg).withColumn("_next", nxt)
     if end == "global_max":
         gmax = weekly.agg(F.max(wc).alias("_gmax"))
         df = df.crossJoin(F.broadcast(gmax))
@@ -89,9 +101,8 @@ def panel_grid(weekly: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
     keys, wc = cfg.keys, cfg.week_col
     w = Window.partitionBy(*keys).orderBy(wc)
     measures = _measures(weekly, cfg)
-    zero_cols = [c for c in measures if c in WEEKLY_MEASURES or
-                 weekly.schema[c].dataType.typeName() in ("double", "long", "integer", "float")]
-    df = (weekly.withColumn("_next", F.lead(wc).over(w))
+    zero_cols = [c for c in measures if c in WEEKLY_MEASURES]
+    df = (by_pair(weekly, cfg).withColumn("_next", F.lead(wc).over(w))
                 .withColumn("_is_first", F.row_number().over(w) == 1)
                 .crossJoin(F.broadcast(week_domain(weekly, cfg))))
     cur, nxt = F.col(wc), F.col("_next")

@@ -75,19 +75,21 @@ def orphan_impact(sales: DataFrame, register: DataFrame, key: str = "store_id",
                   qty: str = "quantity") -> DataFrame:
     """One row: orphan keys, units and rows of orphan keys and their shares.
 
-    A left join to the distinct register keys flags each row; one aggregate
-    then gives every figure (no second pass over the transactions).
+    Transactions are first reduced to one row per key (rows, units) with a
+    partial aggregate, so the join with the register moves one row per key,
+    never the raw rows of a hot store.
     """
+    per_key = sales.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.sum(qty).alias("_units"))
     reg = register.select(key).distinct().withColumn("_known", F.lit(True))
-    flagged = sales.join(reg, key, "left").withColumn(
+    flagged = per_key.join(reg, key, "left").withColumn(
         "_orphan", F.col(key).isNotNull() & F.col("_known").isNull())
     o = F.col("_orphan")
     out = flagged.agg(
-        F.count_distinct(F.when(o, F.col(key))).alias("orphan_keys"),
-        F.coalesce(F.sum(F.when(o, F.col(qty))), F.lit(0.0)).alias("orphan_units"),
-        F.coalesce(F.sum(qty), F.lit(0.0)).alias("total_units"),
-        F.count_if(o).alias("orphan_rows"),
-        F.count(F.lit(1)).alias("total_rows"))
+        F.count_if(o).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(o, F.col("_units"))), F.lit(0.0)).alias("orphan_units"),
+        F.coalesce(F.sum("_units"), F.lit(0.0)).alias("total_units"),
+        F.coalesce(F.sum(F.when(o, F.col("_rows"))), F.lit(0)).alias("orphan_rows"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"))
     return out.withColumns({
         "pct_units": F.lit(100.0) * F.try_divide(F.col("orphan_units"), F.col("total_units")),
         "pct_rows": F.lit(100.0) * F.try_divide(F.col("orphan_rows"), F.col("total_rows")),
