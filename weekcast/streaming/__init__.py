@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference reads batch Parquet files only (no stream, watermark, window
+over event time or stateful operator), so nothing is built here; weekly
+aggregates of new data are produced by re-running the batch plan on the new
+partitions.
+"""
