@@ -61,14 +61,23 @@ def eval_rows(panel: DataFrame, baseline: str = "smart", cfg: ForecastConfig = D
                     F.abs(F.col("y_true") - yhat).alias("abs_err"), pred.isNull().alias("unseen"))
 
 
-def backtest_summary(rows: DataFrame, week_col: str = "week_start") -> DataFrame:
-    """One row: WMAPE over all rows and over y > 0, row counts, unseen rows, horizon (A4, A5)."""
+def backtest_summary(rows: DataFrame, week_col: str = "week_start", horizon: DataFrame | None = None) -> DataFrame:
+    """One row: WMAPE over all rows and over y > 0, row counts, unseen rows, horizon (A4, A5).
+
+    With ``horizon`` (the one-row frame of ``validation_horizon``) the horizon
+    column comes from it, so an empty validation window fails the job even
+    when there are no rows to score.
+    """
     m = wmape_columns("y_true", "y_pred")
-    return rows.agg(*[v.alias(k) for k, v in m.items()],
-                    F.count_if("unseen").alias("unseen_rows"),
-                    F.count_distinct(week_col).alias("horizon"))
+    aggs = [v.alias(k) for k, v in m.items()] + [F.count_if("unseen").alias("unseen_rows")]
+    if horizon is None:
+        return rows.agg(*aggs, F.count_distinct(week_col).alias("horizon"))
+    return rows.agg(*aggs).crossJoin(horizon.select(F.col("_h").cast("long").alias("horizon")))
 
 
 def backtest(panel: DataFrame, baseline: str = "smart", cfg: ForecastConfig = DEFAULT,
              alpha: float | None = None, restrict_lags: bool = False) -> DataFrame:
-    return backtest_summary(eval_rows(panel, baseline, cfg, alpha, restrict_lags), cfg.week_col)
+    """Summary row of the back-test; fails when no week follows the cut-off (M7)."""
+    _, valid = split_history(panel, cfg)
+    rows = eval_rows(panel, baseline, cfg, alpha, restrict_lags)
+    return backtest_summary(rows, cfg.week_col, validation_horizon(valid, cfg))

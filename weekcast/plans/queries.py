@@ -837,3 +837,32 @@ def q_prepare_features(spark, d):
     from weekcast.plans.pipeline import prepare
     return r6df(prepare(fx.consolidated_clean(spark, d), DEFAULT, holidays=fx.holidays_table(spark),
                         products=fx.products_register(spark, d)))
+
+
+_U6_COLS = ["qty", "n_tx", "premise", "store_category", "brand", "category", "week", "month", "is_year_end",
+            "lag_qty_1", "lag_qty_4", "lag_qty_8", "lag_qty_12", "lag_qty_26", "ma_qty_4", "ma_qty_12"]
+
+
+def _u6_sql() -> str:
+    ctes = [("sales", _CLEAN_SALES_SQL), ("weekly", weekly_sql("sales")), ("panel", panel_grid_sql("weekly"))]
+    ctes += ofe.pair_features_sql("panel")
+    sel = f"""
+SELECT f.store_id, f.product_id, f.week_start, f.qty, f.n_tx, s.premise, s.store_category, r.brand, r.category,
+       weekofyear(f.week_start)::INTEGER AS week, month(f.week_start)::INTEGER AS month,
+       (weekofyear(f.week_start) >= 51)::INTEGER AS is_year_end,
+       f.lag_qty_1, f.lag_qty_4, f.lag_qty_8, f.lag_qty_12, f.lag_qty_26, f.ma_qty_4, f.ma_qty_12
+FROM feat f LEFT JOIN ({SQL_STORES}) s USING (store_id) LEFT JOIN ({SQL_PRODUCTS}) r USING (product_id)"""
+    return r6(with_ctes(ctes, sel), ["qty", "lag_qty_1", "lag_qty_4", "lag_qty_8", "lag_qty_12", "lag_qty_26",
+                                     "ma_qty_4", "ma_qty_12"])
+
+
+@query("prepare_registers", _u6_sql())
+def q_prepare_registers(spark, d):
+    """Register-based prepare (U6): dirty text sales -> names and types -> year
+    filter -> subset dedup -> weekly aggregate -> store and product registers ->
+    full grid panel -> calendar and lag features."""
+    from weekcast.plans.pipeline import prepare
+    out = prepare(fx.sales_dirty(spark, d), DEFAULT, stores=fx.stores_register(spark, d),
+                  products=fx.products_register(spark, d), span="grid", dedup_subset=DEDUP_SUBSET,
+                  date_range=(YEAR_START, YEAR_END))
+    return r6df(out.select(*PK, *_U6_COLS))
