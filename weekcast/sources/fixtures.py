@@ -56,10 +56,11 @@ def sales_clean(spark: SparkSession, sf_dir: str, start: dt.date | None = F1_STA
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_tax",
                                                   "l_returnflag", "l_shipdate"])
+    # timestamp_ntz literals: independent of the session time zone
     if start is not None:
-        li = li.where(F.col("l_shipdate") >= F.lit(dt.datetime.combine(start, dt.time())))
+        li = li.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
-        li = li.where(F.col("l_shipdate") < F.lit(dt.datetime.combine(end, dt.time())))
+        li = li.where(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
     j = li.join(part, li.l_partkey == part.p_partkey)
     cols = {"store_id": F.col("l_suppkey").cast("long"), "product_id": _brand_id("p_brand"),
