@@ -33,8 +33,23 @@ def _repeat(value: Column, h: Column) -> Column:
     return F.array_repeat(F.greatest(value, F.lit(0.0)), h)
 
 
-def _desc_window(cfg: ForecastConfig):
-    return Window.partitionBy(*cfg.keys).orderBy(F.col(cfg.week_col).desc())
+def _asc(cfg: ForecastConfig):
+    return Window.partitionBy(*cfg.keys).orderBy(cfg.week_col)
+
+
+def _whole(cfg: ForecastConfig):
+    """The pair's whole series, same partition and order as ``_asc`` so Spark
+    evaluates both in one Window operator over one sort."""
+    return _asc(cfg).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _from_end(flag: Column, cfg: ForecastConfig) -> Column:
+    """1 for the pair's last row with ``flag``, 2 for the one before, ...
+    (null where ``flag`` is false): a descending rank from ascending counts."""
+    f = flag.cast("int")
+    total = F.sum(f).over(_whole(cfg))
+    upto = F.sum(f).over(_asc(cfg).rowsBetween(Window.unboundedPreceding, 0))
+    return F.when(flag, total - upto + 1)
 
 
 def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
@@ -44,8 +59,8 @@ def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) ->
     The last four values come from ``lag`` on the pair window at the pair's
     last row; the recursion runs in an ``aggregate`` over ``sequence(1, h)``.
     """
-    y, w = F.col(cfg.target_col).cast("double"), Window.partitionBy(*cfg.keys).orderBy(cfg.week_col)
-    rn = F.row_number().over(_desc_window(cfg))
+    y, w = F.col(cfg.target_col).cast("double"), _asc(cfg)
+    rn = _from_end(F.lit(True), cfg)
     last4 = F.array(F.lag(y, 3).over(w), F.lag(y, 2).over(w), F.lag(y, 1).over(w), y)
     tail = (weekly.select(*cfg.keys, cfg.week_col, F.filter(last4, lambda x: x.isNotNull()).alias("_hist"),
                           rn.alias("_rn"))
@@ -89,12 +104,11 @@ def ewma_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, a
     a = cfg.alpha if alpha is None else alpha
     y, wc = F.col(cfg.target_col).cast("double"), cfg.week_col
     obs = (F.col("n_tx") > 0) if (observed_only and "n_tx" in weekly.columns) else F.lit(True)
-    wo = Window.partitionBy(*cfg.keys, "_obs").orderBy(wc)
-    wd = Window.partitionBy(*cfg.keys, "_obs").orderBy(F.col(wc).desc())
+    o = F.col("_obs")
     ranked = weekly.select(*cfg.keys, wc, y.alias("_y"), obs.alias("_obs")).withColumns({
-        "_r": (F.row_number().over(wd) - 1).cast("double"),
-        "_first": F.row_number().over(wo) == 1,
-        "_n": F.count(F.lit(1)).over(Window.partitionBy(*cfg.keys, "_obs")).cast("double"),
+        "_r": (_from_end(o, cfg) - 1).cast("double"),
+        "_first": o & (F.sum(o.cast("int")).over(_asc(cfg).rowsBetween(Window.unboundedPreceding, 0)) == 1),
+        "_n": F.sum(o.cast("int")).over(_whole(cfg)).cast("double"),
     })
     weight = F.when(F.col("_first"), F.pow(F.lit(1.0 - a), F.col("_n") - 1)) \
               .otherwise(F.lit(a) * F.pow(F.lit(1.0 - a), F.col("_r")))
@@ -144,8 +158,8 @@ def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
     recent_flag = (F.col("n_tx") > 0) if has_ntx else (y > 0)
     ranked = weekly.select(*keys, wc, y.alias("_y"), obs.alias("_obs"), recent_flag.alias("_act"),
                            *( [category_col] if category_col in weekly.columns else [] )).withColumns({
-        "_rn": F.row_number().over(_desc_window(cfg)),
-        "_orn": F.row_number().over(Window.partitionBy(*keys, F.col("_obs")).orderBy(F.col(wc).desc())),
+        "_rn": _from_end(F.lit(True), cfg),
+        "_orn": _from_end(F.col("_obs"), cfg),
     })
     o = F.col("_obs")
     aggs = [
