@@ -94,26 +94,31 @@ def panel_grid(weekly: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
 
     Equal to a cross join of distinct pairs with distinct weeks followed by a
     left join of the facts, without materialising the cross product next to a
-    join: each observed row emits the domain weeks from itself up to the next
-    observed row, and the pair's first row also emits the domain weeks before it.
-    The domain (one array, one row) is the only broadcast.
+    join.  Each observed row emits the domain weeks from itself up to the next
+    observed row (and a pair's first row also the weeks before it) with an
+    O(1) ``slice`` of the sorted domain, located by the row's domain position.
+    The domain array (one row) and the week -> position table (one row per
+    calendar week) are the only broadcasts; both are bounded by the calendar.
     """
     keys, wc = cfg.keys, cfg.week_col
     w = Window.partitionBy(*keys).orderBy(wc)
     measures = _measures(weekly, cfg)
     zero_cols = [c for c in measures if c in WEEKLY_MEASURES]
-    df = (by_pair(weekly, cfg).withColumn("_next", F.lead(wc).over(w))
-                .withColumn("_is_first", F.row_number().over(w) == 1)
-                .crossJoin(F.broadcast(week_domain(weekly, cfg))))
-    cur, nxt = F.col(wc), F.col("_next")
-    after = F.filter("_domain", lambda d: (d > cur) & (nxt.isNull() | (d < nxt)))
-    before = F.filter("_domain", lambda d: d < cur)
-    weeks = F.concat(F.array(cur), after)
-    lead_in = F.when(F.col("_is_first"), before).otherwise(F.array().cast("array<date>"))
+    domain = week_domain(weekly, cfg)
+    positions = domain.select(F.posexplode("_domain").alias("_k", "_dw")).withColumn("_k", F.col("_k") + 1)
+    df = (by_pair(weekly, cfg)
+          .join(F.broadcast(positions), F.col(wc) == F.col("_dw")).drop("_dw")
+          .withColumns({"_knext": F.lead("_k").over(w), "_is_first": F.row_number().over(w) == 1})
+          .crossJoin(F.broadcast(domain)))
+    k, kn, size = F.col("_k"), F.col("_knext"), F.size("_domain")
+    # domain positions k .. (next - 1), or k .. size for the pair's last row
+    own = F.slice("_domain", k, F.coalesce(kn, size + 1) - k)
+    lead_in = F.when(F.col("_is_first") & (k > 1), F.slice("_domain", F.lit(1), k - 1)) \
+               .otherwise(F.array().cast("array<date>"))
     df = df.withColumn("_lead_in", lead_in)
     # the observed row sits at position size(_lead_in); weeks before a pair's
     # first observation and weeks after each observation are zero rows
-    exploded = (df.select("*", F.posexplode(F.concat("_lead_in", weeks)).alias("_p", "_week"))
+    exploded = (df.select("*", F.posexplode(F.concat("_lead_in", own)).alias("_p", "_week"))
                   .withColumn("_pos", F.col("_p") - F.size("_lead_in")))
     return _fill_from_facts(exploded, cfg, measures, zero_cols)
 
