@@ -866,3 +866,15 @@ def q_prepare_registers(spark, d):
                   products=fx.products_register(spark, d), span="grid", dedup_subset=DEDUP_SUBSET,
                   date_range=(YEAR_START, YEAR_END))
     return r6df(out.select(*PK, *_U6_COLS))
+
+
+@query("roundtrip_eval_csv", r6(with_ctes(_ctes, f"SELECT week_start, store_id, product_id, y_true, y_pred, abs_err FROM ({_rows}) e"),
+                                ("y_true", "y_pred", "abs_err")))
+def q_roundtrip_eval_csv(spark, d):
+    """Back-test rows written as the diagnostic CSV (';', header) and read back."""
+    from weekcast.session import shared_dir
+    from weekcast.sources.sinks import write_eval_csv
+    path = shared_dir(spark, "eval-csv")
+    write_eval_csv(eval_rows(f1_panel(spark, d), "smart"), path)
+    schema = "week_start date, store_id long, product_id long, y_true double, y_pred double, abs_err double"
+    return r6df(spark.read.schema(schema).option("sep", ";").option("header", True).csv(path))
