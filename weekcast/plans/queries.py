@@ -817,16 +817,16 @@ CROSS JOIN (SELECT CAST(DATE '2001-01-01' + CAST(7 * i AS INTEGER) AS DATE) AS w
             FROM (SELECT unnest(generate_series(0, 4)) AS i) t) w"""))
 def q_future_calendar(spark, d):
     """Every pair x the 5 target weeks with their calendar and holiday flags.
-    The calendar side is 5 rows (bounded by the horizon) and is broadcast."""
+    The weeks are generated per pair (``posexplode`` of a 5-element sequence);
+    holiday flags come from an equi-join with the small holiday table."""
+    from weekcast.operators.panel import future_weeks
     pairs = f1_panel(spark, d).select("store_id", "product_id").distinct()
-    cal = spark.range(5).select(F.date_add(F.lit(DEFAULT.target_start), (F.col("id") * 7).cast("int")).alias("week_start"))
-    cal = ft.add_holiday_features(cal.withColumns({"store_id": F.lit(0).cast("long"),
-                                                   "product_id": F.lit(0).cast("long")}),
-                                  fx.holidays_table(spark), DEFAULT).select("week_start", "is_holiday")
+    start = F.date_sub(F.lit(DEFAULT.target_start), 7)          # future_weeks starts one week later
+    rows = pairs.select("store_id", "product_id", F.explode(future_weeks(start, 5)).alias("week_start"))
+    rows = ft.add_holiday_features(rows, fx.holidays_table(spark), DEFAULT)
     cc = calendar_columns("week_start")
-    cal = cal.select("week_start", cc["week"].alias("week"), cc["month"].alias("month"),
-                     cc["quarter"].alias("quarter"), "is_holiday")
-    return pairs.crossJoin(F.broadcast(cal))
+    return rows.select("store_id", "product_id", "week_start", cc["week"].alias("week"), cc["month"].alias("month"),
+                       cc["quarter"].alias("quarter"), "is_holiday")
 
 
 @query("prepare_features")
