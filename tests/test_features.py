@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from weekcast.config import DEFAULT
 from weekcast.operators import features as ft

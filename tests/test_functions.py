@@ -1,7 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from weekcast.functions.dates import calendar_columns, week_start
 from weekcast.functions.scalars import discount_promo, export_id, export_quantity, recency_weight, returns_split

@@ -48,10 +48,6 @@ def r6df(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def doubles(*names):
-    return list(names)
-
-
 # ------------------------------------------------------------------ shared
 def f1_sales(spark, d):
     return fx.sales_clean(spark, d)
