@@ -53,3 +53,19 @@ def test_span_extends_to_global_last_week(spark):
     rows = [(1, 1, D(2022, 1, 3), 1.0), (2, 2, D(2022, 1, 24), 2.0)]
     p = panel_local(weekly_sales(sales(spark, rows)), end="global_max")
     assert p.where("store_id = 1").count() == 4
+
+
+def test_invariants_on_fixture(spark):
+    """On the one-year fixture: panel rows = sum over pairs of 1 + weeks(max - min);
+    gap fill keeps every unit; every pair gets exactly `horizon` forecasts."""
+    from weekcast.operators.baselines import forecast
+    from weekcast.sources.fixtures import sales_clean
+    wk = weekly_sales(sales_clean(spark, "/root/testdata/sf0.001"))
+    p = panel_local(wk)
+    expect = wk.groupBy("store_id", "product_id").agg(
+        (F.datediff(F.max("week_start"), F.min("week_start")) / 7 + 1).alias("n")).agg(F.sum("n")).first()[0]
+    assert p.count() == int(expect)
+    assert p.agg(F.sum("qty")).first()[0] == wk.agg(F.sum("qty")).first()[0]
+    assert p.agg(F.sum("n_tx")).first()[0] == wk.agg(F.sum("n_tx")).first()[0]
+    pairs = wk.select("store_id", "product_id").distinct().count()
+    assert forecast(p, "smart").count() == pairs * 5
