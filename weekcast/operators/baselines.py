@@ -52,30 +52,62 @@ def _from_end(flag: Column, cfg: ForecastConfig) -> Column:
     return F.when(flag, total - upto + 1)
 
 
+def ma4_weights(n_values: int, steps: int) -> list[list[float]]:
+    """Weights of the recursive MA(4): step k = sum_j w[k][j] * y_j over the
+    pair's last ``n_values`` values (oldest first).
+
+    The recursion is linear, so running it once on unit vectors gives every
+    step's weights; they depend only on how many values the pair has (1-4)
+    and are dyadic fractions, exact in floating point.
+    """
+    hist = [[1.0 if i == j else 0.0 for i in range(n_values)] for j in range(n_values)]
+    out = []
+    for _ in range(steps):
+        win = hist[-4:]
+        step = [sum(v[i] for v in win) / len(win) for i in range(n_values)]
+        out.append(step)
+        hist.append(step)
+    return out
+
+
+def _max_steps(horizon, cfg: ForecastConfig) -> int:
+    """Upper bound of the horizon known when the plan is built: the int itself,
+    or for a data-driven horizon the number of weeks in the validation window."""
+    if isinstance(horizon, DataFrame):
+        return max((cfg.valid_end - cfg.cutoff).days // 7 + 1, 1)
+    return int(horizon)
+
+
 def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
     """Recursive MA(4) (M1): each step is the mean of the last <= 4 values of
     history plus earlier steps; the unclipped step feeds the next one.
 
     The last four values come from ``lag`` on the pair window at the pair's
-    last row; the recursion runs in an ``aggregate`` over ``sequence(1, h)``.
+    last row.  The recursion itself is unrolled at plan time into weights
+    (``ma4_weights``), so each step is plain arithmetic inside whole-stage
+    codegen; steps are clipped at 0 only on output.
     """
+    horizon = cfg.horizon if horizon is None else horizon
     y, w = F.col(cfg.target_col).cast("double"), _asc(cfg)
     rn = _from_end(F.lit(True), cfg)
-    last4 = F.array(F.lag(y, 3).over(w), F.lag(y, 2).over(w), F.lag(y, 1).over(w), y)
-    tail = (weekly.select(*cfg.keys, cfg.week_col, F.filter(last4, lambda x: x.isNotNull()).alias("_hist"),
-                          rn.alias("_rn"))
+    lags = [F.lag(y, k).over(w) for k in (3, 2, 1)]
+    tail = (weekly.select(*cfg.keys, cfg.week_col, *[c.alias(f"_l{3 - i}") for i, c in enumerate(lags)],
+                          y.alias("_l0"), rn.alias("_rn"))
                   .where("_rn = 1"))
-    tail, h = _attach_horizon(tail, cfg.horizon if horizon is None else horizon)
-
-    def step(acc, _i):
-        n = F.size(acc)
-        win = F.slice(acc, F.greatest(n - 3, F.lit(1)), 4)
-        mean = F.aggregate(win, F.lit(0.0), lambda a, x: a + x) / F.size(win)
-        return F.concat(acc, F.array(F.when(n > 0, mean).otherwise(F.lit(0.0))))
-
-    run = F.aggregate(F.sequence(F.lit(1), h), F.col("_hist"), step)
-    preds = F.transform(F.slice(run, F.size("_hist") + 1, h), lambda x: F.greatest(x, F.lit(0.0)))
-    return tail.select(*cfg.keys, F.col(cfg.week_col).alias("last_week"), preds.alias("preds"))
+    n = (F.lit(1) + sum(F.col(f"_l{k}").isNotNull().cast("int") for k in (1, 2, 3)))
+    steps = _max_steps(horizon, cfg)
+    by_n = {m: ma4_weights(m, steps) for m in (1, 2, 3, 4)}
+    preds = []
+    for k in range(steps):
+        expr = None
+        for m in (1, 2, 3, 4):
+            vals = [F.col(f"_l{j}") for j in range(m - 1, -1, -1)]      # oldest .. newest
+            val = sum(F.lit(wt) * v for wt, v in zip(by_n[m][k], vals) if wt != 0.0)
+            expr = F.when(n == m, val) if expr is None else expr.when(n == m, val)
+        preds.append(F.greatest(expr, F.lit(0.0)))
+    tail, h = _attach_horizon(tail, horizon)
+    return tail.select(*cfg.keys, F.col(cfg.week_col).alias("last_week"),
+                       F.slice(F.array(*preds), 1, h).alias("preds"))
 
 
 def naive_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
