@@ -188,11 +188,21 @@ def add_level_encodings_ascoded(df: DataFrame, cfg: ForecastConfig = DEFAULT) ->
 
 def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastConfig = DEFAULT,
                    lags=FEATURE_LAGS) -> DataFrame:
-    """The prepare feature set: calendar, pair windows, promo, holidays, store/product encodings."""
-    df = panel.withColumns(calendar_columns(cfg.week_col))
+    """The prepare feature set: store/product encodings, calendar, pair windows,
+    promo, holidays.
+
+    The store and product encodings are joined while the panel is still lean
+    (their joins shuffle it by (store, week) and (product, week)); the panel is
+    then hash-partitioned by pair once more and every pair window runs on that
+    partitioning.  Joining them after the ~40 window columns exist would
+    shuffle the wide rows twice instead.
+    """
+    from weekcast.operators.panel import by_pair
+    df = by_pair(add_level_encodings(panel, cfg), cfg)
+    df = df.withColumns(calendar_columns(cfg.week_col))
     df = add_pair_features(df, cfg, lags)
     if "discount" in df.columns and "gross_value" in df.columns:
         df = add_discount_promo(df, cfg)
     if holidays is not None:
         df = add_holiday_features(df, holidays, cfg)
-    return add_level_encodings(df, cfg)
+    return df
