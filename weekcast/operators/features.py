@@ -191,14 +191,15 @@ def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastCo
     """The prepare feature set: store/product encodings, calendar, pair windows,
     promo, holidays.
 
-    The store and product encodings are joined while the panel is still lean
-    (their joins shuffle it by (store, week) and (product, week)); the panel is
-    then hash-partitioned by pair once more and every pair window runs on that
-    partitioning.  Joining them after the ~40 window columns exist would
-    shuffle the wide rows twice instead.
+    The store and product encodings are joined while the panel is still lean.
+    When their tables are large the joins shuffle the lean rows by (store, week)
+    and (product, week); that partitioning never satisfies a pair window, so
+    Spark adds one more exchange by pair before the windows.  When AQE
+    broadcasts them, the panel keeps its pair partitioning and no exchange is
+    added.  Joining after the ~40 window columns exist would shuffle the wide
+    rows twice instead.
     """
-    from weekcast.operators.panel import by_pair
-    df = by_pair(add_level_encodings(panel, cfg), cfg)
+    df = add_level_encodings(panel, cfg)
     df = df.withColumns(calendar_columns(cfg.week_col))
     df = add_pair_features(df, cfg, lags)
     if "discount" in df.columns and "gross_value" in df.columns:
