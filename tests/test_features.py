@@ -19,7 +19,7 @@ def panel(spark, series):
 
 
 def test_activity_series(spark):
-    f = ft.add_pair_features(panel(spark, {(1, 1): [0, 0, 0, 5, 0]}), DEFAULT).orderBy("week_start").collect()
+    f = ft.add_pair_features(panel(spark, {(1, 1): [0, 0, 0, 5, 0]}), DEFAULT, ascoded=True).orderBy("week_start").collect()
     assert [r.zero_streak for r in f] == [0, 1, 2, 3, 0]
     assert [r.weeks_since_last_sale for r in f] == [1, 2, 3, 0, 1]           # as coded (R4)
     assert [r.weeks_since_prev_sale for r in f] == [1, 2, 3, 4, 1]           # causal

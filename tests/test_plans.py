@@ -59,3 +59,11 @@ def test_filters_and_columns_reach_the_scan(plan):
 def test_no_cartesian_anywhere(plan):
     for name in ("backtest_smart", "forecast_month", "prepare_registers", "future_calendar", "orphan_impact"):
         assert "CartesianProduct" not in plan(name), name
+
+
+def test_no_quadratic_window_frames(plan):
+    """A frame from the current row to UNBOUNDED FOLLOWING is re-evaluated per row
+    by Spark (quadratic per partition); none may appear on the main paths."""
+    for name in ("prepare_features", "training_matrix", "fc_smart", "fc_ewma", "fc_ma4", "ml_state_step"):
+        p = plan(name)
+        assert not re.search(r"RowFrame, currentrow\$\(\), unboundedfollowing\$\(\)", p), name

@@ -22,7 +22,6 @@ from weekcast.functions.dates import week_start as week_bucket
 from weekcast.functions.scalars import discount_promo
 
 UNB = Window.unboundedPreceding
-UNF = Window.unboundedFollowing
 
 
 def pair_window(cfg: ForecastConfig = DEFAULT):
@@ -58,7 +57,7 @@ def price_columns(cfg: ForecastConfig = DEFAULT) -> dict[str, Column]:
     return {"price_u": price, "price_u_ma8": F.avg(price).over(w.rowsBetween(-8, -1))}
 
 
-def activity_columns(cfg: ForecastConfig = DEFAULT, idx: str = "_idx") -> dict[str, Column]:
+def activity_columns(cfg: ForecastConfig = DEFAULT, idx: str = "_idx", ascoded: bool = False) -> dict[str, Column]:
     """Activity and recency per pair (W5-W8).  Needs the 0-based row index ``idx``.
 
     * ``active_share_k``: share of the previous k rows with qty > 0.
@@ -77,15 +76,20 @@ def activity_columns(cfg: ForecastConfig = DEFAULT, idx: str = "_idx") -> dict[s
     last_incl = F.last(act_idx, ignorenulls=True).over(w.rowsBetween(UNB, 0))
     last_excl = F.last(act_idx, ignorenulls=True).over(w.rowsBetween(UNB, -1))
     first_incl = F.min(act_idx).over(w.rowsBetween(UNB, 0))
-    next_incl = F.first(act_idx, ignorenulls=True).over(w.rowsBetween(0, UNF))
     out = {f"active_share_{k}": F.avg(active).over(w.rowsBetween(-k, -1)) for k in ACTIVE_SHARE_WINDOWS}
     out.update({
         "weeks_since_last_sale": F.coalesce(i - last_incl, i + 1).cast("long"),
         "weeks_since_prev_sale": F.coalesce(i - last_excl, i + 1).cast("long"),
         "weeks_since_first_sale": F.coalesce(i - first_incl, F.lit(0)).cast("long"),
-        "weeks_since_first_sale_ascoded": F.coalesce(i - next_incl, F.lit(0)).cast("long"),
         "zero_streak": F.coalesce(i - 1 - last_excl, i).cast("long"),
     })
+    if ascoded:
+        # nearest sale at or after this row.  A frame ending at UNBOUNDED
+        # FOLLOWING is re-evaluated per row in Spark (quadratic per pair), so
+        # the same value comes from a descending window with a running frame.
+        wd = Window.partitionBy(*cfg.keys).orderBy(F.col(cfg.week_col).desc()).rowsBetween(UNB, 0)
+        next_incl = F.last(act_idx, ignorenulls=True).over(wd)
+        out["weeks_since_first_sale_ascoded"] = F.coalesce(i - next_incl, F.lit(0)).cast("long")
     return out
 
 
@@ -94,14 +98,17 @@ def with_row_index(df: DataFrame, cfg: ForecastConfig = DEFAULT, name: str = "_i
 
 
 def add_pair_features(df: DataFrame, cfg: ForecastConfig = DEFAULT, lags=FEATURE_LAGS,
-                      price: bool = True) -> DataFrame:
-    """All per-pair window features in one Window stage."""
+                      price: bool = True, ascoded: bool = False) -> DataFrame:
+    """All per-pair window features in one Window stage.
+
+    ``ascoded`` adds the reference's back-filled ``weeks_since_first_sale_ascoded``
+    (one extra descending sort; not a model feature)."""
     cols = {}
     cols.update(lag_columns(cfg, lags))
     cols.update(stat_columns(cfg))
     if price and "net_value" in df.columns:
         cols.update(price_columns(cfg))
-    cols.update(activity_columns(cfg))
+    cols.update(activity_columns(cfg, ascoded=ascoded))
     if "n_tx" in df.columns:
         cols["n_tx_lag1"] = F.lag("n_tx", 1).over(pair_window(cfg))
     return with_row_index(df, cfg).withColumns(cols).drop("_idx")

@@ -498,8 +498,8 @@ from weekcast.plans.sqlparts import SQL_HOLIDAYS, SQL_PRODUCTS  # noqa: E402
 PK = ["store_id", "product_id", "week_start"]
 
 
-def f1_pair_features(spark, d):
-    return ft.add_pair_features(f1_panel(spark, d), DEFAULT)
+def f1_pair_features(spark, d, ascoded=False):
+    return ft.add_pair_features(f1_panel(spark, d), DEFAULT, ascoded=ascoded)
 
 
 def _feat_query(name: str, cols: tuple[str, ...], dbl: tuple[str, ...]):
@@ -507,7 +507,8 @@ def _feat_query(name: str, cols: tuple[str, ...], dbl: tuple[str, ...]):
                        f"SELECT store_id, product_id, week_start, {', '.join(cols)} FROM feat"), dbl)
 
     def run(spark, d):
-        return r6df(f1_pair_features(spark, d).select(*PK, *cols))
+        ascoded = any(c.endswith("_ascoded") for c in cols)
+        return r6df(f1_pair_features(spark, d, ascoded).select(*PK, *cols))
     run.__doc__ = f"Pair window features {', '.join(cols)}."
     query(name, sql)(run)
 
