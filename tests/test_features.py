@@ -66,3 +66,21 @@ def test_level_encodings_causal_vs_ascoded(spark):
     asis = {(r.product_id, r.week_start): r for r in ft.add_level_encodings_ascoded(p, DEFAULT).collect()}
     r = asis[(2, W0)]
     assert r.freq_store == 2 and r.avg_qty_store == pytest.approx(3.0)     # order (product, week): 2, 4 before
+
+
+def test_level_encodings_are_causal(spark):
+    """Store / product history at week t ignores weeks >= t of every pair (trap R6)."""
+    base = {(1, 1): [1, 0, 4, 2, 0], (1, 2): [3, 3, 0, 1, 5], (2, 1): [0, 2, 2, 0, 1]}
+    changed = {k: v[:3] + [9, 9] for k, v in base.items()}
+    cols = ["freq_store", "avg_qty_store", "freq_product", "avg_qty_product"]
+
+    def rows(series):
+        out = ft.add_level_encodings(panel(spark, series), DEFAULT).collect()
+        return {(r.store_id, r.product_id, r.week_start): r for r in out}
+
+    a, b = rows(base), rows(changed)
+    cutoff = W0 + dt.timedelta(days=7 * 3)
+    for k, r in a.items():
+        if k[2] <= cutoff:
+            for c in cols:
+                assert r[c] == b[k][c], (k, c)
