@@ -61,3 +61,13 @@ def test_recency_weight_clips(spark):
     df = spark.createDataFrame([(D(2022, 12, 5),), (D(2022, 11, 28),), (D(2000, 1, 3),), (D(2023, 1, 2),)], "w date")
     got = [round(r.x, 6) for r in df.select(recency_weight("w", D(2022, 12, 5), 13).alias("x")).collect()]
     assert got[0] == 1.0 and abs(got[1] - math.exp(-1 / 13)) < 1e-6 and got[2] == 0.001 and got[3] == 1.0
+
+
+def test_config_accepts_iso_strings():
+    import pytest
+    from weekcast.config import ForecastConfig
+    cfg = ForecastConfig(cutoff="2022-12-05", valid_end="2023-01-01", event_weeks=("2022-11-21",))
+    assert cfg.cutoff == D(2022, 12, 5) and cfg.event_weeks == (D(2022, 11, 21),)
+    assert cfg.with_(target_start="2023-01-01").target_start == D(2023, 1, 1)
+    with pytest.raises(ValueError):
+        ForecastConfig(week_anchor="XYZ")

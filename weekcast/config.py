@@ -76,6 +76,14 @@ class ForecastConfig:
     lags: tuple = FEATURE_LAGS
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        # accept ISO strings for every date field
+        for k in ("cutoff", "valid_end", "target_start", "target_end"):
+            object.__setattr__(self, k, to_date(getattr(self, k)))
+        object.__setattr__(self, "event_weeks", tuple(to_date(d) for d in self.event_weeks))
+        if self.week_anchor.upper() not in WEEKDAYS:
+            raise ValueError(f"unknown week anchor: {self.week_anchor}")
+
     @property
     def keys(self) -> list[str]:
         return [self.store_col, self.product_col]
@@ -85,9 +93,6 @@ class ForecastConfig:
         return WEEKDAYS[self.week_anchor.upper()]
 
     def with_(self, **kw) -> "ForecastConfig":
-        for k in ("cutoff", "valid_end", "target_start", "target_end"):
-            if k in kw:
-                kw[k] = to_date(kw[k])
         return replace(self, **kw)
 
 
