@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from weekcast.config import DEFAULT, ForecastConfig
 from weekcast.functions.scalars import export_id, export_quantity
 from weekcast.operators.baselines import forecast
+from weekcast.session import ensure_checkpoint_dir
 
 
 def active_pairs(weekly: DataFrame, start: dt.date, window_weeks: int, cfg: ForecastConfig = DEFAULT) -> DataFrame:
@@ -49,6 +50,12 @@ def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConf
     pred = f"pred_{baseline.lower()}"
     wk = F.col(wc)
     fc = fc.where((wk >= F.lit(cfg.target_start)) & (wk < F.lit(cfg.target_end)))
+    # Numbering the weeks needs the distinct weeks of all pairs first.  The
+    # month's rows (pairs x <= 5) are written once to the checkpoint folder so
+    # the numbering and the output both read them, instead of running the
+    # panel, the windows and the per-pair states twice.
+    ensure_checkpoint_dir(fc.sparkSession)
+    fc = fc.checkpoint(eager=True)
     # weeks are numbered over all pairs, before the active filter
     fc = fc.join(F.broadcast(month_weeks(fc, cfg)), wc)
     if only_active:
