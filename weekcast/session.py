@@ -41,8 +41,17 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set one only in local mode."""
-    sc = spark.sparkContext
+    """Return the session's checkpoint folder; set one only in local mode.
+
+    Under Spark Connect there is no SparkContext on the client; the server's
+    ``spark.checkpoint.dir`` setting is used as is."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
