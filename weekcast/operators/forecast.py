@@ -1,8 +1,8 @@
 """Month forecast for delivery.
 
 Baseline rows are kept inside the target month, numbered 1..n by week
-(the distinct weeks of one month: at most 5 rows, so ranking them and
-broadcasting the result is bounded by the calendar), rounded half-to-even to
+(the sorted distinct weeks of one month: at most 5 dates in one broadcast
+row, bounded by the calendar), rounded half-to-even to
 non-negative integers, and optionally limited to recently active pairs with
 a left-semi join.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from weekcast.config import DEFAULT, ForecastConfig
 from weekcast.functions.scalars import export_id, export_quantity
@@ -28,12 +28,13 @@ def active_pairs(weekly: DataFrame, start: dt.date, window_weeks: int, cfg: Fore
 
 
 def month_weeks(fc: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
-    """Distinct forecast weeks of the target month numbered 1..n.
+    """One row: the sorted distinct forecast weeks of the target month.
 
-    The input is already limited to one month, so this keyless window sees at
-    most 5 rows."""
-    weeks = fc.select(cfg.week_col).distinct()
-    return weeks.withColumn("week_no", F.dense_rank().over(Window.orderBy(cfg.week_col)).cast("long"))
+    A week's number 1..n is its position in this array (the dense rank of the
+    reference).  The input is limited to one month, so the array holds at
+    most 5 dates; it comes from a partial aggregate, not a keyless window.
+    """
+    return fc.agg(F.array_sort(F.collect_set(cfg.week_col)).alias("_month_weeks"))
 
 
 def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConfig = DEFAULT,
@@ -57,7 +58,8 @@ def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConf
     ensure_checkpoint_dir(fc.sparkSession)
     fc = fc.checkpoint(eager=True)
     # weeks are numbered over all pairs, before the active filter
-    fc = fc.join(F.broadcast(month_weeks(fc, cfg)), wc)
+    fc = (fc.crossJoin(F.broadcast(month_weeks(fc, cfg)))
+            .withColumn("week_no", F.array_position("_month_weeks", F.col(wc)).cast("long")))
     if only_active:
         start = active_start or cfg.target_start
         fc = fc.join(active_pairs(weekly, start, active_window, cfg), keys, "left_semi")
