@@ -13,6 +13,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 ORACLE = E.oracle_sql()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
 NO_ORACLE = sorted(set(E.queries()) - set(ORACLE) - {"ml_regressor", "ml_two_stage", "ml_forecast", "ml_save_load"})
 
 
@@ -36,6 +38,10 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [c[0] for c in cur.description]
     drec = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in cur.description}
+    assert spark_types == duck_types
     assert len(srec) == len(drec)
     assert rows_of(srec, sdf.columns) == rows_of(drec, dcols)
 
