@@ -16,3 +16,12 @@ def test_format_switch_and_roundtrip(spark):
     q = shared_dir(spark, "pq")
     write_forecast(df, q, "parquet")
     assert read_forecast(spark, q, "parquet").count() == 2
+
+
+def test_read_parts_is_a_union(spark):
+    from weekcast.sources.readers import read_parts
+    a, b = shared_dir(spark, "part-a"), shared_dir(spark, "part-b")
+    spark.range(0, 5).write.parquet(a)
+    spark.range(5, 12).write.parquet(b)
+    got = read_parts(spark, [a, b])
+    assert got.count() == 12 and got.agg({"id": "sum"}).first()[0] == sum(range(12))
