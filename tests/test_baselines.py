@@ -103,3 +103,13 @@ def test_forecast_weeks_and_counts(spark):
 def test_unknown_baseline_raises(spark):
     with pytest.raises(ValueError):
         bl.forecast(panel(spark, SERIES), "prophet")
+
+
+def test_ewma_alpha_bounds(spark):
+    p = panel(spark, SERIES)
+    with pytest.raises(ValueError):
+        bl.forecast(p, "ewma", alpha=1.5)
+    last_only = preds(bl.forecast(p, "ewma", alpha=1.0), "pred_ewma")
+    assert last_only[(1, 1)] == [8.0] * 5            # alpha 1: the last observed value
+    first_only = preds(bl.forecast(p, "ewma", alpha=0.0), "pred_ewma")
+    assert first_only[(1, 1)] == [3.0] * 5           # alpha 0: the first observed value

@@ -134,6 +134,8 @@ def ewma_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, a
     """
     h = cfg.horizon if horizon is None else horizon
     a = cfg.alpha if alpha is None else alpha
+    if not 0.0 <= float(a) <= 1.0:
+        raise ValueError(f"EWMA alpha must be in [0, 1], got {a}")
     y, wc = F.col(cfg.target_col).cast("double"), cfg.week_col
     obs = (F.col("n_tx") > 0) if (observed_only and "n_tx" in weekly.columns) else F.lit(True)
     o = F.col("_obs")
