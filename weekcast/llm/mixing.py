@@ -61,7 +61,7 @@ def source_targets(sized: DataFrame, source_col: str = "source", weights: tuple[
 
 
 def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source_col: str = "source",
-             max_copies: int = 2, weight_col: str | None = None, bin_rows: int = 20_000) -> DataFrame:
+             max_copies: int = 2, weight_col: str | None = None, bin_rows: int = 1_000) -> DataFrame:
     """``sized`` with source_size, target and copies (long).  All columns of ``sized`` are carried."""
     own = sized.drop("source_size", "n_docs", "target", "copies")
     rows = own.join(targets, F.col(source_col).eqNullSafe(F.col("_src")), "inner").drop("_src")
