@@ -1,4 +1,4 @@
 """All registered queries of this folder: importing the operators fills the registry."""
 
-from . import line_dedup, mixing, quality_rules, sharding, token_files  # noqa: F401
+from . import line_dedup, mixing, quality_rules, secrets, sharding, token_files  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
