@@ -78,3 +78,30 @@ def uniform(seed: int, *columns) -> F.Column:
     parts = [F.lit(str(seed)), *(F.coalesce(c.cast("string"), F.lit("~")) for c in columns)]
     digits = F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def text_key(text: F.Column) -> F.Column:
+    """A hash of a text that tells rows with one id but different texts apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def bounded(df: DataFrame, most: int) -> DataFrame:
+    """A saved table marked for broadcast if it has no more rows than ``most``; else the join shuffles."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` whose id and text key are not in ``gone`` (columns _id and _t), unchanged."""
+    gone = bounded(saved(gone.select(F.col("_id").alias("_gone_id"), F.col("_t").alias("_gone_t")).distinct()), most)
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(docs[text_col]) == F.col("_gone_t")), "left_anti")
+
+
+def sampled_labels(labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``most`` labelled rows (_id, _label) of the training part: those whose CRC-32 of the id as text isn't
+    divisible by 5.  A hash of the id decides which, so reruns agree."""
+    rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).filter("_id is not null and _label is not null")
+    return rows.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(most)
+
+
+def held_out(id_col: F.Column) -> F.Column:
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))

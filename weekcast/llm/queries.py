@@ -1,4 +1,4 @@
 """All registered queries of this folder: importing the operators fills the registry."""
 
-from . import decontaminate, line_dedup, mixing, near_dedup, quality_rules, secrets, sharding, token_files  # noqa: F401
+from . import decontaminate, line_dedup, mixing, near_dedup, quality_rules, secrets, sharding, token_files, toxic_crf  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
