@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, saved
+from .common import bounded, documents, saved, text_key, without
 from .registry import query
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -65,14 +65,9 @@ def fingerprints(rows: DataFrame, word_col: str, k: int, window: int, short: lis
     return kept.select(*names, (F.concat(*tagged) if short else tagged[0]).alias("_prints"))
 
 
-def _bounded(df: DataFrame, most: int) -> DataFrame:
-    """``df`` marked for broadcast if it has no more rows than that (``df`` is a saved table)."""
-    return F.broadcast(df) if df.count() <= most else df
-
-
 def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
               item_text_col: str = "text", window: int = 10, k: int = 5, broadcast_rows: int = 200_000) -> DataFrame:
-    """``id_col``, n_words, n_hit (words inside an occurrence of a window) and items (array of the ids whose
+    """``id_col``, _t (text key), n_words, n_hit (words inside an occurrence of a window) and items (array of the ids whose
     windows occur, sorted as strings) for every row of ``docs``."""
     items = saved(benchmark.select(F.col(item_col).cast("string").alias("_item"), words(F.col(item_text_col)).alias("_w")).filter(F.size("_w") > 0))
     short = sorted(r[0] for r in items.select(F.size("_w")).filter(F.size("_w") < window).distinct().collect())  # window - 1 rows at most
@@ -84,19 +79,19 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                    .select(F.explode("_prints").alias("_p")).select(F.col("_p.len").alias("_len"), F.col("_p.hash").alias("_hash")).distinct()
                    .withColumn("_found", F.lit(1)))
 
-    own = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"), F.col(text_col).alias("_text"))
+    own = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
     split = own.select("_id", "_t", words(F.col("_text")).alias("_w")).withColumn("_n", F.size("_w").cast("long"))
     each = fingerprints(split, "_w", k, window, short).select("_id", "_t", "_n", F.posexplode_outer("_prints").alias("_at", "_p"))
     met = each.select("_id", "_t", "_n", "_at", F.col("_p.len").alias("_len"), F.col("_p.hash").alias("_hash")).join(
-        _bounded(prints, broadcast_rows), ["_len", "_hash"], "left")
+        bounded(prints, broadcast_rows), ["_len", "_hash"], "left")
     rows = saved(met.groupBy("_id", "_t", "_n").agg(F.count(F.when(F.coalesce("_at", F.lit(0)) == 0, 1)).alias("_rows"), F.max("_found").alias("_found")))
 
     candidates = rows.filter("_found = 1").select(F.col("_id").alias("_i"), F.col("_t").alias("_k"))
-    texts = own.join(_bounded(candidates, broadcast_rows), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_t") == F.col("_k")), "left_semi").dropDuplicates(["_id", "_t"])
+    texts = own.join(bounded(candidates, broadcast_rows), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_t") == F.col("_k")), "left_semi").dropDuplicates(["_id", "_t"])
     found = texts.select("_id", "_t", words(F.col("_text")).alias("_w"))
     lengths = F.explode(F.array(F.lit(window), *[F.lit(n) for n in short])).alias("_len")
     spans = (found.select("_id", "_t", "_w", lengths).select("_id", "_t", "_len", F.posexplode(_texts(F.col("_w"), F.col("_len"))).alias("_at", "_text"))
-             .join(_bounded(windows, broadcast_rows), ["_len", "_text"]))
+             .join(bounded(windows, broadcast_rows), ["_len", "_text"]))
     hits = saved(spans.select("_id", "_t", "_len", "_at", "_item"))
     named = hits.groupBy("_id", "_t").agg(F.collect_set("_item").alias("_items"))
     before = Window.partitionBy("_id", "_t").orderBy("_at", "_len").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,7 +101,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     all_hits = named.join(covered.withColumnsRenamed({"_id": "_i", "_t": "_k"}), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_t") == F.col("_k"))).select("_i", "_k", "_items", "_hit")
     out = rows.join(all_hits, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_t") == F.col("_k")), "left")
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_words"), F.coalesce("_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return out.select(F.col("_id").alias(id_col), "_t", F.col("_n").alias("n_words"), F.coalesce("_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce(F.array_sort("_items"), F.array().cast("array<string>")).alias("items"))
 
 
@@ -118,8 +113,8 @@ def _texts(w: Column, length: Column) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a hit, unchanged."""
-    hit = find_hits(docs, benchmark, id_col, text_col, **options).filter("n_hit > 0").select(F.col(id_col).alias("_hit_id")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(F.col("_hit_id")), "left_anti")
+    hit = find_hits(docs, benchmark, id_col, text_col, **options).filter("n_hit > 0")
+    return without(docs, hit.select(F.col(id_col).alias("_id"), "_t"), id_col, text_col)
 
 
 _ORACLE = r"""

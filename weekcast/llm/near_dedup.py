@@ -3,9 +3,9 @@
 Signatures.  A text's words (A-Z lower-cased, split at ASCII white space) give 64-bit shingle hashes.
 Under each of ``permutations`` permutations of the 64-bit numbers both the least and the greatest hash are
 kept: two unbiased samples of the Jaccard similarity for one evaluation of the permutation.  The 2 x
-permutations values are cut into bands; texts that agree on a band share a bucket.  With the standard 60
-permutations in 24 bands of 5, a pair at the threshold of 0.85 is in no common bucket with a
-probability of (1 - 0.85^5)^24 = 8e-7, and of less above it.
+permutations values are cut into bands; texts that agree on a band share a bucket.  With 60
+permutations in 30 bands of 4, a pair at the standard threshold of 0.8 is in no common bucket with a
+probability of (1 - 0.8^4)^30 = 1.4e-7, and of less above it; at 0.85, 24 bands of 5 leave 8e-6.
 
 Groups.  Texts with equal shingle sets are one class (keyed by a 128-bit hash of the set), and only
 classes go on, so copies are never paired.  A bucket links each of its classes to its smallest one;
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, pieces, saved, utf8
+from .common import documents, pieces, saved, text_key, utf8, without
 from .registry import query
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -135,11 +135,11 @@ def _key(s: np.ndarray) -> tuple[int, int]:
 
 
 def signature_table(docs: DataFrame, id_col: str, text_col: str, width: int, n_permutations: int, rows: int, seed: int) -> DataFrame:
-    """_id, n_shingles, _k1, _k2 (hash of the set) and _bands (array of long), a row for every row."""
+    """_id, _t (text key), n_shingles, _k1, _k2 (hash of the set) and _bands (array of long), a row for every row."""
     a, b = permutations(n_permutations, seed)
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    source = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType), *T.StructType.fromDDL(
-        "n_shingles long, _k1 long, _k2 long, _bands array<long>").fields])
+        "_t long, n_shingles long, _k1 long, _k2 long, _bands array<long>").fields])
 
     def run(batches):
         for batch in batches:
@@ -149,7 +149,7 @@ def signature_table(docs: DataFrame, id_col: str, text_col: str, width: int, n_p
                 keys = [_key(s) for s in sets]
                 flat, size = pa.array(bands.reshape(-1)), bands.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()),
+                    [part.column("_id"), part.column("_t"), pa.array([len(s) for s in sets], pa.int64()), pa.array([k for k, _ in keys], pa.int64()),
                      pa.array([k for _, k in keys], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * size, pa.int32()), flat)], names=schema.names)
 
@@ -215,10 +215,10 @@ def linked_pairs(sets: list[np.ndarray], threshold: tuple[int, int], other: np.n
     return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (85, 100),
-                    n_permutations: int = 60, rows: int = 5, block: int = 512, seed: int = 5) -> DataFrame:
-    """``id_col``, n_shingles, component_id (least id of those that links reach, its own included) and kept
-    (it is that id) for every row.  Sets are linked where threshold[1] * |A & B| >= threshold[0] * |A | B|."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (80, 100),
+                    n_permutations: int = 60, rows: int = 4, block: int = 512, seed: int = 5) -> DataFrame:
+    """``id_col``, _t (text key), n_shingles, component_id (least id of those that links reach, its own included) and
+    kept (it is that id) for every row.  Sets are linked where threshold[1] * |A & B| >= threshold[0] * |A | B|."""
     signed = saved(signature_table(docs, id_col, text_col, width, n_permutations, rows, seed))
     own = F.xxhash64("_k1", "_k2")  # names a class; the 128 bits tell classes apart where sets are compared
     classes = signed.filter("n_shingles > 0").groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep"), F.first("n_shingles").alias("_n"), F.first("_bands").alias("_bands"))
@@ -285,12 +285,21 @@ def _result(signed: DataFrame, classes: DataFrame, linked: DataFrame, id_col: st
     labelled = classes.select("_k1", "_k2", "_rep", "_v").join(linked, "_v", "left").withColumn("_c", F.coalesce("_c", "_v"))
     least = labelled.groupBy("_c").agg(F.min("_rep").alias("_least"))
     known = labelled.join(least, "_c").select("_k1", "_k2", "_least")
-    rows = signed.select("_id", "n_shingles", "_k1", "_k2").join(known, ["_k1", "_k2"], "left")
+    rows = signed.select("_id", "_t", "n_shingles", "_k1", "_k2").join(known, ["_k1", "_k2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("_id"))
-    return rows.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn(
+    return rows.select(F.col("_id").alias(id_col), "_t", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose document is kept, unchanged; of rows with equal id and text one stays.
+    Documents without words are in no group and stay."""
+    found = saved(near_duplicates(docs, id_col, text_col, **options))
+    left = without(docs, found.filter(~F.col("kept")).select(F.col(id_col).alias("_id"), "_t"), id_col, text_col)
+    again = found.filter("kept and n_shingles > 0").groupBy(id_col, "_t").count().filter("count > 1")
+    return left if again.isEmpty() else left.dropDuplicates([id_col, text_col])
+
+
 _ORACLE = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -308,4 +317,4 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 
 @query("op3_minmax_near_dedup", _ORACLE)
 def op3(spark, sf_dir):
-    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return near_duplicates(documents(spark, sf_dir), width=3, threshold=(85, 100), rows=5).drop("_t")

@@ -1,4 +1,21 @@
 """All registered queries of this folder: importing the operators fills the registry."""
 
-from . import decontaminate, line_dedup, mixing, near_dedup, quality_rules, secrets, sharding, token_files, toxic_crf  # noqa: F401
-from .registry import ORACLE, QUERIES  # noqa: F401
+import corpus_pipeline
+
+from . import (  # noqa: F401
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_bayes,
+    quality_rules,
+    secrets,
+    sharding,
+    token_files,
+    toxic_crf,
+)
+from .registry import ORACLE, QUERIES
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
