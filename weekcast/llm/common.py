@@ -80,6 +80,11 @@ def uniform(seed: int, *columns) -> F.Column:
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def packed(df: DataFrame, **named: str) -> DataFrame:
+    """All columns of ``df`` in one struct, _row, and the named columns beside it: nothing an operator adds can clash."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), *[df[c].alias(name) for name, c in named.items()])
+
+
 def text_key(text: F.Column) -> F.Column:
     """A hash of a text that tells rows with one id but different texts apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -92,8 +97,8 @@ def bounded(df: DataFrame, most: int) -> DataFrame:
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, most: int = 200_000) -> DataFrame:
     """The rows of ``docs`` whose id and text key are not in ``gone`` (columns _id and _t), unchanged."""
-    gone = bounded(saved(gone.select(F.col("_id").alias("_gone_id"), F.col("_t").alias("_gone_t")).distinct()), most)
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(docs[text_col]) == F.col("_gone_t")), "left_anti")
+    gone = bounded(saved(gone.select("_id", "_t").distinct()), most)
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (text_key(docs[text_col]) == gone["_t"]), "left_anti")
 
 
 def sampled_labels(labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:

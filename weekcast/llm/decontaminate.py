@@ -58,10 +58,14 @@ def fingerprints(rows: DataFrame, word_col: str, k: int, window: int, short: lis
     hashed = rows.withColumn("_h", F.transform(F.col(word_col), lambda w: F.xxhash64(w)))
     hashed = hashed.withColumn("_g", _runs("_h", k))
     kept = hashed.withColumn("_kept", F.array_distinct(_least("_g", window - k + 1)))
-    tagged = [F.transform(F.col("_kept"), lambda x: F.struct(F.lit(window).alias("len"), x.alias("hash")))]
+
+    def tag(column: str, length: int) -> Column:
+        return F.transform(F.col(column), lambda x: F.struct(F.lit(length).alias("len"), x.alias("hash")))
+
+    tagged = [tag("_kept", window)]
     for length in short:
         kept = kept.withColumn(f"_g{length}", F.array_distinct(_runs("_h", length)))
-        tagged.append(F.transform(F.col(f"_g{length}"), lambda x, n=length: F.struct(F.lit(n).alias("len"), x.alias("hash"))))
+        tagged.append(tag(f"_g{length}", length))
     return kept.select(*names, (F.concat(*tagged) if short else tagged[0]).alias("_prints"))
 
 

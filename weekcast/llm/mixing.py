@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, saved, uniform
+from .common import WORD, documents, packed, saved, uniform
 from .registry import query
 
 SEED = 20240607
@@ -62,8 +62,10 @@ def source_targets(sized: DataFrame, source_col: str = "source", weights: tuple[
 
 def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source_col: str = "source",
              max_copies: int = 2, weight_col: str | None = None, bin_rows: int = 1_000) -> DataFrame:
-    """``sized`` with source_size, target and copies (long).  All columns of ``sized`` are carried."""
-    own = sized.drop("source_size", "n_docs", "target", "copies")
+    """``sized`` with source_size, target and copies (long).  Other columns are carried, but for those with
+    names of the operator's own (these three and any that begin with an underscore, save _size, _u and _row)."""
+    given = {id_col, source_col, weight_col, "_size", "_u", "_row"}
+    own = sized.select(*[c for c in sized.columns if c in given or not (c.startswith("_") or c in ("source_size", "n_docs", "target", "copies"))])
     rows = own.join(targets, F.col(source_col).eqNullSafe(F.col("_src")), "inner").drop("_src")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     if weight_col:
@@ -93,10 +95,10 @@ def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", sourc
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     weights: tuple[float, ...] = (3, 1, 2), total_ratio: float = 1.5, max_copies: int = 2) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, with the same columns."""
-    sized = with_size(docs, id_col, text_col)
-    targets = source_targets(sized, source_col, weights, total_ratio, max_copies)
-    taken = allocate(sized, targets, id_col, source_col, max_copies).filter("copies > 0")
-    return taken.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    sized = with_size(packed(docs, _doc=id_col, _source=source_col, _text=text_col), "_doc", "_text").drop("_text")
+    targets = source_targets(sized, "_source", weights, total_ratio, max_copies)
+    taken = allocate(sized, targets, "_doc", "_source", max_copies).filter("copies > 0")
+    return taken.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")
 
 
 _ORACLE = rf"""

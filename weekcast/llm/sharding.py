@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, saved
+from .common import documents, packed, saved
 from .registry import query
 
 SEED = 77_041
@@ -66,8 +66,7 @@ def communication_matrix(sizes: list[int], n_shards: int, seed: int = SEED) -> n
 def shuffle_into_shards(df: DataFrame, n_shards: int = 24, seed: int = SEED, block_rows: int = 50_000) -> DataFrame:
     """The rows of ``df`` with shard (int) and slot (long, gapless from 0 within the shard).  Input columns
     of these names are replaced.  The rows are checkpointed once: pass keys, or whole rows to write."""
-    names = [c for c in df.columns if c not in ("shard", "slot", "_part", "_key", "_block")]
-    held = saved(df.select(*names)).withColumn("_part", F.spark_partition_id())
+    held = saved(packed(df.drop("shard", "slot"))).withColumn("_part", F.spark_partition_id())
     sizes = {r["_part"]: r["n"] for r in held.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a partition
     parts = sorted(sizes)
     total = sum(sizes.values())
@@ -99,7 +98,7 @@ def shuffle_into_shards(df: DataFrame, n_shards: int = 24, seed: int = SEED, blo
     starts = counts.select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     order = Window.partitionBy("shard", "_block").orderBy("_key", "_part", "_at")
     placed = dealt.join(starts, ["shard", "_block"]).withColumn("slot", (F.col("_start") + F.row_number().over(order) - 1).cast("long"))
-    return placed.select(*names, "shard", "slot")
+    return placed.select("_row.*", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str, format: str = "parquet") -> None:  # noqa: A002 - as in DataFrameWriter

@@ -231,7 +231,7 @@ def _lexicon(sample: DataFrame, least_gain: float, most_features: int) -> dict[s
     each = sample.mapInArrow(contexts, "f string, c long, y int")
     toxic = saved(each.filter("y = 1").distinct().groupBy("f").agg(F.count(F.lit(1)).alias("t")).filter("t >= 4"))
     clean = each.filter("y = 0").join(toxic.select("f"), "f", "left_semi").distinct().groupBy("f").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["_label"]: r["n"] for r in sample.groupBy("_label").agg(F.sum(F.length("_text")).alias("n")).collect()}
+    sizes = {r["_label"]: r["n"] or 0 for r in sample.groupBy("_label").agg(F.sum(F.length("_text")).alias("n")).collect()}
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if not 0 < rate < 1:
         return {}
