@@ -29,7 +29,7 @@ def test_dedup_keeps_smallest_and_counts(spark):
     out = qa.dedup(df, ["store_id", "product_id", "txn_date", "gross_value", "quantity"])
     assert out.count() == 2                                        # null keys group together
     assert out.where("store_id = 1").first().net_value == 1.0      # deterministic tie-break
-    c = qa.dedup_counts(df, out).first()
+    c = qa.dedup_counts(df, ["store_id", "product_id", "txn_date", "gross_value", "quantity"]).first()
     assert (c.rows_before, c.rows_after, c.removed) == (5, 2, 3)
 
 

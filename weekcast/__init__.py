@@ -6,7 +6,6 @@ Layout:
   operators/  table operators (weekly aggregate, panel, features, quality,
               baselines, evaluation, forecast, learned model)
   plans/      user-facing entry points and the query registry
-  streaming/  (no streaming in the reference; see module docstring)
 """
 
 from weekcast.config import ForecastConfig

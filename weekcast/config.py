@@ -7,14 +7,13 @@ one frozen dataclass so that every operator reads the same values.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference for equal results.
 # Weekday numbers for the week anchor (ISO: Monday = 1).
 WEEKDAYS = {"MON": 1, "TUE": 2, "WED": 3, "THU": 4, "FRI": 5, "SAT": 6, "SUN": 7}
 # Lags and windows of the weekly feature set.
 FEATURE_LAGS = (1, 2, 3, 4, 8, 12, 26)
-SCRIPT_LAGS = (1, 4, 8, 12, 26)
 ACTIVE_SHARE_WINDOWS = (8, 13, 26)
 PROMO_THRESHOLD = 0.05
 RATIO_EPS = 1e-6
@@ -56,7 +55,7 @@ class ForecastConfig:
 
     ``cutoff`` splits history (< cutoff) from validation; validation ends
     before ``valid_end``; the target month is ``[target_start, target_end)``.
-    Defaults are the one-year fixture calendar (see FIXTURES.md §2).
+    Defaults are the reference's calendar: December 2022 validates, January 2023 is forecast.
     """
 
     store_col: str = "store_id"
@@ -65,16 +64,14 @@ class ForecastConfig:
     week_col: str = "week_start"
     target_col: str = "qty"
     week_anchor: str = "MON"
-    cutoff: dt.date = dt.date(2000, 12, 4)
-    valid_end: dt.date = dt.date(2001, 1, 1)
-    target_start: dt.date = dt.date(2001, 1, 1)
-    target_end: dt.date = dt.date(2001, 2, 1)
+    cutoff: dt.date = dt.date(2022, 12, 5)
+    valid_end: dt.date = dt.date(2023, 1, 1)
+    target_start: dt.date = dt.date(2023, 1, 1)
+    target_end: dt.date = dt.date(2023, 2, 1)
     horizon: int = 5
     alpha: float = 0.5
     country: str = "US"
-    event_weeks: tuple = (dt.date(2000, 11, 20), dt.date(2000, 11, 27))
-    lags: tuple = FEATURE_LAGS
-    extra: dict = field(default_factory=dict)
+    event_weeks: tuple = (dt.date(2022, 11, 21), dt.date(2022, 11, 28))
 
     def __post_init__(self):
         # accept ISO strings for every date field
@@ -97,6 +94,3 @@ class ForecastConfig:
 
 
 DEFAULT = ForecastConfig()
-# Dense all-years fixture (FIXTURES.md §3).
-DENSE = ForecastConfig(cutoff=dt.date(2001, 10, 8), valid_end=dt.date(2001, 11, 5),
-                       target_start=dt.date(2001, 11, 1), target_end=dt.date(2001, 12, 1))

@@ -11,11 +11,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_ratio(num, den) -> Column:
-    """num / den, null when den is 0 or null (ANSI-safe)."""
-    return F.try_divide(_col(num), _col(den))
-
-
 def returns_split(quantity, null_as_zero: bool = True) -> dict[str, Column]:
     """Positive units and returned units of a signed quantity.
 

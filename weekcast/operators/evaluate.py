@@ -72,7 +72,7 @@ def backtest_summary(rows: DataFrame, week_col: str = "week_start", horizon: Dat
     aggs = [v.alias(k) for k, v in m.items()] + [F.count_if("unseen").alias("unseen_rows")]
     if horizon is None:
         return rows.agg(*aggs, F.count_distinct(week_col).alias("horizon"))
-    return rows.agg(*aggs).crossJoin(horizon.select(F.col("_h").cast("long").alias("horizon")))
+    return rows.agg(*aggs).crossJoin(F.broadcast(horizon.select(F.col("_h").cast("long").alias("horizon"))))
 
 
 def backtest(panel: DataFrame, baseline: str = "smart", cfg: ForecastConfig = DEFAULT,

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, functions as F
 from weekcast.config import DEFAULT, ForecastConfig
 from weekcast.functions.scalars import export_id, export_quantity
 from weekcast.operators.baselines import forecast
-from weekcast.session import ensure_checkpoint_dir
 
 
 def active_pairs(weekly: DataFrame, start: dt.date, window_weeks: int, cfg: ForecastConfig = DEFAULT) -> DataFrame:
@@ -27,14 +26,17 @@ def active_pairs(weekly: DataFrame, start: dt.date, window_weeks: int, cfg: Fore
                   .select(*cfg.keys).distinct())
 
 
-def month_weeks(fc: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def month_weeks(weekly: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
     """One row: the sorted distinct forecast weeks of the target month.
 
     A week's number 1..n is its position in this array (the dense rank of the
-    reference).  The input is limited to one month, so the array holds at
-    most 5 dates; it comes from a partial aggregate, not a keyless window.
+    reference).  Forecasts follow a pair's last week, so the weeks come from
+    the distinct last weeks of the pairs (at most one for each calendar week).
     """
-    return fc.agg(F.array_sort(F.collect_set(cfg.week_col)).alias("_month_weeks"))
+    last = weekly.groupBy(*cfg.keys).agg(F.max(cfg.week_col).alias("_l")).select("_l").distinct()
+    weeks = last.select(F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))).alias("_i"), "_l").select(F.date_add("_l", F.col("_i") * 7).alias("_w"))
+    in_month = (F.col("_w") >= F.lit(cfg.target_start)) & (F.col("_w") < F.lit(cfg.target_end))
+    return weeks.where(in_month).agg(F.array_sort(F.collect_set("_w")).alias("_month_weeks"))
 
 
 def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConfig = DEFAULT,
@@ -51,14 +53,8 @@ def forecast_month(weekly: DataFrame, baseline: str = "smart", cfg: ForecastConf
     pred = f"pred_{baseline.lower()}"
     wk = F.col(wc)
     fc = fc.where((wk >= F.lit(cfg.target_start)) & (wk < F.lit(cfg.target_end)))
-    # Numbering the weeks needs the distinct weeks of all pairs first.  The
-    # month's rows (pairs x <= 5) are written once to the checkpoint folder so
-    # the numbering and the output both read them, instead of running the
-    # panel, the windows and the per-pair states twice.
-    ensure_checkpoint_dir(fc.sparkSession)
-    fc = fc.checkpoint(eager=True)
-    # weeks are numbered over all pairs, before the active filter
-    fc = (fc.crossJoin(F.broadcast(month_weeks(fc, cfg)))
+    # weeks are numbered over all pairs, before the active filter; the array is one row
+    fc = (fc.crossJoin(F.broadcast(month_weeks(weekly, cfg)))
             .withColumn("week_no", F.array_position("_month_weeks", F.col(wc)).cast("long")))
     if only_active:
         start = active_start or cfg.target_start

@@ -37,33 +37,55 @@ def dedup(df: DataFrame, subset: list[str]) -> DataFrame:
 
     "Keep first" on file order is not reproducible on a cluster (trap R19);
     the smallest tuple of the other columns is a total, deterministic order.
-    Written as an aggregate (``min`` of a struct), so copies are merged on the
-    map side before the shuffle: a group of copies holding a third of all rows
-    costs no more than any other group.
+    Copies are merged on the map side by a hash aggregate of each column's
+    minimum, maximum and count.  Where these agree, the group has one tuple.
+    Only the rows of the other groups (found by a second scan) go through
+    ``min`` of a struct, which sorts.
     """
     others = [c for c in df.columns if c not in subset]
     if not others:
         return df.dropDuplicates(subset)
-    agg = df.groupBy(*subset).agg(F.min(F.struct(*others)).alias("_keep"))
-    return agg.select(*subset, *[F.col(f"_keep.{c}").alias(c) for c in others]).select(*df.columns)
-
-
-def dedup_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: rows before, rows after, rows removed."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    found = df.groupBy(*subset).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.min(c).alias(c) for c in others], *[F.max(c).alias(f"_max_{c}") for c in others],
+        *[F.count(c).alias(f"_n_{c}") for c in others])
+    one = F.lit(True)
+    for c in others:
+        one = one & F.col(c).eqNullSafe(F.col(f"_max_{c}")) & F.col(f"_n_{c}").isin(F.lit(0), F.col("_rows"))
+    single = found.where(one).select(*df.columns)
+    differ = found.where(~one).select(*[F.col(c).alias(f"_key_{c}") for c in subset])
+    same_key = F.lit(True)
+    for c in subset:
+        same_key = same_key & df[c].eqNullSafe(differ[f"_key_{c}"])
+    least = (df.join(differ, same_key, "left_semi").groupBy(*subset).agg(F.min(F.struct(*others)).alias("_keep"))
+             .select(*subset, *[F.col(f"_keep.{c}").alias(c) for c in others]).select(*df.columns))
+    return single.unionByName(least)
+
+
+def dedup_counts(df: DataFrame, subset: list[str]) -> DataFrame:
+    """One row: rows before, rows after, rows removed by ``dedup`` on ``subset`` (D1, A8), from one scan."""
+    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"))
+    return (groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+            .withColumn("removed", F.col("rows_before") - F.col("rows_after")))
 
 
 def first_per_key(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """One attribute row per key (D2): the smallest attribute tuple, deterministic."""
-    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*cols)).alias("_a"))
+    """One attribute row per key (D2): the smallest attribute tuple, deterministic.
+    Distinct tuples come first (a hash aggregate), so the sort of ``min`` of a struct sees few rows."""
+    return (df.where(F.col(key).isNotNull()).select(key, *cols).distinct().groupBy(key).agg(F.min(F.struct(*cols)).alias("_a"))
               .select(key, *[F.col(f"_a.{c}").alias(c) for c in cols]))
 
 
 def enrich(sales: DataFrame, register: DataFrame, key: str = "store_id", how: str = "left") -> DataFrame:
-    """Transactions joined to a register on the key (J1 left, J2 inner)."""
-    return sales.join(register, key, how)
+    """Transactions joined to a register on the key (J1 left, J2 inner).
+
+    Rows without a key match nothing: an inner join drops them first, a left join
+    spreads them over reducers by a second join column (0 on rows with a key)."""
+    if how == "inner":
+        return sales.where(F.col(key).isNotNull()).join(register, key, how)
+    others = [c for c in sales.columns if c != key]
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(997)) + 1).otherwise(F.lit(0)).cast("long")
+    return (sales.withColumn("_spread", spread).join(register.withColumn("_spread", F.lit(0).cast("long")), [key, "_spread"], how)
+            .drop("_spread"))
 
 
 def orphan_keys(sales: DataFrame, register: DataFrame, key: str = "store_id") -> DataFrame:
@@ -100,12 +122,11 @@ def key_set_audit(sales: DataFrame, register: DataFrame, key: str = "store_id",
                   register_key: str | None = None) -> DataFrame:
     """One row: |keys in transactions|, |keys in register|, |transaction keys - register keys| (O2)."""
     rk = register_key or key
-    a = sales.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    b = register.select(F.col(rk).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    na = a.agg(F.count(F.lit(1)).alias("keys_in_sales"))
-    nb = b.agg(F.count(F.lit(1)).alias("keys_in_register"))
-    nd = a.join(b, "_k", "left_anti").agg(F.count(F.lit(1)).alias("keys_without_register"))
-    return na.crossJoin(nb).crossJoin(nd)
+    a = sales.select(F.col(key).alias("_k"), F.lit(1).alias("_a"), F.lit(0).alias("_b"))
+    b = register.select(F.col(rk).alias("_k"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    keys = a.unionByName(b).where(F.col("_k").isNotNull()).groupBy("_k").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    return keys.agg(F.count_if(F.col("_a") == 1).alias("keys_in_sales"), F.count_if(F.col("_b") == 1).alias("keys_in_register"),
+                    F.count_if((F.col("_a") == 1) & (F.col("_b") == 0)).alias("keys_without_register"))
 
 
 def profile(df: DataFrame, date_col: str = "txn_date", store: str = "store_id",
@@ -133,6 +154,8 @@ def table_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Bernoulli sample of the rows (S7); the fraction is the feature, not a cap."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, key: list[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """A sample of about ``fraction`` of the rows (S7): those whose hash of seed and key falls below it.
+    It doesn't depend on how rows lie in partitions, so reruns agree; rows with equal keys go together."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in key])
+    return df.where(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") < F.lit(fraction * 4294967296))

@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weekcast.config import DEFAULT
 from weekcast.operators import baselines as bl
 from weekcast.operators.evaluate import backtest_summary, eval_rows
 from weekcast.operators.forecast import active_pairs, forecast_month
@@ -21,6 +20,7 @@ from weekcast.operators.weekly import weekly_sales
 from weekcast.plans import oracle_fc as ofc
 from weekcast.plans.sqlparts import (SQL_SALES_CLEAN, SQL_STORES, base_ctes, r6, with_ctes)
 from weekcast.sources import fixtures as fx
+from weekcast.sources.fixtures import CALENDAR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,7 +54,7 @@ def f1_sales(spark, d):
 
 
 def f1_weekly(spark, d, anchor="MON"):
-    cfg = DEFAULT.with_(week_anchor=anchor)
+    cfg = CALENDAR.with_(week_anchor=anchor)
     return weekly_sales(f1_sales(spark, d), cfg)
 
 
@@ -160,10 +160,10 @@ query("fc_smart_grid", _sql)(_run)
 def _cold_sql() -> str:
     ctes = base_ctes() + [
         ("hist", "SELECT p.*, s.store_category FROM panel p LEFT JOIN (" + SQL_STORES + ") s USING (store_id) "
-                 "WHERE week_start < DATE '2000-12-04'"),
+                 "WHERE week_start < DATE '2001-10-08'"),
         ("cold", "SELECT DISTINCT p.store_id, p.product_id, s.store_category FROM panel p LEFT JOIN ("
-                 + SQL_STORES + ") s USING (store_id) WHERE week_start >= DATE '2000-12-04' "
-                 "AND week_start < DATE '2001-01-01'"),
+                 + SQL_STORES + ") s USING (store_id) WHERE week_start >= DATE '2001-10-08' "
+                 "AND week_start < DATE '2001-11-05'"),
     ]
     body = ofc.smart_sql("hist", "5", category=True, extra="cold")
     return r6(with_ctes(ctes, f"SELECT store_id, product_id, week_start, pred AS pred_smart FROM ({body}) f"),
@@ -176,19 +176,19 @@ def q_fc_smart_cold(spark, d):
     get the product x store-category -> product -> global mean (trap R8)."""
     stores = fx.stores_register(spark, d).select("store_id", "store_category")
     p = f1_panel(spark, d).join(stores, "store_id", "left")
-    hist = p.where(F.col("week_start") < F.lit(DEFAULT.cutoff))
-    cold = p.where((F.col("week_start") >= F.lit(DEFAULT.cutoff)) & (F.col("week_start") < F.lit(DEFAULT.valid_end))) \
+    hist = p.where(F.col("week_start") < F.lit(CALENDAR.cutoff))
+    cold = p.where((F.col("week_start") >= F.lit(CALENDAR.cutoff)) & (F.col("week_start") < F.lit(CALENDAR.valid_end))) \
             .select("store_id", "product_id", "store_category")
-    st = bl.smart_state(hist, DEFAULT, extra_pairs=cold)
-    return r6df(bl.explode_state(st, DEFAULT, "pred_smart"))
+    st = bl.smart_state(hist, CALENDAR, extra_pairs=cold)
+    return r6df(bl.explode_state(st, CALENDAR, "pred_smart"))
 
 
 # ------------------------------------------------------------------ M7 backtest
 def _eval_sql(name: str, restrict_lags: bool = False) -> tuple[str, str]:
     """(CTE list text, rows select) for the back-test of one baseline."""
     ctes = base_ctes() + [
-        ("hist", "SELECT * FROM panel WHERE week_start < DATE '2000-12-04'"),
-        ("valid", "SELECT * FROM panel WHERE week_start >= DATE '2000-12-04' AND week_start < DATE '2001-01-01'"),
+        ("hist", "SELECT * FROM panel WHERE week_start < DATE '2001-10-08'"),
+        ("valid", "SELECT * FROM panel WHERE week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05'"),
         ("hz", "SELECT count(DISTINCT week_start) AS h FROM valid"),
         ("preds", ofc.FC_SQL[name]("hist", "SELECT h FROM hz")),
     ]
@@ -219,8 +219,8 @@ def _backtest(name: str, restrict_lags: bool = False):
         p = f1_panel(spark, d)
         if restrict_lags:
             from weekcast.operators.features import lag_columns
-            p = p.withColumns(lag_columns(DEFAULT))
-        return r6df(backtest_summary(eval_rows(p, name, DEFAULT, restrict_lags=restrict_lags)))
+            p = p.withColumns(lag_columns(CALENDAR))
+        return r6df(backtest_summary(eval_rows(p, name, CALENDAR, restrict_lags=restrict_lags)))
 
     ctes, rows = _eval_sql(name, restrict_lags)
     sql = r6(with_ctes(ctes + [("er", rows)], SUMMARY_SQL), ("wmape_all", "wmape_pos"))
@@ -240,7 +240,7 @@ _ctes, _rows = _eval_sql("smart")
 @query("eval_rows", r6(with_ctes(_ctes, f"SELECT week_start, store_id, product_id, y_true, y_pred, abs_err FROM ({_rows}) e"),
                        ("y_true", "y_pred", "abs_err")))
 def q_eval_rows(spark, d):
-    er = eval_rows(f1_panel(spark, d), "smart")
+    er = eval_rows(f1_panel(spark, d), "smart", CALENDAR)
     return r6df(er.drop("unseen"))
 
 
@@ -249,7 +249,7 @@ SELECT week_start, sum(abs_err) / GREATEST(sum(abs(y_true)), 1e-9) AS wmape, cou
 FROM er GROUP BY week_start"""), ("wmape",)))
 def q_wmape(spark, d):
     """WMAPE per validation week of the smart baseline (A4)."""
-    er = eval_rows(f1_panel(spark, d), "smart")
+    er = eval_rows(f1_panel(spark, d), "smart", CALENDAR)
     return r6df(er.groupBy("week_start").agg(
         (F.sum("abs_err") / F.greatest(F.sum(F.abs("y_true")), F.lit(1e-9))).alias("wmape"),
         F.count(F.lit(1)).alias("rows")))
@@ -259,11 +259,11 @@ def q_wmape(spark, d):
 def _month_sql(active: bool) -> str:
     ctes = base_ctes() + [("fc", ofc.smart_sql("panel", "5")),
                           ("mon", "SELECT *, dense_rank() OVER (ORDER BY week_start)::BIGINT AS week_no FROM fc "
-                                  "WHERE week_start >= DATE '2001-01-01' AND week_start < DATE '2001-02-01'")]
+                                  "WHERE week_start >= DATE '2001-11-05' AND week_start < DATE '2001-12-10'")]
     where = ""
     if active:
-        ctes.append(("act", "SELECT DISTINCT store_id, product_id FROM panel WHERE week_start >= DATE '2001-01-01' - INTERVAL 91 DAY "
-                            "AND week_start < DATE '2001-01-01' AND qty > 0"))
+        ctes.append(("act", "SELECT DISTINCT store_id, product_id FROM panel WHERE week_start >= DATE '2001-11-05' - INTERVAL 91 DAY "
+                            "AND week_start < DATE '2001-11-05' AND qty > 0"))
         where = ("WHERE EXISTS (SELECT 1 FROM act a WHERE a.store_id = m.store_id AND a.product_id = m.product_id)")
     return with_ctes(ctes, f"""
 SELECT m.week_no, COALESCE(m.store_id, 0)::BIGINT AS store_id,
@@ -273,20 +273,20 @@ FROM mon m {where}""")
 
 @query("forecast_month", _month_sql(False))
 def q_forecast_month(spark, d):
-    return forecast_month(f1_panel(spark, d), "smart")
+    return forecast_month(f1_panel(spark, d), "smart", CALENDAR)
 
 
 @query("forecast_month_active", _month_sql(True))
 def q_forecast_month_active(spark, d):
-    return forecast_month(f1_panel(spark, d), "smart", only_active=True, active_window=13)
+    return forecast_month(f1_panel(spark, d), "smart", CALENDAR, only_active=True, active_window=13)
 
 
 @query("active_pairs", with_ctes(base_ctes(), """
 SELECT DISTINCT store_id, product_id FROM panel
-WHERE week_start >= DATE '2001-01-01' - INTERVAL 21 DAY AND week_start < DATE '2001-01-01' AND qty > 0"""))
+WHERE week_start >= DATE '2001-11-05' - INTERVAL 21 DAY AND week_start < DATE '2001-11-05' AND qty > 0"""))
 def q_active_pairs(spark, d):
     """Pairs sold in the 3 weeks before the target month (the delivery recipe's window)."""
-    return active_pairs(f1_panel(spark, d), DEFAULT.target_start, 3)
+    return active_pairs(f1_panel(spark, d), CALENDAR.target_start, 3)
 
 
 # ------------------------------------------------------------- quality
@@ -297,7 +297,7 @@ from weekcast.sources.normalize import consolidate_schema, canonical_rename, sta
 
 DEDUP_SUBSET = ["store_id", "product_id", "txn_date", "gross_value", "quantity"]
 TYPED_DOUBLES = ("quantity",) + MONEY
-YEAR_START, YEAR_END = fx.F1_START, fx.dt.date(2000, 12, 31)
+YEAR_START, YEAR_END = fx.F3_START, fx.F3_END
 
 
 def f3_typed(spark, d):
@@ -347,7 +347,7 @@ SELECT b.n AS rows_before, a.n AS rows_after, b.n - a.n AS removed
 FROM (SELECT count(*) AS n FROM ({SQL_SALES_DIRTY_TYPED}) t) b, (SELECT count(*) AS n FROM ({_DEDUP_SQL}) u) a""")
 def q_dedup_counts(spark, d):
     t = f3_typed(spark, d)
-    return qa.dedup_counts(t, qa.dedup(t, DEDUP_SUBSET))
+    return qa.dedup_counts(t, DEDUP_SUBSET)
 
 
 _CLEAN_SALES_SQL = f"""
@@ -429,10 +429,9 @@ def q_key_set_audit(spark, d):
 
 @query("union_parts", r6(f"SELECT * FROM ({SQL_SALES_CLEAN}) s", ("quantity",) + MONEY))
 def q_union_parts(spark, d):
-    """The year read as two date partitions and concatenated (O1)."""
+    """The sales read as two date partitions and concatenated (O1)."""
     mid = fx.dt.date(2000, 7, 1)
-    first = fx.sales_clean(spark, d, fx.F1_START, mid)
-    second = fx.sales_clean(spark, d, mid, fx.F1_END)
+    first, second = fx.sales_clean(spark, d, end=mid), fx.sales_clean(spark, d, start=mid)
     return r6df(first.unionByName(second))
 
 
@@ -457,35 +456,38 @@ def q_table_shapes(spark, d):
     return qa.table_shapes({t: read_table(spark, d, t) for t in ("lineitem", "part", "supplier")})
 
 
-@query("sample_10pct")
+@query("sample_10pct", r6(f"""
+SELECT s.*, r.premise, r.store_category, r.zipcode FROM ({SQL_SALES_CLEAN}) s JOIN ({SQL_STORES}) r USING (store_id)
+WHERE ('0x' || substr(md5('42|' || store_id || '|' || product_id || '|' || txn_date::VARCHAR), 1, 8))::BIGINT < 0.1 * 4294967296""",
+                         ("quantity",) + MONEY))
 def q_sample_10pct(spark, d):
-    """10 % Bernoulli sample of the consolidated set, seed 42 (S7; rows-only check)."""
-    return r6df(qa.sample_rows(fx.consolidated_clean(spark, d), 0.1, 42))
+    """10 % of the consolidated set by a hash of the row's key, seed 42."""
+    return r6df(qa.sample_rows(fx.consolidated_clean(spark, d), ["store_id", "product_id", "txn_date"], 0.1, 42))
 
 
 # ------------------------------------------------------------- splits
 @query("temporal_split", r6(with_ctes(base_ctes(), """
-SELECT CASE WHEN week_start < DATE '2000-12-04' THEN 'train' ELSE 'valid' END AS split,
+SELECT CASE WHEN week_start < DATE '2001-10-08' THEN 'train' ELSE 'valid' END AS split,
        count(*) AS rows, sum(qty) AS qty, min(week_start) AS first_week, max(week_start) AS last_week
 FROM panel GROUP BY 1"""), ("qty",)))
 def q_temporal_split(spark, d):
     p = f1_panel(spark, d)
-    lab = F.when(F.col("week_start") < F.lit(DEFAULT.cutoff), "train").otherwise("valid")
+    lab = F.when(F.col("week_start") < F.lit(CALENDAR.cutoff), "train").otherwise("valid")
     return r6df(p.groupBy(lab.alias("split")).agg(F.count(F.lit(1)).alias("rows"), F.sum("qty").alias("qty"),
                                                   F.min("week_start").alias("first_week"),
                                                   F.max("week_start").alias("last_week")))
 
 
 @query("split_counts", with_ctes(base_ctes(), """
-SELECT count(*) FILTER (WHERE week_start < DATE '2000-12-04') AS rows_train,
-       count(*) FILTER (WHERE week_start >= DATE '2000-12-04') AS rows_valid,
-       count(*) FILTER (WHERE week_start >= DATE '2000-12-04' AND week_start < DATE '2001-01-01') AS rows_valid_window,
+SELECT count(*) FILTER (WHERE week_start < DATE '2001-10-08') AS rows_train,
+       count(*) FILTER (WHERE week_start >= DATE '2001-10-08') AS rows_valid,
+       count(*) FILTER (WHERE week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05') AS rows_valid_window,
        count(*) AS rows_total FROM panel"""))
 def q_split_counts(spark, d):
     p, wk = f1_panel(spark, d), F.col("week_start")
-    return p.agg(F.count_if(wk < F.lit(DEFAULT.cutoff)).alias("rows_train"),
-                 F.count_if(wk >= F.lit(DEFAULT.cutoff)).alias("rows_valid"),
-                 F.count_if((wk >= F.lit(DEFAULT.cutoff)) & (wk < F.lit(DEFAULT.valid_end))).alias("rows_valid_window"),
+    return p.agg(F.count_if(wk < F.lit(CALENDAR.cutoff)).alias("rows_train"),
+                 F.count_if(wk >= F.lit(CALENDAR.cutoff)).alias("rows_valid"),
+                 F.count_if((wk >= F.lit(CALENDAR.cutoff)) & (wk < F.lit(CALENDAR.valid_end))).alias("rows_valid_window"),
                  F.count(F.lit(1)).alias("rows_total"))
 
 
@@ -499,7 +501,7 @@ PK = ["store_id", "product_id", "week_start"]
 
 
 def f1_pair_features(spark, d, ascoded=False):
-    return ft.add_pair_features(f1_panel(spark, d), DEFAULT, ascoded=ascoded)
+    return ft.add_pair_features(f1_panel(spark, d), CALENDAR, ascoded=ascoded)
 
 
 def _feat_query(name: str, cols: tuple[str, ...], dbl: tuple[str, ...]):
@@ -535,7 +537,7 @@ def q_feat_calendar(spark, d):
                                    ("avg_qty_store", "avg_qty_product")))
 def q_feat_expanding_causal(spark, d):
     """Rows and mean qty of the store / product in all earlier weeks (W9, W10 causal)."""
-    out = ft.add_level_encodings(f1_panel(spark, d), DEFAULT)
+    out = ft.add_level_encodings(f1_panel(spark, d), CALENDAR)
     return r6df(out.select(*PK, "freq_store", "avg_qty_store", "freq_product", "avg_qty_product"))
 
 
@@ -544,7 +546,7 @@ def q_feat_expanding_causal(spark, d):
                                  ("avg_qty_store", "avg_qty_product")))
 def q_feat_expanding_asis(spark, d):
     """Expanding means in the reference's (product, week) / (store, week) order (W10, trap R6)."""
-    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), DEFAULT)
+    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), CALENDAR)
     return r6df(out.select(*PK, "avg_qty_store", "avg_qty_product"))
 
 
@@ -552,13 +554,13 @@ def q_feat_expanding_asis(spark, d):
                                            f"FROM ({ofe.level_ascoded_sql('panel')}) x"))
 def q_feat_freq(spark, d):
     """Running row count per store and per product in the reference's order."""
-    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), DEFAULT)
+    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), CALENDAR)
     return out.select(*PK, "freq_store", "freq_product")
 
 
 @query("feat_promo", r6(with_ctes(base_ctes(), ofe.PROMO_SQL), ("discount_rate", "discount_rate_lag1")))
 def q_feat_promo(spark, d):
-    out = ft.add_discount_promo(f1_panel(spark, d), DEFAULT)
+    out = ft.add_discount_promo(f1_panel(spark, d), CALENDAR)
     return r6df(out.select(*PK, "discount_rate", "promo_flag", "discount_rate_lag1", "promo_flag_lag1"))
 
 
@@ -570,7 +572,7 @@ SELECT store_id, product_id, week_start,
        (week_start IN (DATE '2000-11-20', DATE '2000-11-27'))::INTEGER AS is_bf_cm_week
 FROM panel"""))
 def q_feat_holiday(spark, d):
-    out = ft.add_holiday_features(f1_panel(spark, d), fx.holidays_table(spark), DEFAULT)
+    out = ft.add_holiday_features(f1_panel(spark, d), fx.holidays_table(spark), CALENDAR)
     return out.select(*PK, "is_holiday", "is_holiday_week", "is_bf_cm_week")
 
 
@@ -581,17 +583,17 @@ FROM panel p LEFT JOIN ({SQL_STORES}) s USING (store_id) LEFT JOIN ({SQL_PRODUCT
 def q_panel_enriched(spark, d):
     """Panel with store and product register attributes."""
     from weekcast.operators.panel import enrich_panel
-    p = enrich_panel(f1_panel(spark, d), fx.stores_register(spark, d), fx.products_register(spark, d), DEFAULT)
+    p = enrich_panel(f1_panel(spark, d), fx.stores_register(spark, d), fx.products_register(spark, d), CALENDAR)
     return r6df(p)
 
 
 @query("history_window", r6(with_ctes(base_ctes(), """
-SELECT * FROM panel WHERE week_start >= DATE '2000-12-04' - INTERVAL 182 DAY AND week_start < DATE '2000-12-04'"""),
+SELECT * FROM panel WHERE week_start >= DATE '2001-10-08' - INTERVAL 182 DAY AND week_start < DATE '2001-10-08'"""),
                             WEEKLY_DOUBLES))
 def q_history_window(spark, d):
     """Training rows of the last 26 weeks before the cut-off."""
     from weekcast.operators.ml import history_window
-    return r6df(history_window(f1_panel(spark, d), DEFAULT, 26))
+    return r6df(history_window(f1_panel(spark, d), CALENDAR, 26))
 
 
 @query("future_weeks", with_ctes(base_ctes(), """
@@ -613,7 +615,7 @@ def q_latest_state(spark, d):
     """Latest row of each pair with its features."""
     from weekcast.operators.ml import latest_rows
     cols = ["qty", "lag_qty_1", "lag_qty_2", "lag_qty_26", "weeks_since_last_sale", "zero_streak"]
-    return r6df(latest_rows(f1_pair_features(spark, d), DEFAULT).select(*PK, *cols))
+    return r6df(latest_rows(f1_pair_features(spark, d), CALENDAR).select(*PK, *cols))
 
 
 @query("backoff_means", r6(with_ctes(base_ctes() + [("pc", f"SELECT p.*, s.store_category FROM panel p LEFT JOIN ({SQL_STORES}) s USING (store_id)")], """
@@ -625,7 +627,7 @@ CROSS JOIN (SELECT COALESCE(avg(qty), 0) AS mean_global FROM pc WHERE n_tx > 0)
 def q_backoff_means(spark, d):
     """Observed-week means by product x store category, product and overall."""
     p = f1_panel(spark, d).join(fx.stores_register(spark, d).select("store_id", "store_category"), "store_id", "left")
-    by_cat, by_prod, glob = bl.backoff_means(p, DEFAULT)
+    by_cat, by_prod, glob = bl.backoff_means(p, CALENDAR)
     out = by_cat.join(by_prod, "product_id").crossJoin(F.broadcast(glob))
     return r6df(out.select("product_id", "store_category", F.col("_mean_cat").alias("mean_cat"),
                            F.col("_mean_prod").alias("mean_prod"), F.col("_mean_global").alias("mean_global")))
@@ -642,7 +644,6 @@ def q_round_export(spark, d):
 
 
 # ------------------------------------------------------------- learned model (L)
-from weekcast.config import DENSE  # noqa: E402
 from weekcast.operators import ml  # noqa: E402
 from weekcast.plans.sqlparts import SQL_SALES_DENSE  # noqa: E402
 
@@ -652,8 +653,8 @@ ML_ITER = 20
 def f2_featured(spark, d, span="to_global_max"):
     """Dense fixture, panel extended to its last week, full feature set."""
     from weekcast.operators.panel import panel as make_panel
-    wk = weekly_sales(fx.sales_dense(spark, d), DENSE)
-    return ft.build_features(make_panel(wk, DENSE, span), fx.holidays_table(spark), DENSE)
+    wk = weekly_sales(fx.sales_dense(spark, d), CALENDAR)
+    return ft.build_features(make_panel(wk, CALENDAR, span), fx.holidays_table(spark), CALENDAR)
 
 
 def _f2_feature_ctes() -> list[tuple[str, str]]:
@@ -691,19 +692,19 @@ WHERE (week_start < {cut} AND week_start >= {cut} - INTERVAL 182 DAY) OR (week_s
 def q_training_matrix(spark, d):
     """Model rows of the dense fixture: 26 weeks of history, 13-week decay weights,
     causal features imputed with 0 (L1, N6, N7, X6)."""
-    tm = ml.training_matrix(f2_featured(spark, d), DENSE, history_weeks=26, decay_weeks=13, causal=True)
+    tm = ml.training_matrix(f2_featured(spark, d), CALENDAR, history_weeks=26, decay_weeks=13, causal=True)
     return r6df(tm)
 
 
 @query("recency_weight", r6(with_ctes(base_ctes(), """
 SELECT store_id, product_id, week_start,
-       LEAST(GREATEST(exp(-GREATEST(date_diff('day', week_start, DATE '2000-12-04') / 7.0, 0) / 13.0), 1e-3), 1.0) AS weight
-FROM panel WHERE week_start < DATE '2000-12-04' AND week_start >= DATE '2000-12-04' - INTERVAL 182 DAY"""), ("weight",)))
+       LEAST(GREATEST(exp(-GREATEST(date_diff('day', week_start, DATE '2001-10-08') / 7.0, 0) / 13.0), 1e-3), 1.0) AS weight
+FROM panel WHERE week_start < DATE '2001-10-08' AND week_start >= DATE '2001-10-08' - INTERVAL 182 DAY"""), ("weight",)))
 def q_recency_weight(spark, d):
     """exp(-weeks before cut-off / 13) clipped to [1e-3, 1] on the last 26 weeks."""
     from weekcast.functions.scalars import recency_weight
-    h = ml.history_window(f1_panel(spark, d), DEFAULT, 26)
-    return r6df(h.select(*PK, recency_weight("week_start", DEFAULT.cutoff, 13).alias("weight")))
+    h = ml.history_window(f1_panel(spark, d), CALENDAR, 26)
+    return r6df(h.select(*PK, recency_weight("week_start", CALENDAR.cutoff, 13).alias("weight")))
 
 
 def _state_step_sql() -> str:
@@ -738,13 +739,13 @@ def q_ml_state_step(spark, d):
     counters) must equal the training windows evaluated one week past the
     history (L4 state rebuild, traps R13, R14, R21)."""
     feats = ml.model_features(True)
-    st = ml.forecast_state(f2_featured(spark, d), feats, DENSE)
-    x = ml.step_features(st, F.date_add("last_week", 7), DENSE)
+    st = ml.forecast_state(f2_featured(spark, d), feats, CALENDAR)
+    x = ml.step_features(st, F.date_add("last_week", 7), CALENDAR)
     return r6df(x.select(*PK, *STATE_STEP_COLS))
 
 
 def _trained(spark, d, two_stage: bool):
-    return ml.train(f2_featured(spark, d), DENSE, two_stage=two_stage, tau=0.1, history_weeks=26,
+    return ml.train(f2_featured(spark, d), CALENDAR, two_stage=two_stage, tau=0.1, history_weeks=26,
                     decay_weeks=13, max_iter=ML_ITER)
 
 
@@ -766,7 +767,7 @@ def q_ml_two_stage(spark, d):
 def q_ml_forecast(spark, d):
     """Recursive 5-week learned forecast for the pairs active in the last 3 weeks (L4; rows-only)."""
     art = _trained(spark, d, True)
-    return ml.forecast_ml(f2_featured(spark, d), art, DENSE, fx.holidays_table(spark),
+    return ml.forecast_ml(f2_featured(spark, d), art, CALENDAR, fx.holidays_table(spark),
                           only_active=True, active_window=3)
 
 
@@ -789,7 +790,7 @@ def _roundtrip(spark, d, fmt):
     from weekcast.session import shared_dir
     from weekcast.sources.sinks import read_forecast, write_forecast
     path = shared_dir(spark, f"forecast-{fmt}")
-    write_forecast(forecast_month(f1_panel(spark, d), "smart"), path, fmt)
+    write_forecast(forecast_month(f1_panel(spark, d), "smart", CALENDAR), path, fmt)
     return read_forecast(spark, path, fmt)
 
 
@@ -810,7 +811,7 @@ SELECT p.store_id, p.product_id, w.week_start, weekofyear(w.week_start)::INTEGER
        month(w.week_start)::INTEGER AS month, quarter(w.week_start)::INTEGER AS quarter,
        (w.week_start IN (SELECT holiday_date FROM hol))::INTEGER AS is_holiday
 FROM (SELECT DISTINCT store_id, product_id FROM panel) p
-CROSS JOIN (SELECT CAST(DATE '2001-01-01' + CAST(7 * i AS INTEGER) AS DATE) AS week_start
+CROSS JOIN (SELECT CAST(DATE '2001-11-05' + CAST(7 * i AS INTEGER) AS DATE) AS week_start
             FROM (SELECT unnest(generate_series(0, 4)) AS i) t) w"""))
 def q_future_calendar(spark, d):
     """Every pair x the 5 target weeks with their calendar and holiday flags.
@@ -818,9 +819,9 @@ def q_future_calendar(spark, d):
     holiday flags come from an equi-join with the small holiday table."""
     from weekcast.operators.panel import future_weeks
     pairs = f1_panel(spark, d).select("store_id", "product_id").distinct()
-    start = F.date_sub(F.lit(DEFAULT.target_start), 7)          # future_weeks starts one week later
+    start = F.date_sub(F.lit(CALENDAR.target_start), 7)          # future_weeks starts one week later
     rows = pairs.select("store_id", "product_id", F.explode(future_weeks(start, 5)).alias("week_start"))
-    rows = ft.add_holiday_features(rows, fx.holidays_table(spark), DEFAULT)
+    rows = ft.add_holiday_features(rows, fx.holidays_table(spark), CALENDAR)
     cc = calendar_columns("week_start")
     return rows.select("store_id", "product_id", "week_start", cc["week"].alias("week"), cc["month"].alias("month"),
                        cc["quarter"].alias("quarter"), "is_holiday")
@@ -832,7 +833,7 @@ def q_prepare_features(spark, d):
     local panel, register attributes, every feature (U1; rows-only, the parts are
     checked by the feat_* oracles)."""
     from weekcast.plans.pipeline import prepare
-    return r6df(prepare(fx.consolidated_clean(spark, d), DEFAULT, holidays=fx.holidays_table(spark),
+    return r6df(prepare(fx.consolidated_clean(spark, d), CALENDAR, holidays=fx.holidays_table(spark),
                         products=fx.products_register(spark, d)))
 
 
@@ -859,7 +860,7 @@ def q_prepare_registers(spark, d):
     filter -> subset dedup -> weekly aggregate -> store and product registers ->
     full grid panel -> calendar and lag features."""
     from weekcast.plans.pipeline import prepare
-    out = prepare(fx.sales_dirty(spark, d), DEFAULT, stores=fx.stores_register(spark, d),
+    out = prepare(fx.sales_dirty(spark, d), CALENDAR, stores=fx.stores_register(spark, d),
                   products=fx.products_register(spark, d), span="grid", dedup_subset=DEDUP_SUBSET,
                   date_range=(YEAR_START, YEAR_END))
     return r6df(out.select(*PK, *_U6_COLS))
@@ -872,6 +873,6 @@ def q_roundtrip_eval_csv(spark, d):
     from weekcast.session import shared_dir
     from weekcast.sources.sinks import write_eval_csv
     path = shared_dir(spark, "eval-csv")
-    write_eval_csv(eval_rows(f1_panel(spark, d), "smart"), path)
+    write_eval_csv(eval_rows(f1_panel(spark, d), "smart", CALENDAR), path)
     schema = "week_start date, store_id long, product_id long, y_true double, y_pred double, abs_err double"
     return r6df(spark.read.schema(schema).option("sep", ";").option("header", True).csv(path))

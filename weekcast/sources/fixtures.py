@@ -10,11 +10,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weekcast.config import ForecastConfig
 from weekcast.sources.readers import read_table
 
 # Fixed values of the fixture calendar (FIXTURES.md §2 and §5).
-F1_START = dt.date(2000, 1, 1)
-F1_END = dt.date(2001, 1, 1)
+F3_START, F3_END = dt.date(2000, 1, 1), dt.date(2000, 12, 31)  # the year that F1 and U6 keep of the dirty sales
 EVENT_WEEKS = (dt.date(2000, 11, 20), dt.date(2000, 11, 27))
 # US federal holidays (with observed days) of 2000 and 2001.
 US_HOLIDAYS = (
@@ -23,6 +23,9 @@ US_HOLIDAYS = (
     "2001-01-01", "2001-01-15", "2001-02-19", "2001-05-28", "2001-07-04", "2001-09-03",
     "2001-10-08", "2001-11-11", "2001-11-12", "2001-11-22", "2001-12-25",
 )
+# The sales end on 2001-11-04: the last four weeks validate, the five weeks after them are forecast.
+CALENDAR = ForecastConfig(cutoff=dt.date(2001, 10, 8), valid_end=dt.date(2001, 11, 5), target_start=dt.date(2001, 11, 5),
+                          target_end=dt.date(2001, 12, 10), event_weeks=EVENT_WEEKS)
 ORPHAN_STORE_DIGIT = 3  # register keeps s_suppkey % 10 <> 3 for orphan tests
 
 
@@ -46,12 +49,12 @@ def _brand_id(col) -> F.Column:
     return F.expr(f"try_cast(substr({col}, 7) AS BIGINT)")
 
 
-def sales_clean(spark: SparkSession, sf_dir: str, start: dt.date | None = F1_START,
-                end: dt.date | None = F1_END) -> DataFrame:
-    """one year of sales, store = supplier, product = brand.
+def sales_clean(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
+                end: dt.date | None = None) -> DataFrame:
+    """all sales, store = supplier, product = brand.
 
-    The date filter is written on the raw timestamp so it reaches the
-    parquet scan as a pushed filter.
+    A date range, where one is asked for, is written on the raw timestamp so it
+    reaches the parquet scan as a pushed filter.
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                                   "l_extendedprice", "l_discount", "l_tax",
@@ -156,7 +159,6 @@ SQL_SALES_CLEAN = f"""
 SELECT l_suppkey AS store_id, CAST(substr(p_brand,7) AS BIGINT) AS product_id, CAST(l_shipdate AS DATE) AS txn_date,
 {SQL_MEASURES}
 FROM lineitem JOIN part ON l_partkey=p_partkey
-WHERE CAST(l_shipdate AS DATE) >= DATE '2000-01-01' AND CAST(l_shipdate AS DATE) < DATE '2001-01-01'
 """
 
 SQL_SALES_DENSE = f"""
