@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weekcast.config import WEEKDAYS
 
@@ -42,3 +44,30 @@ def calendar_columns(week) -> dict[str, Column]:
 def add_calendar_features(df: DataFrame, week_col: str = "week_start") -> DataFrame:
     """ISO week, month, quarter, year and the year/month edge flags."""
     return df.withColumns(calendar_columns(week_col))
+
+
+def us_federal_holidays(year: int) -> list[dt.date]:
+    """US federal holidays of a year by rule, with the Friday or Monday on which one that falls on a weekend is observed."""
+    def nth(month: int, weekday: int, n: int) -> dt.date:
+        """The n-th such weekday of a month (Monday 0); n = -1 is the last."""
+        if n < 0:
+            last = dt.date(year, month + 1, 1) - dt.timedelta(days=1)
+            return last - dt.timedelta(days=(last.weekday() - weekday) % 7)
+        first = dt.date(year, month, 1)
+        return first + dt.timedelta(days=(weekday - first.weekday()) % 7 + 7 * (n - 1))
+
+    fixed = [dt.date(year, 1, 1), dt.date(year, 7, 4), dt.date(year, 11, 11), dt.date(year, 12, 25)]
+    if year >= 2021:
+        fixed.append(dt.date(year, 6, 19))
+    moving = [nth(2, 0, 3), nth(5, 0, -1), nth(9, 0, 1), nth(10, 0, 2), nth(11, 3, 4)]
+    if year >= 1986:
+        moving.append(nth(1, 0, 3))
+    observed = [d + dt.timedelta(days={5: -1, 6: 1}[d.weekday()]) for d in [*fixed, dt.date(year + 1, 1, 1)] if d.weekday() >= 5]
+    return sorted({d for d in (*fixed, *moving, *observed) if d.year == year})
+
+
+def holiday_table(spark: SparkSession, country: str = "US", first_year: int = 1990, last_year: int = 2060) -> DataFrame:
+    """(country, holiday_date), a row a holiday.  Only US holidays are known; another country gives an empty table."""
+    years = range(first_year, last_year + 1) if country.upper() == "US" else ()
+    rows = [(country.upper(), d) for y in years for d in us_federal_holidays(y)]
+    return spark.createDataFrame(rows, "country string, holiday_date date")

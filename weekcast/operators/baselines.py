@@ -106,15 +106,17 @@ def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) ->
             expr = F.when(n == m, val) if expr is None else expr.when(n == m, val)
         preds.append(F.greatest(expr, F.lit(0.0)))
     tail, h = _attach_horizon(tail, horizon)
+    # a data-driven horizon past the steps that were unrolled must not shorten the forecast
+    enough = F.when(h <= steps, h).otherwise(F.raise_error(F.lit(f"the horizon exceeds the {steps} weeks of the validation window")).cast("int"))
     return tail.select(*cfg.keys, F.col(cfg.week_col).alias("last_week"),
-                       F.slice(F.array(*preds), 1, h).alias("preds"))
+                       F.slice(F.array(*preds), F.lit(1), enough).alias("preds"))
 
 
-def naive_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
-    """Last value of an observed week (n_tx > 0), else the last value (M2)."""
+def naive_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, use_last_nonzero: bool = True) -> DataFrame:
+    """Last value of an observed week (n_tx > 0), else the last value (M2); without ``use_last_nonzero`` the last value."""
     h = cfg.horizon if horizon is None else horizon
     y, wc = F.col(cfg.target_col).cast("double"), cfg.week_col
-    if "n_tx" in weekly.columns:
+    if use_last_nonzero and "n_tx" in weekly.columns:
         last_obs = F.max_by(y, F.when(F.col("n_tx") > 0, F.col(wc)))
         value = F.coalesce(last_obs, F.max_by(y, F.col(wc)))
     else:
@@ -215,12 +217,16 @@ def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
             cold = cold.join(cats, keys, "left")
         st = st.unionByName(cold.withColumns({"_recent": F.lit(1), "_n_obs": F.lit(0).cast("long")}),
                             allowMissingColumns=True)
-    by_cat, by_prod, glob = backoff_means(weekly, cfg, category_col)
-    st = st.join(by_prod, cfg.product_col, "left").crossJoin(F.broadcast(glob))
-    fallback = [F.col("_mean_prod"), F.col("_mean_global")]
-    if by_cat is not None and category_col in st.columns:
-        st = st.join(by_cat, [cfg.product_col, category_col], "left")
-        fallback = [F.col("_mean_cat")] + fallback
+    if has_ntx and extra_pairs is None:
+        # a recent pair has an observed week then, so no row reaches the means (trap R8)
+        fallback = [F.lit(0.0)]
+    else:
+        by_cat, by_prod, glob = backoff_means(weekly, cfg, category_col)
+        st = st.join(by_prod, cfg.product_col, "left").crossJoin(F.broadcast(glob))
+        fallback = [F.col("_mean_prod"), F.col("_mean_global")]
+        if by_cat is not None and category_col in st.columns:
+            st = st.join(by_cat, [cfg.product_col, category_col], "left")
+            fallback = [F.col("_mean_cat")] + fallback
     n = F.col("_n_obs")
     value = (F.when(F.col("_recent") == 0, F.lit(0.0))
               .when(n >= 4, F.col("_mean4"))
@@ -234,14 +240,15 @@ STATE_BUILDERS = {"ma4": ma4_state, "naive": naive_state, "ewma": ewma_state, "s
 
 
 def forecast_state(weekly: DataFrame, baseline: str = "ma4", cfg: ForecastConfig = DEFAULT,
-                   horizon=None, alpha: float | None = None) -> DataFrame:
-    """Dispatch by name (M5); unknown names raise ``ValueError``."""
+                   horizon=None, alpha: float | None = None, **options) -> DataFrame:
+    """Dispatch by name (M5) with that forecaster's options (``use_last_nonzero``, ``observed_only``,
+    ``inactivity_window``, ...); unknown names raise ``ValueError``."""
     name = baseline.lower()
     if name not in STATE_BUILDERS:
         raise ValueError(f"unknown baseline: {baseline}")
     if name == "ewma":
-        return ewma_state(weekly, cfg, horizon, alpha)
-    return STATE_BUILDERS[name](weekly, cfg, horizon)
+        return ewma_state(weekly, cfg, horizon, alpha, **options)
+    return STATE_BUILDERS[name](weekly, cfg, horizon, **options)
 
 
 def explode_state(state: DataFrame, cfg: ForecastConfig = DEFAULT, pred_col: str = "pred") -> DataFrame:
@@ -251,7 +258,7 @@ def explode_state(state: DataFrame, cfg: ForecastConfig = DEFAULT, pred_col: str
 
 
 def forecast(weekly: DataFrame, baseline: str = "ma4", cfg: ForecastConfig = DEFAULT,
-             horizon=None, alpha: float | None = None) -> DataFrame:
+             horizon=None, alpha: float | None = None, **options) -> DataFrame:
     """Rows (store, product, week_start, pred_<baseline>) for the horizon after each pair's last week."""
-    st = forecast_state(weekly, baseline, cfg, horizon, alpha)
+    st = forecast_state(weekly, baseline, cfg, horizon, alpha, **options)
     return explode_state(st, cfg, f"pred_{baseline.lower()}")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekcast.config import (ACTIVE_SHARE_WINDOWS, DEFAULT, FEATURE_LAGS, RATIO_EPS, ForecastConfig)
-from weekcast.functions.dates import calendar_columns
+from weekcast.functions.dates import calendar_columns, holiday_table
 from weekcast.functions.dates import week_start as week_bucket
 from weekcast.functions.scalars import discount_promo
 
@@ -196,7 +196,7 @@ def add_level_encodings_ascoded(df: DataFrame, cfg: ForecastConfig = DEFAULT) ->
 def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastConfig = DEFAULT,
                    lags=FEATURE_LAGS) -> DataFrame:
     """The prepare feature set: store/product encodings, calendar, pair windows,
-    promo, holidays.
+    promo, holidays (without a table those of ``holiday_table`` for the configured country).
 
     The store and product encodings are joined while the panel is still lean.
     When their tables are large the joins shuffle the lean rows by (store, week)
@@ -211,6 +211,6 @@ def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastCo
     df = add_pair_features(df, cfg, lags)
     if "discount" in df.columns and "gross_value" in df.columns:
         df = add_discount_promo(df, cfg)
-    if holidays is not None:
-        df = add_holiday_features(df, holidays, cfg)
-    return df
+    if holidays is None:
+        holidays = holiday_table(panel.sparkSession, cfg.country)
+    return add_holiday_features(df, holidays, cfg)

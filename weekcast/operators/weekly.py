@@ -34,10 +34,15 @@ def weekly_sales(sales: DataFrame, cfg: ForecastConfig = DEFAULT, money_scale: i
                     *money, F.col(cfg.date_col)))
     aggs = [F.coalesce(F.sum("_q"), F.lit(0.0)).alias(cfg.target_col),
             F.coalesce(F.sum("_r"), F.lit(0.0)).alias("qty_return")]
-    # Money sums are exact: each value is cast to DECIMAL(18, money_scale) and
+    # Money sums are exact: each value is cast to DECIMAL(30, money_scale) and
     # summed in decimal, so the total does not depend on the order in which
-    # partial sums meet (doubles would), then it is returned as a double.
-    dec = f"decimal(18,{int(money_scale)})"
-    aggs += [F.coalesce(F.sum(F.col(c).cast(dec)).cast("double"), F.lit(0.0)).alias(c) for c in money]
+    # partial sums meet (doubles would), then it is returned as a double.  A group with a
+    # value that no such decimal holds is summed in doubles.
+    dec = f"decimal(30,{int(money_scale)})"
+    for c in money:
+        exact = F.col(c).try_cast(dec)
+        lost = F.count_if(F.col(c).isNotNull() & exact.isNull())
+        total = F.when(lost == 0, F.try_sum(exact).cast("double")).otherwise(F.sum(F.col(c).cast("double")))
+        aggs.append(F.coalesce(total, F.lit(0.0)).alias(c))
     aggs += [F.count(cfg.date_col).alias("n_tx")]
     return base.groupBy(*keys, cfg.week_col).agg(*aggs)

@@ -647,8 +647,6 @@ def q_round_export(spark, d):
 from weekcast.operators import ml  # noqa: E402
 from weekcast.plans.sqlparts import SQL_SALES_DENSE  # noqa: E402
 
-ML_ITER = 20
-
 
 def f2_featured(spark, d, span="to_global_max"):
     """Dense fixture, panel extended to its last week, full feature set."""
@@ -738,42 +736,68 @@ def q_ml_state_step(spark, d):
     """Features of the first forecast week rebuilt from the per-pair state (arrays,
     counters) must equal the training windows evaluated one week past the
     history (L4 state rebuild, traps R13, R14, R21)."""
+    return _state_step(f2_featured(spark, d))
+
+
+@query("ml_state_step_local", _state_step_sql())
+def q_ml_state_step_local(spark, d):
+    """The same state from the local panel, whose pairs end with their last sale: zero weeks are put in (trap R16)."""
+    return _state_step(f2_featured(spark, d, "local"))
+
+
+def _state_step(featured):
     feats = ml.model_features(True)
-    st = ml.forecast_state(f2_featured(spark, d), feats, CALENDAR)
-    x = ml.step_features(st, F.date_add("last_week", 7), CALENDAR)
+    x = ml.step_features(ml.forecast_state(featured, feats, CALENDAR), F.date_add("last_week", 7), CALENDAR, feats)
     return r6df(x.select(*PK, *STATE_STEP_COLS))
 
 
 def _trained(spark, d, two_stage: bool):
-    return ml.train(f2_featured(spark, d), CALENDAR, two_stage=two_stage, tau=0.1, history_weeks=26,
-                    decay_weeks=13, max_iter=ML_ITER)
+    return ml.train(f2_featured(spark, d), CALENDAR, two_stage=two_stage, tau=0.1, history_weeks=26, decay_weeks=13)
+
+
+def _fitted(art):
+    """Rows of the fit and whether every validation score is a number of 0 or more (scores themselves depend on the trees)."""
+    y = F.col("y_pred")
+    sound = F.coalesce(~F.isnan(y) & (y >= 0) & (y < F.lit(float("inf"))), F.lit(False))
+    return art["valid"].agg(F.lit(art["rows_train"]).cast("long").alias("rows_train"), F.count(F.lit(1)).alias("rows_valid"),
+                            F.count_if(sound).alias("sound_scores"))
+
+
+_MODEL_ROWS = """
+SELECT count(*) FILTER (week_start < DATE '2001-10-08' AND week_start >= DATE '2001-10-08' - INTERVAL 182 DAY) AS rows_train,
+       count(*) FILTER (week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05') AS rows_valid,
+       count(*) FILTER (week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05') AS sound_scores FROM panel"""
+_MODEL_SQL = with_ctes(base_ctes(SQL_SALES_DENSE, span="span"), _MODEL_ROWS)
 
 
-@query("ml_regressor")
+@query("ml_regressor", _MODEL_SQL)
 def q_ml_regressor(spark, d):
-    """Boosted regressor, validation WMAPE next to the predict-zero score (L2, L6; rows-only)."""
-    art = _trained(spark, d, False)
-    return r6df(ml.evaluate_model(art["valid"]).withColumn("wmape_zero", F.lit(1.0)))
+    """Boosted regressor: rows it was fitted and scored on, and sound scores."""
+    return _fitted(_trained(spark, d, False))
 
 
-@query("ml_two_stage")
+@query("ml_two_stage", _MODEL_SQL)
 def q_ml_two_stage(spark, d):
-    """Classifier + positive-only regressor, threshold 0.1 (L3; rows-only)."""
-    art = _trained(spark, d, True)
-    return r6df(ml.evaluate_model(art["valid"]).withColumn("tau", F.lit(0.1)))
+    """Classifier and positive-only regressor, threshold 0.1 (L3)."""
+    return _fitted(_trained(spark, d, True))
 
 
-@query("ml_forecast")
+@query("ml_forecast", with_ctes(base_ctes(SQL_SALES_DENSE, span="span"), """
+SELECT i::BIGINT AS week_no, store_id, product_id, TRUE AS is_count
+FROM (SELECT DISTINCT store_id, product_id FROM panel
+      WHERE week_start >= DATE '2001-11-05' - INTERVAL 21 DAY AND week_start < DATE '2001-11-05' AND qty > 0) a,
+     (SELECT unnest(generate_series(1, 5)) AS i) t"""))
 def q_ml_forecast(spark, d):
-    """Recursive 5-week learned forecast for the pairs active in the last 3 weeks (L4; rows-only)."""
-    art = _trained(spark, d, True)
-    return ml.forecast_ml(f2_featured(spark, d), art, CALENDAR, fx.holidays_table(spark),
-                          only_active=True, active_window=3)
+    """Recursive 5-week learned forecast for the pairs active in the last 3 weeks: every pair and week, none below 0 (L4)."""
+    out = ml.forecast_ml(f2_featured(spark, d), _trained(spark, d, True), CALENDAR, fx.holidays_table(spark),
+                         only_active=True, active_window=3)
+    return out.select("week_no", "store_id", "product_id", (F.col("quantity") >= 0).alias("is_count"))
 
 
-@query("ml_save_load")
+@query("ml_save_load", with_ctes(base_ctes(SQL_SALES_DENSE, span="span"),
+                                 "SELECT rows_valid AS rows, sound_scores AS equal_scores FROM (" + _MODEL_ROWS + ") m"))
 def q_ml_save_load(spark, d):
-    """Model saved with Spark ML persistence and loaded back scores the same (S6; rows-only)."""
+    """Model saved with Spark ML persistence and loaded back scores the same."""
     from weekcast.session import shared_dir
     art = _trained(spark, d, False)
     path = shared_dir(spark, "model")
@@ -782,7 +806,7 @@ def q_ml_save_load(spark, d):
     valid = art["valid"].drop("y_pred")
     a = ml.predict_quantity(art["model"], valid, "y_saved").select(*PK, "y_saved")
     b = ml.predict_quantity(back["model"], valid, "y_loaded").select(*PK, "y_loaded")
-    return r6df(a.join(b, PK).withColumn("same", F.col("y_saved") == F.col("y_loaded")))
+    return a.join(b, PK).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("y_saved") == F.col("y_loaded")).alias("equal_scores"))
 
 
 # ------------------------------------------------------------- round trips
@@ -827,11 +851,35 @@ def q_future_calendar(spark, d):
                        cc["quarter"].alias("quarter"), "is_holiday")
 
 
-@query("prepare_features")
+_PREPARE_DOUBLES = [*WEEKLY_DOUBLES, *_LAGS, "ma_qty_4", "ma_qty_12", "std_qty_4", "std_qty_12", "diff_qty_1", "ratio_qty_12", "price_u",
+                    "price_u_ma8", "active_share_8", "active_share_13", "active_share_26", "avg_qty_store", "avg_qty_product",
+                    "discount_rate", "discount_rate_lag1"]
+_PREPARE_OTHERS = ["n_tx", "weeks_since_last_sale", "weeks_since_prev_sale", "weeks_since_first_sale", "zero_streak", "n_tx_lag1"]
+
+
+def _prepare_sql() -> str:
+    ctes = base_ctes() + [("hol", SQL_HOLIDAYS)] + ofe.pair_features_sql("panel") + [
+        ("cal", ofe.CALENDAR_SQL), ("promo", ofe.PROMO_SQL), ("lvl", ofe.level_causal_sql("panel"))]
+    own = [c for c in _PREPARE_DOUBLES if c not in ("avg_qty_store", "avg_qty_product", "discount_rate", "discount_rate_lag1")]
+    sel = f"""
+SELECT f.store_id, f.product_id, f.week_start, {", ".join("f." + c for c in [*own, *_PREPARE_OTHERS])},
+       s.premise, s.store_category, s.zipcode, r.brand, r.category, r.maker,
+       c.week, c.month, c.quarter, c.year, c.is_year_end, c.is_month_start, c.is_month_end,
+       l.freq_store, l.avg_qty_store, l.freq_product, l.avg_qty_product,
+       pr.discount_rate, pr.promo_flag, pr.discount_rate_lag1, pr.promo_flag_lag1,
+       (f.week_start IN (SELECT holiday_date FROM hol))::INTEGER AS is_holiday,
+       (f.week_start IN (SELECT holiday_date - (isodow(holiday_date) - 1)::INTEGER FROM hol))::INTEGER AS is_holiday_week,
+       (f.week_start IN (DATE '2000-11-20', DATE '2000-11-27'))::INTEGER AS is_bf_cm_week
+FROM feat f JOIN cal c USING (store_id, product_id, week_start) JOIN promo pr USING (store_id, product_id, week_start)
+JOIN lvl l USING (store_id, product_id, week_start) LEFT JOIN ({SQL_STORES}) s USING (store_id)
+LEFT JOIN ({SQL_PRODUCTS}) r USING (product_id)"""
+    return r6(with_ctes(ctes, sel), _PREPARE_DOUBLES)
+
+
+@query("prepare_features", _prepare_sql())
 def q_prepare_features(spark, d):
-    """The whole prepare step on the consolidated one-year sales: weekly aggregate,
-    local panel, register attributes, every feature (U1; rows-only, the parts are
-    checked by the feat_* oracles)."""
+    """The whole prepare step on the consolidated sales: weekly aggregate,
+    local panel, register attributes, every feature (U1)."""
     from weekcast.plans.pipeline import prepare
     return r6df(prepare(fx.consolidated_clean(spark, d), CALENDAR, holidays=fx.holidays_table(spark),
                         products=fx.products_register(spark, d)))

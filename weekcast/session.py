@@ -22,7 +22,8 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
-    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.constraintPropagation.enabled": "false",  # planning time of the ~60-column feature plans
 }
 
 
