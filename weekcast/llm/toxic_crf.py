@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -76,6 +77,11 @@ class Chains:
             tail[i] = n - 1 - where[-1] if where else n
         return cls(count, gap, tail, [f for _, _, f in docs])
 
+    def classes(self) -> list[tuple[np.ndarray, int]]:
+        """Rows and their common width: 0, 1, 2, 4, 8, ... (the table's own at most)."""
+        power = np.where(self.count > 0, np.ceil(np.log2(np.maximum(self.count, 1))), -1)
+        return [(np.flatnonzero(power == p), 0 if p < 0 else min(int(2**p), self.gap.shape[1])) for p in np.unique(power)]
+
     def scores(self, weights: np.ndarray) -> np.ndarray:
         out = np.zeros(self.gap.shape)
         for i, doc in enumerate(self.feats):
@@ -108,9 +114,19 @@ class Crf:
         first, second = (step - low * unit) / root, (step - high * unit) / root
         return first - ratio[..., None, None] * second, n * math.log(high)
 
-    def infer(self, chains: Chains, scores: np.ndarray, chain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """log Z of each document and the marginal of toxic of each token with features."""
+    def infer(self, chains: Chains, scores: np.ndarray, chain: np.ndarray | None = None, marginals: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """log Z of each document and the marginal of toxic of each token with features (zeros if not asked for).
+        Documents go together by the power of two above their number of such tokens, so short ones aren't padded to long ones."""
         step = self._step(self.chain if chain is None else chain)
+        log_z, marginal = np.zeros(len(chains.count)), np.zeros(chains.gap.shape)
+        for rows, width in chains.classes():
+            part = Chains(chains.count[rows], chains.gap[rows, :width], chains.tail[rows], [])
+            log_z[rows], found = self._infer(part, scores[rows, :width], step, marginals)
+            if marginals:
+                marginal[rows, :width] = found
+        return log_z, marginal
+
+    def _infer(self, chains: Chains, scores: np.ndarray, step: np.ndarray, marginals: bool) -> tuple[np.ndarray, np.ndarray]:
         docs, width = chains.gap.shape
         gaps, gap_logs = self._power(step, chains.gap)
         tails, tail_logs = self._power(step, chains.tail)
@@ -129,7 +145,7 @@ class Crf:
         back = tails.sum(2)
         log_z += np.log((at * back).sum(1)) + tail_logs
         marginal = np.zeros((docs, width))
-        for j in range(width - 1, -1, -1):
+        for j in range(width - 1, -1, -1) if marginals else ():
             on = chains.count > j
             both = forward[:, j] * back
             marginal[:, j] = np.where(on, both[:, 1] / both.sum(1), 0.0)
@@ -163,7 +179,7 @@ class Crf:
             for k in range(4):  # four numbers: their expectations by differences of log Z
                 moved = theta[:4].copy()
                 moved[k] += 1e-4
-                slope[k] = gold[k] - (self.infer(chains, scores, moved)[0] - log_z).sum() / 1e-4 - l2 * theta[k]
+                slope[k] = gold[k] - (self.infer(chains, scores, moved, marginals=False)[0] - log_z).sum() / 1e-4 - l2 * theta[k]
             mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
             theta = theta + 0.3 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
         self.chain, self.weights = theta[:4], theta[4:]
@@ -214,41 +230,50 @@ class Tagger:
 # --- training ----------------------------------------------------------------------------------------------------
 
 
-def _lexicon(sample: DataFrame, least_gain: float, most_features: int) -> dict[str, int]:
-    """Features by likelihood ratio of their distinct contexts in toxic against clean documents."""
-    def contexts(batches):
+def _contexts(sample: DataFrame, wanted: frozenset | None) -> DataFrame:
+    """f, c: each feature (of ``wanted``, if given) with its distinct neighbourhoods in the texts of ``sample``."""
+    def run(batches):
         for batch in batches:
             for part in pieces(batch, "_text"):
                 found = set()
-                for text, label in zip(part.column("_text").to_pylist(), part.column("_label").to_pylist(), strict=True):
+                for text in part.column("_text").to_pylist():
                     words = tokens_of(text)
                     for i, word in enumerate(words):
-                        around = hash_of(words[i - 1] if i else b"", words[i + 1] if i + 1 < len(words) else b"")
-                        found.update((f, around, label) for f in features_of(word))
-                f, c, y = zip(*found, strict=True) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(c, pa.int64()), pa.array(y, pa.int32())], names=["f", "c", "y"])
-
-    each = sample.mapInArrow(contexts, "f string, c long, y int")
-    toxic = saved(each.filter("y = 1").distinct().groupBy("f").agg(F.count(F.lit(1)).alias("t")).filter("t >= 4"))
-    clean = each.filter("y = 0").join(toxic.select("f"), "f", "left_semi").distinct().groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+                        names = features_of(word) if wanted is None else [f for f in features_of(word) if f in wanted]
+                        if names:
+                            around = hash_of(words[i - 1] if i else b"", words[i + 1] if i + 1 < len(words) else b"")
+                            found.update((f, around) for f in names)
+                f, c = zip(*found, strict=True) if found else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(c, pa.int64())], names=["f", "c"])
+
+    return sample.select("_text").mapInArrow(run, "f string, c long").distinct().groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _lexicon(sample: DataFrame, least_gain: float, most_features: int) -> dict[str, int]:
+    """Features by likelihood ratio of their distinct contexts in toxic against clean documents."""
     sizes = {r["_label"]: r["n"] or 0 for r in sample.groupBy("_label").agg(F.sum(F.length("_text")).alias("n")).collect()}
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if not 0 < rate < 1:
         return {}
-    t, n = F.col("t").cast("double"), F.coalesce("n", F.lit(0)).cast("double")
-    gain = 2 * (t * F.log(t / ((t + n) * rate)) + F.when(n > 0, n * F.log(n / ((t + n) * (1 - rate)))).otherwise(0.0))
-    best = (toxic.join(clean, "f", "left").withColumn("gain", gain).filter((F.col("gain") >= least_gain) & (t >= 4 * n))
-            .orderBy(F.desc("gain"), "f").limit(most_features))
-    return {r["f"]: i for i, r in enumerate(sorted(best.select("f").collect()))}
+    # a feature of t toxic contexts and no clean one gains -2 t log(rate); the rest can't reach least_gain
+    least = max(2, math.ceil(least_gain / (-2 * math.log(rate))))
+    toxic = {r["f"]: r["n"] for r in _contexts(sample.filter("_label = 1"), None).filter(F.col("n") >= least).collect()}  # of the bounded sample
+    clean = {r["f"]: r["n"] for r in _contexts(sample.filter("_label = 0"), frozenset(toxic)).collect()}
+    gains = {}
+    for f, t in toxic.items():
+        n = clean.get(f, 0)
+        gain = 2 * (t * math.log(t / ((t + n) * rate)) + (n * math.log(n / ((t + n) * (1 - rate))) if n else 0.0))
+        if gain >= least_gain and t >= 4 * n:
+            gains[f] = gain
+    return {f: i for i, f in enumerate(sorted(sorted(gains, key=lambda f: (-gains[f], f))[:most_features]))}
 
 
 def hash_of(left: bytes, right: bytes) -> int:
-    import zlib
     return zlib.crc32(left) << 31 ^ zlib.crc32(right)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
-          most_labels: int = 10_000, most_features: int = 2_000, least_gain: float = 25.0) -> Crf:
+          most_labels: int = 6_000, most_features: int = 2_000, least_gain: float = 25.0) -> Crf:
     """Learn from at most ``most_labels`` rows of ``labels`` (see ``sampled_labels``) and ``most_features`` features."""
     chosen = sampled_labels(labels, label, most_labels, id_col)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
