@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, pieces, shared_dir, utf8
+from .common import documents, pieces, shared_dir
 from .registry import query
 
 END_ID = 2
@@ -122,65 +123,105 @@ class Dac:
         return out
 
 
+class _Cache(dict):
+    """Ids by word; a word that is missing is taken from the generation before or encoded."""
+
+    def __init__(self, encode, before):
+        super().__init__()
+        self.encode, self.before = encode, before
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
+#: How byte-level vocabularies write a byte: printable ones of Latin-1 as themselves, the others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+
+
+def _byte_level(text: str) -> str:
+    return text if text.isascii() else text.encode().decode("latin-1").translate(_WRITTEN)
+
+
 class WordEncoder:
     """Encodes texts word by word with a cache, exactly as the tokenizer encodes whole texts.
 
     It applies to tokenizers whose pre-tokenizer keeps no white space: no token spans it then, and the
     ids of a text are those of its words in turn.  A new word goes through the library's own
     normalizer, pre-tokenizer and model; words that hold a special token's text, and all texts of any
-    other tokenizer, go through its whole encoder.  The cache has two generations of at most
-    ``cache_words`` words."""
+    other tokenizer, go through its whole encoder.  Latin letters with at most one mark behind them
+    skip the normalizer and pre-tokenizer where probes show that these lower the case and cut off the mark, no more.
+    The cache has two generations of at most ``cache_words`` words and those of one block of texts."""
+
+    MARKS = frozenset(".,;:!?")
+    LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")  # lower-case Latin: one code point each, stable under NFC
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         said = json.loads(self.tokenizer.to_str())
-        self.young, self.old, self.cache_words = {}, {}, cache_words
         steps = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.by_word = (steps[0].get("type"), steps[0].get("behavior"), steps[0].get("invert")) == ("Split", "Removed", True)
+        self.cache_words = cache_words
+        self.cache = _Cache(self._word, {})
         if self.by_word:
-            self.marks = [t["content"].encode() for t in said["added_tokens"]]
+            self.special = [t["content"].encode() for t in said["added_tokens"]]
             self.model, self.before = self.tokenizer.model, self.tokenizer.pre_tokenizer
             self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
-            # ASCII letters with at most one mark behind them need no general path if these hold
-            self.plain = self._parts(b"AZaz") == ["azaz"] and all(self._parts(b"Az" + m) == ["az", m.decode()] for m in self.MARKS)
+            probes = ["AZaz", "\u00c9t\u00e9\u0178\u0219", "\u00df"]
+            self.plain = all(self._parts(w) == [_byte_level(w.lower())] and all(self._parts(w + m) == [_byte_level(w.lower()), m] for m in self.MARKS)
+                             for w in probes)
+            self.marks = {ord(m): self._ids([m]) for m in self.MARKS}
 
-    MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
-
-    def _parts(self, word: bytes) -> list[str]:
-        return [part for part, _ in self.before.pre_tokenize_str(self.normal(word.decode()))]
+    def _parts(self, word: str) -> list[str]:
+        return [part for part, _ in self.before.pre_tokenize_str(self.normal(word))]
 
     def _alone(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _word(self, word: bytes) -> bytes:
-        if self.plain and word.isalpha():
-            parts = [word.lower().decode()]
-        elif self.plain and word[-1:] in self.MARKS and word[:-1].isalpha():
-            parts = [word[:-1].lower().decode(), word[-1:].decode()]
-        elif any(m in word for m in self.marks):
+        if self.plain:
+            mark = self.marks.get(word[-1])
+            body = word if mark is None else word[:-1]
+            low = body.lower() if body.isalpha() else self._letters(body)
+            if low and low != word:  # the same word is often known without its mark and capital
+                return self.cache[low] + (mark or b"")
+            if low:
+                return self._ids([_byte_level(low.decode())])
+        if any(m in word for m in self.special):
             return self._alone([word])[0]
-        else:
-            parts = self._parts(word)
+        return self._ids(self._parts(word.decode()))
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """The word in lower case if Latin letters are all there is."""
+        low = word.decode().lower()
+        return low.encode() if self.LETTERS.fullmatch(low) else None
+
+    def _ids(self, parts: list[str]) -> bytes:
         ids = [token.id for part in parts for token in self.model.tokenize(part)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian u32 ids of each text, without an end id."""
-        raw = [utf8(t) for t in texts]
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Little-endian u32 ids of each text (UTF-8), without an end id."""
+        raw = [t or b"" for t in texts]
         if not self.by_word:
             return self._alone(raw)
-        split = [r.split() for r in raw]
-        used = set().union(*split)
-        if len(self.young) + len(used) > self.cache_words:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        for word in used:
-            if word not in young:
-                young[word] = old[word] if word in old else self._word(word)
-        return [b"".join(map(young.__getitem__, words)) for words in split]
+        if len(self.cache) > self.cache_words:
+            self.cache.before = {}
+            self.cache = _Cache(self._word, self.cache)
+        known = self.cache.__getitem__
+        return [b"".join(map(known, self._lowered(r).split())) for r in raw]
+
+    def _lowered(self, text: bytes) -> bytes:
+        """ASCII in lower case, as the normalizer would have it, unless that could spell a special token."""
+        low = text.lower() if self.plain else text
+        return text if any(m.lower() in low for m in self.special) else low
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -219,7 +260,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
         for batch in batches:
             for piece in pieces(batch, "_text"):
                 part, id_type = piece.column("_part")[0].as_py(), piece.schema.field("_id").type
-                texts = code.encode(piece.column("_text").to_pylist())
+                texts = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
                 for doc, tokens in zip(piece.column("_id").to_pylist(), texts, strict=True):
                     held += tokens, end
                     ids.append(doc)
@@ -236,12 +277,13 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """The table of segments with ``start``: the ids in all segments before.  The running sum has a row a file."""
+    """The table of segments with ``start``: the ids in all segments before.  The running sum, which is
+    broadcast, has one row of 12 bytes for each file written."""
     table = spark.read.parquet(path)
     per_part = table.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return table.join(base, "part").withColumn("start", F.col("_base") + F.col("first_token")).drop("_base")
+    return table.join(F.broadcast(base), "part").withColumn("start", F.col("_base") + F.col("first_token")).drop("_base")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -259,7 +301,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     id_type = table.schema["doc_ids"].dataType.elementType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("start", T.LongType()),
                            T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-    return table.mapInArrow(_each_document(lambda ids: zlib.crc32(ids.astype("<u4", copy=False).tobytes())), schema)
+    return table.mapInArrow(_each_document(lambda ids: zlib.crc32(np.ascontiguousarray(ids, "<u4"))), schema)
 
 
 def _each_document(value):
@@ -270,7 +312,8 @@ def _each_document(value):
                 docs, lengths = batch.column("doc_ids")[row].values, batch.column("doc_tokens")[row].values.to_numpy()
                 stops = np.cumsum(lengths, dtype=np.int64)
                 start = batch.column("start")[row].as_py()
-                made = [value(codes.read(int(b - n), int(b))) for b, n in zip(stops, lengths, strict=True)]
+                ids = codes.read(0, len(codes))  # all documents of the segment are asked for
+                made = [value(ids[b - n:b]) for b, n in zip(stops.tolist(), lengths.tolist(), strict=True)]
                 last = pa.concat_arrays(made) if isinstance(made[0], pa.Array) else pa.array(made, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [docs, pa.array(start + stops - lengths, pa.int64()), pa.array(lengths.astype(np.int64)), last],
