@@ -17,8 +17,8 @@ size classes, so each block meets the blocks it can have links with in tasks of
 No task holds more than two blocks, no pair leaves a task unless it is confirmed, and of those only a spanning
 forest does.  Components of the confirmed links are the result.
 
-The driver sees the numbers of rows of an iteration, nothing else.  Components come from
-iterated minimum labels with pointer jumping on checkpointed tables.
+The driver sees whether edges are left after a round, nothing else.  Components come from
+hooking and contraction on checkpointed tables.
 
 Edge cases: a text without words has an empty set and is its own component; a text with fewer words
 than a shingle is one shingle of the whole sequence; rows with equal doc_id and text are rows of one class;
@@ -159,19 +159,34 @@ def signature_table(docs: DataFrame, id_col: str, text_col: str, width: int, n_p
 def components(edges: DataFrame) -> DataFrame:
     """_v and _c, the smallest vertex that is reachable, of every vertex of ``edges`` (_a, _b long).
 
-    Every round a vertex takes the least label among its neighbours' and its own, then the label of that label;
-    labels only fall, and the rounds end when none has changed: the distance that labels have to go
-    halves at least, so rounds grow with the logarithm of a component's diameter in practice."""
-    both = saved(edges.select("_a", "_b").union(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).filter("_a <> _b").distinct())
-    labels = saved(both.groupBy(F.col("_a").alias("_v")).agg(F.least(F.min("_b"), F.col("_v")).alias("_c")))
-    while True:
-        near = both.join(labels.select(F.col("_v").alias("_b"), "_c"), "_b").groupBy(F.col("_a").alias("_v")).agg(F.min("_c").alias("_n"))
-        lower = labels.join(near, "_v").select("_v", F.col("_c").alias("_was"), F.least("_c", "_n").alias("_c"))
-        jump = labels.select(F.col("_v").alias("_c"), F.col("_c").alias("_j"))
-        moved = saved(lower.join(jump, "_c", "left").select("_v", "_was", F.least("_c", F.coalesce("_j", "_c")).alias("_c")))
-        labels = moved.select("_v", "_c")
-        if moved.filter("_c <> _was").isEmpty():
-            return labels
+    Every round each vertex with a smaller neighbour is hooked to the least one, hooks are followed, and edges
+    are drawn anew between where they lead, without loops and repetitions.  Two rounds follow hooks four steps far,
+    which ends the stars that buckets make; if edges are left, later rounds follow them to their ends, so
+    that each at least halves the vertices that have edges.  Vertices of finished components take no part."""
+    left = saved(edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).filter("_a <> _b").distinct())
+    first, steps = left, []
+
+    def followed(hook: DataFrame) -> DataFrame:
+        """Hooks twice as long; a vertex without a hook stays where it is."""
+        further = hook.select(F.col("_v").alias("_p"), F.col("_p").alias("_q"))
+        return hook.join(further, "_p", "left").select("_v", F.coalesce("_q", "_p").alias("_p"))
+
+    while not left.isEmpty():
+        hook = saved(left.groupBy(F.col("_a").alias("_v")).agg(F.min("_b").alias("_p")))
+        hook = saved(followed(followed(hook)))
+        while len(steps) >= 2:
+            longer = saved(followed(hook))
+            if longer.exceptAll(hook).isEmpty():
+                break
+            hook = longer
+        steps.append(hook)
+        x, y = hook.withColumnsRenamed({"_v": "_a", "_p": "_x"}), hook.withColumnsRenamed({"_v": "_b", "_p": "_y"})
+        drawn = left.join(x, "_a", "left").join(y, "_b", "left").select(F.coalesce("_x", "_a").alias("_x"), F.coalesce("_y", "_b").alias("_y")).filter("_x <> _y")
+        left = saved(drawn.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).distinct())
+    found = first.select(F.col("_a").alias("_v")).union(first.select(F.col("_b").alias("_v"))).distinct().withColumn("_c", F.col("_v"))
+    for hook in steps:
+        found = found.join(hook.withColumnsRenamed({"_v": "_c", "_p": "_n"}), "_c", "left").select("_v", F.coalesce("_n", "_c").alias("_c"))
+    return saved(found)
 
 
 def linked_pairs(sets: list[np.ndarray], threshold: tuple[int, int], other: np.ndarray | None = None) -> list[tuple[int, int]]:
