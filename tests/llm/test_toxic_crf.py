@@ -89,3 +89,16 @@ def test_offsets_are_code_points(make_docs):
     crf = t.Crf({"fool": 0}, np.array([20.0]))
     (row,) = t.score_documents(make_docs([(1, "é😀 FOOL! x")]), crf).collect()
     assert [(s["start"], s["end"]) for s in row["spans"]] == [(3, 7)]
+
+
+def test_ten_thousand_labels_are_read(spark, make_docs, monkeypatch):
+    read, choose = [], t.sampled_labels
+
+    def spy(*args):
+        read.append(choose(*args))
+        return read[-1]
+
+    monkeypatch.setattr(t, "sampled_labels", spy)
+    n = 13_000  # about 4/5 of them aren't held out
+    t.train(make_docs([(i, "one two") for i in range(n)]), spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id long, quality int, toxic int"))
+    assert read[0].count() == 10_000
