@@ -74,3 +74,40 @@ def test_edges(make_docs, edge_rows):
     assert kept(make_docs([])) == []
     with pytest.raises(ValueError):
         d.dropped_lines(d.line_table(docs, "doc_id", "text"), policy="none")
+
+
+def test_one_id_over_partitions_is_one_document(spark, make_docs):
+    options = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        for same in (7, None):
+            rows = [(same, f"own {i}\nhot") for i in range(400)]
+            assert kept(make_docs(rows), min_docs=10) == sorted(rows, key=repr)
+            rows += [(500 + i, "hot") for i in range(9)]  # the tenth document
+            assert kept(make_docs(rows), min_docs=10) == sorted([(i, x.removesuffix("hot").removesuffix("\n")) for i, x in rows], key=repr)
+            assert kept(make_docs(rows), min_docs=11) == sorted(rows, key=repr)
+            (first,) = [x for _, x in kept(make_docs(rows), policy="first") if x.endswith("hot")]
+            assert first.startswith("own") or same is None
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_document_cut_by_borders_counts_once():
+    around = d._neighbours([(0, 5, 1, 3, 3), (1, 5, 1, 3, 3), (2, 5, 2, 3, 4), (3, 6, 1, None, None), (4, 6, 2, None, 1)])
+    assert around == {(0, 5): (False, 1), (1, 5): (True, 1), (2, 5): (True, 0), (3, 6): (False, 1), (4, 6): (True, 0)}
+
+
+@pytest.mark.parametrize("most", [0, 5, 1000])
+def test_rows_held_back_are_bounded(monkeypatch, most):
+    held = []
+    add = d._Held.add
+    monkeypatch.setattr(d._Held, "add", lambda self, rows: (add(self, rows), held.append(sum(b.num_rows for b in self.batches)))[0])
+    rows = [(8, 1)] * 60 + [(9, 1)] * 60 + [(9, 2)] * 3
+    batches = [pa.RecordBatch.from_pylist([{"_h": h, "_id": i, "_t": t, "_pos": b"", "_n": 1, "_part": 0} for t, (h, i) in enumerate(rows)][k:k + 4])
+               for k in range(0, len(rows), 4)]
+    out = [r for b in d._drop_frequent(iter(batches), {}, 2, most_held=most) for r in b.to_pylist()]
+    assert sorted(r["_t"] for r in out) == list(range(60, 123))
+    assert max(held) <= most

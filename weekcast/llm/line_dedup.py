@@ -7,7 +7,8 @@ Lines (split at \\n) are keyed by their text stripped of ASCII white space with
 2. These rows are range-partitioned by (hash, document, first position) and sorted in that order.  A hot line's run is
    cut across partitions by the document part of the key, so no partition holds all of it.
 3. Partitions are streamed.  A first pass counts the documents of each partition's first and last
-   run (two rows a partition); the second knows from these what neighbours hold of its border runs
+   run and notes the ids at their ends (two rows a partition), so that a document whose rows are cut by a
+   border counts once; the second knows from these what neighbours hold of its border runs
    and decides every line: ``policy="frequent"`` drops all lines of keys found in ``min_docs`` documents
    or more, ``policy="first"`` keeps the first occurrence by (document, position) alone.
 4. The dropped positions of a document come together as one compressed bitmap of kept lines.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -101,41 +103,80 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, i
         edge = (int(h[-1]), ids[len(h) - 1].as_py())
 
 
-def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """part, h, n: the documents of the first and last run of a partition; two rows at most, however long they are."""
-    found: list[list[int]] = []
-    part = None
-    for _, part, hashes, _, docs, goes_on in _runs(batches):
+def _borders(batches: Iterator[pa.RecordBatch], ids: bool = False) -> Iterator[pa.RecordBatch]:
+    """part, h, n: the documents of the first and last run of a partition; two rows at most, however long they are.
+    With ``ids`` also first and last: the ids of the first and the last row of each."""
+    found: list[list] = []
+    part = kind = None
+    for batch, part, hashes, bounds, docs, goes_on in _runs(batches):
+        column = batch.column("_id")
+        kind = column.type
         if goes_on:
             found[-1][1] += int(docs[0])
+            found[-1][3] = column[int(bounds[1]) - 1].as_py()
         for k in {0, len(hashes) - 1} - ({0} if goes_on else set()):
-            found = [*found[:1], [int(hashes[k]), int(docs[k])]]
+            found = [*found[:1], [int(hashes[k]), int(docs[k]), column[int(bounds[k])].as_py(), column[int(bounds[k + 1]) - 1].as_py()]]
     if found:
-        yield pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array([h for h, _ in found], pa.int64()),
-                                          pa.array([n for _, n in found], pa.int64())], names=["part", "h", "n"])
-
-
-def _neighbours(borders: list) -> dict[tuple[int, int], tuple[int, int]]:
-    """(part, hash) -> documents that the run has in partitions before and after this one, where it has any."""
-    by_hash: dict[int, list[tuple[int, int]]] = {}
-    for part, h, n in borders:
-        by_hash.setdefault(h, []).append((part, n))
+        h, n, first, last = zip(*found, strict=True)
+        columns = {"part": pa.array([part] * len(found), pa.int32()), "h": pa.array(h, pa.int64()), "n": pa.array(n, pa.int64())}
+        if ids:
+            columns |= {"first": pa.array(first, kind), "last": pa.array(last, kind)}
+        yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
+
+
+def _neighbours(borders: list) -> dict[tuple[int, int], tuple[bool, int]]:
+    """(part, hash) -> whether the run has rows in partitions before this one, and the documents it has in others
+    alone, for runs of several partitions.  A document cut by a border (equal ids on both sides) counts once."""
+    by_hash: dict[int, list[tuple]] = {}
+    for part, h, n, first, last in borders:
+        by_hash.setdefault(h, []).append((part, n, first, last))
     around = {}
     for h, found in by_hash.items():
-        total, before = sum(n for _, n in found), 0
-        for part, n in sorted(found):
-            if total > n:
-                around[part, h] = (before, total - before - n)
-            before += n
+        found.sort(key=lambda run: run[0])
+        shared = sum(left[3] == right[2] for left, right in zip(found, found[1:], strict=False))
+        total = sum(n for _, n, _, _ in found) - shared
+        if len(found) > 1:
+            around |= {(part, h): (i > 0, total - n) for i, (part, n, _, _) in enumerate(found)}
     return around
 
 
-_NO_NEIGHBOUR = (0, 0)
+_NO_NEIGHBOUR = (False, 0)
+
+
+class _Held:
+    """Rows held back: at most ``most`` in memory, further ones in a temporary file of the task."""
+
+    def __init__(self, most: int):
+        self.most, self.rows, self.batches, self.file, self.writer = most, 0, [], None, None
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        if self.rows + rows.num_rows <= self.most:
+            self.batches.append(rows)
+            self.rows += rows.num_rows
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+            self.writer = pa.ipc.new_stream(self.file, rows.schema)
+        self.writer.write_batch(rows)
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        yield from self.batches
+        if self.file is not None:
+            self.writer.close()
+            self.file.seek(0)
+            yield from pa.ipc.open_stream(self.file)
+
+    def clear(self) -> None:
+        if self.file is not None:
+            self.writer.close()
+            self.file.close()
+        self.rows, self.batches, self.file, self.writer = 0, [], None, None
 
 
-def _drop_frequent(batches, around: dict, min_docs: int) -> Iterator[pa.RecordBatch]:
-    """All rows of runs of ``min_docs`` documents.  What is held back of an open run has fewer documents than that."""
-    held: list[pa.RecordBatch] = []
+def _drop_frequent(batches, around: dict, min_docs: int, most_held: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """All rows of runs of ``min_docs`` documents.  What is held back of an open run has fewer documents than that,
+    but with repeated ids any number of rows: beyond ``most_held`` they wait in a file."""
+    held = _Held(most_held)
     docs_of_open = 0
     for batch, part, hashes, bounds, docs, goes_on in _runs(batches):
         totals = docs.copy()
@@ -143,17 +184,17 @@ def _drop_frequent(batches, around: dict, min_docs: int) -> Iterator[pa.RecordBa
         docs_of_open = int(totals[-1])
         if around:
             for k in {0, len(hashes) - 1}:
-                totals[k] += sum(around.get((part, int(hashes[k])), _NO_NEIGHBOUR))
+                totals[k] += around.get((part, int(hashes[k])), _NO_NEIGHBOUR)[1]
         if goes_on and totals[0] >= min_docs:
-            yield from held
+            yield from held.take()
         if not goes_on or len(hashes) > 1 or totals[0] >= min_docs:
-            held = []
+            held.clear()
         rows = batch.select(["_id", "_t", "_pos"])
         goes = np.repeat(totals >= min_docs, np.diff(bounds))
         if goes.any():
             yield rows.filter(pa.array(goes))
         if totals[-1] < min_docs:
-            held.append(rows.slice(int(bounds[-2])))
+            held.add(rows.slice(int(bounds[-2])))
 
 
 def _drop_repeats(batches, around: dict) -> Iterator[pa.RecordBatch]:
@@ -177,7 +218,9 @@ def dropped_lines(lines: DataFrame, min_docs: int = 10, policy: str = "frequent"
     order = ["_h", "_id", "_first", "_t"]
     sorted_lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     held = saved(sorted_lines).withColumn("_part", F.spark_partition_id())
-    borders = held.select("_h", "_id", "_part").mapInArrow(_borders, "part int, h long, n long").collect()  # two rows a partition
+    schema = T.StructType([*T.StructType.fromDDL("part int, h long, n long").fields,
+                           *(T.StructField(c, lines.schema["_id"].dataType) for c in ("first", "last"))])
+    borders = held.select("_h", "_id", "_part").mapInArrow(lambda batches: _borders(batches, ids=True), schema).collect()  # two rows a partition
     shared = lines.sparkSession.sparkContext.broadcast(_neighbours(borders))
 
     def decide(batches):
