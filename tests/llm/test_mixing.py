@@ -73,3 +73,30 @@ def test_edges(make_docs, edge_rows):
     assert mixed.columns == docs.columns and all(r["copies"] == r["_size"] == r["_u"] == "x" for r in mixed.collect())
     assert mix(make_docs([])) == [] and m.mixed_documents(make_docs([])).collect() == []
     assert all(r["copies"] * r["_size"] == 0 for r in mix(make_docs([(1, None), (2, "")])))
+
+
+@pytest.mark.parametrize("p", [0.001, 0.5, 0.999])
+def test_bins_are_even_whatever_p_is(spark, p):
+    u = m.uniform(1, F.col("id"))
+    q = lambda p: (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))
+    rows = spark.range(20_000).select("id", F.lit("a").alias("source"), u.alias("_u"), F.lit(20_000).cast("long").alias("n_docs"))
+    varied = F.when(F.col("id") % 3 == 0, F.lit(p)).otherwise(F.lit(p / 2))
+    for one_p, at in ((True, F.lit(p)), (False, varied)):
+        found = m.with_bins(rows.withColumn("_q", q(at)), "source", one_p, 200).groupBy("_bin").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_q").alias("low"), F.max("_q").alias("high")).orderBy("_bin").collect()
+        assert max(r["n"] for r in found) < 320 and sum(r["n"] for r in found) == 20_000
+        assert all(a["high"] <= b["low"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_one_bin_a_source_is_ordered(many):
+    sized = m.with_size(m.packed(many, _doc="doc_id", _source="source", _text="text"), "_doc", "_text").drop("_text")
+    targets = m.source_targets(sized, "_source")
+    small, one = ({r["_doc"]: r["copies"] for r in m.allocate(sized, targets, "_doc", "_source", bin_rows=n).collect()} for n in (5, 10**6))
+    assert small == one and len(one) == 1400
+
+
+def test_bins_agree_with_weights(many):
+    docs = many.withColumn("w", F.col("doc_id") % 7 / 4 + 0.1)
+    sized = m.with_size(docs)
+    one, other = ({r["doc_id"]: r["copies"] for r in m.allocate(sized, m.source_targets(sized), weight_col="w", bin_rows=n).collect()} for n in (7, 10**6))
+    assert one == other

@@ -13,8 +13,9 @@ last document is taken if more than half of it fits).  With ``weight_col`` a doc
 is multiplied by its weight (clipped so that no one passes ``max_copies``), so inclusion
 probabilities differ within a source as well; the prefix still ends at the source's target.
 
-No window runs over a source: the rank scale is cut into bins of about ``bin_rows`` documents, the
-words of bins are summed first, and only documents of one bin are ordered in one task.
+No window runs over a source: the rank scale is cut into bins of about ``bin_rows`` documents whatever p is
+(on u where a source has one p; else on ln q, in cells that are cut again by their counts), the words of bins
+are summed first, and only the one bin of a source in which its target ends is ordered, in one task.
 
 Edge cases: a null text has size 0 and null sources form one source; documents of size 0 are
 ranked like any other and take no words; repeated rows are documents of their own with equal u
@@ -60,6 +61,23 @@ def source_targets(sized: DataFrame, source_col: str = "source", weights: tuple[
     return leveled.withColumn("target", target).select("_src", "source_size", "n_docs", "target")
 
 
+def with_bins(rows: DataFrame, source_col: str, one_p: bool, bin_rows: int) -> DataFrame:
+    """``rows`` (with _u, _q and n_docs) with _bin: a struct that rises with _q, of about ``bin_rows`` documents a source and value."""
+    bins = F.ceil(F.col("n_docs") / bin_rows)
+    spread = F.least(F.floor(F.col("_u") * bins), bins - 1)
+    # documents without a fraction take no part in the order; they are spread over bins below all others
+    none = F.struct(F.lit(-(1 << 40)).alias("cell"), spread.alias("sub"))
+    if one_p:  # q rises with u, which is uniform
+        return rows.withColumn("_bin", F.when(F.col("_q").isNull(), none).otherwise(F.struct(F.lit(0).cast("long").alias("cell"), spread.alias("sub"))))
+    # ln q is logit u - logit p: within a cell of 1/8 its density, a mixture of logistic ones, changes by e^(1/8) at most
+    rows = (rows.withColumn("_at", 8 * F.greatest(F.least(F.log("_q"), F.lit(1000.0)), F.lit(-1000.0)))
+            .withColumn("_cell", F.coalesce(F.floor("_at"), F.lit(-(1 << 40)))))
+    cells = rows.groupBy(F.col(source_col).alias("_s"), F.col("_cell").alias("_c")).agg(F.ceil(F.count(F.lit(1)) / bin_rows).alias("_cuts"))
+    rows = rows.join(cells, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_cell") == F.col("_c")), "inner")
+    sub = F.least(F.floor((F.col("_at") - F.col("_cell")) * F.col("_cuts")), F.col("_cuts") - 1)
+    return rows.withColumn("_bin", F.when(F.col("_q").isNull(), none).otherwise(F.struct(F.col("_cell").alias("cell"), sub.alias("sub")))).drop("_s", "_c", "_cuts", "_at", "_cell")
+
+
 def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source_col: str = "source",
              max_copies: int = 2, weight_col: str | None = None, bin_rows: int = 1_000) -> DataFrame:
     """``sized`` with source_size, target and copies (long).  Other columns are carried, but for those with
@@ -74,21 +92,22 @@ def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", sourc
             .withColumn("_whole", F.floor("_e").cast("long"))
             .withColumn("_p", F.col("_e") - F.col("_whole"))
             .withColumn("_q", F.when(F.col("_p") > 0, (F.col("_u") / (1 - F.col("_u"))) / (F.col("_p") / (1 - F.col("_p"))))))
-    bins = F.ceil(F.col("n_docs") / bin_rows)
-    # documents without a fraction take no part in the order; they are spread over bins below 0
-    rows = rows.withColumn("_bin", F.when(F.col("_q").isNotNull(), F.least(F.floor(F.col("_q") / (1 + F.col("_q")) * bins), bins - 1))
-                           .otherwise(-1 - F.floor(F.col("_u") * bins)).cast("long"))
+    rows = with_bins(rows, source_col, weight_col is None, bin_rows)
     per_bin = rows.groupBy(F.col(source_col).alias("_s"), F.col("_bin").alias("_b")).agg(
         F.sum(F.when(F.col("_q").isNotNull(), F.col("_size")).otherwise(0)).alias("_words"),
         F.sum(F.col("_whole") * F.col("_size")).alias("_sure"))
     by_source = Window.partitionBy("_s")
-    per_bin = (per_bin.withColumn("_before", F.coalesce(F.sum("_words").over(by_source.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("_certain", F.sum("_sure").over(by_source)))
+    per_bin = saved(per_bin.withColumn("_before", F.coalesce(F.sum("_words").over(by_source.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                    .withColumn("_certain", F.sum("_sure").over(by_source)))
     placed = rows.join(per_bin, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")), "inner")
+    left, end = F.col("target") - F.col("_certain"), F.col("_before") + F.col("_words")
+    # bins that end by then are taken, those that begin later aren't; one bin a source is left to be ordered
+    split = F.col("_q").isNotNull() & (F.col("_before") <= left) & (end > left)
     order = Window.partitionBy("_s", "_b").orderBy("_q", id_col, "_size")
     in_bin = F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
-    extra = F.when(F.col("_q").isNotNull() & (F.col("_before") + in_bin + F.col("_size") / 2 <= F.col("target") - F.col("_certain")), 1).otherwise(0)
-    placed = placed.withColumn("copies", F.least(F.col("_whole") + extra, F.lit(max_copies)).cast("long"))
+    placed = (placed.filter(~split).withColumn("_extra", F.when(F.col("_q").isNotNull() & (end <= left), 1).otherwise(0))
+              .unionByName(placed.filter(split).withColumn("_extra", F.when(F.col("_before") + in_bin + F.col("_size") / 2 <= left, 1).otherwise(0))))
+    placed = placed.withColumn("copies", F.least(F.col("_whole") + F.col("_extra"), F.lit(max_copies)).cast("long"))
     return placed.select(*own.columns, "source_size", "target", "copies")
 
 
