@@ -100,3 +100,21 @@ def test_bins_agree_with_weights(many):
     sized = m.with_size(docs)
     one, other = ({r["doc_id"]: r["copies"] for r in m.allocate(sized, m.source_targets(sized), weight_col="w", bin_rows=n).collect()} for n in (7, 10**6))
     assert one == other
+
+
+@pytest.mark.parametrize("weights", [(4.0, 1.0, 0.25), (9.0, 8.0, 7.0), (2.0, 2.0, 2.0)])
+def test_weights_keep_the_targets(many, weights):
+    docs = many.withColumn("w", F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("doc_id") % 3 + 1).cast("int")))
+    sized = m.with_size(docs)
+    taken, target, largest = Counter(), {}, defaultdict(int)
+    for r in m.allocate(sized, m.source_targets(sized), weight_col="w").collect():
+        taken[r["source"]] += r["copies"] * r["_size"]
+        target[r["source"]] = r["target"]
+        largest[r["source"]] = max(largest[r["source"]], r["_size"])
+    assert len(target) == 5 and all(abs(taken[s] - target[s]) <= largest[s] for s in target)
+
+
+def test_weights_without_words_or_worth(make_docs):
+    docs = make_docs([(1, "a b c", "x"), (2, "d e f", "x"), (3, None, "y"), (4, "", None)]).withColumn("w", F.when(F.col("doc_id") < 3, 0.0))
+    sized = m.with_size(docs)
+    assert {r["doc_id"]: r["copies"] * r["_size"] for r in m.allocate(sized, m.source_targets(sized), weight_col="w").collect()} == {1: 0, 2: 0, 3: 0, 4: 0}

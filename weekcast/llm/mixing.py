@@ -10,8 +10,9 @@ allocated for certain; the fraction is its inclusion probability p.  Documents a
 q = (u / (1 - u)) / (p / (1 - p)), u uniform in (0, 1) from a hash of seed, id and text, and a
 source takes the prefix of that order whose words come closest to what is left of its target (the
 last document is taken if more than half of it fits).  With ``weight_col`` a document's expectation
-is multiplied by its weight (clipped so that no one passes ``max_copies``), so inclusion
-probabilities differ within a source as well; the prefix still ends at the source's target.
+is proportional to its weight (null: 1; below 0: 0), clipped at ``max_copies``, at the level where a source's
+expected words sum to its target; so inclusion probabilities differ within a source as well, and the prefix still
+ends at the source's target (which it can't reach where documents of weight above 0 have too few words).
 
 No window runs over a source: the rank scale is cut into bins of about ``bin_rows`` documents whatever p is
 (on u where a source has one p; else on ln q, in cells that are cut again by their counts), the words of bins
@@ -78,6 +79,24 @@ def with_bins(rows: DataFrame, source_col: str, one_p: bool, bin_rows: int) -> D
     return rows.withColumn("_bin", F.when(F.col("_q").isNull(), none).otherwise(F.struct(F.col("_cell").alias("cell"), sub.alias("sub")))).drop("_s", "_c", "_cuts", "_at", "_cell")
 
 
+def weight_levels(rows: DataFrame, source_col: str, max_copies: int) -> DataFrame:
+    """_s and _level, a row per source: the level at which the words of least(max_copies, level * _weight) copies sum to the target.
+
+    The words are concave and piecewise linear in the level, so Newton's steps from the level without a clip rise
+    to the solution and end there; each is an aggregate over the table of sources and weights."""
+    per = saved(rows.groupBy(F.col(source_col).alias("_src"), "_weight").agg(F.sum("_size").alias("_n"), F.first("target").alias("_target")))
+    levels = per.select(F.col("_src").alias("_s"), F.lit(0.0).alias("_level"), F.lit(True).alias("_moved")).distinct()
+    while True:
+        clipped = F.col("_level") * F.col("_weight") >= max_copies
+        level = (F.first("_target") - F.sum(F.when(clipped, F.col("_n")).otherwise(0)) * max_copies) / F.nullif(
+            F.sum(F.when(clipped, 0.0).otherwise(F.col("_n") * F.col("_weight"))), F.lit(0.0))
+        found = per.join(levels, F.col("_src").eqNullSafe(F.col("_s")), "inner").groupBy("_s").agg(level.alias("_new"), F.first("_level").alias("_level"))
+        higher = F.coalesce(F.col("_new") > F.col("_level") * (1 + 1e-12), F.lit(False))
+        levels = saved(found.select("_s", F.when(higher, F.col("_new")).otherwise(F.col("_level")).alias("_level"), higher.alias("_moved")))
+        if levels.filter("_moved").isEmpty():
+            return levels.select("_s", "_level")
+
+
 def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", source_col: str = "source",
              max_copies: int = 2, weight_col: str | None = None, bin_rows: int = 1_000) -> DataFrame:
     """``sized`` with source_size, target and copies (long).  Other columns are carried, but for those with
@@ -87,7 +106,10 @@ def allocate(sized: DataFrame, targets: DataFrame, id_col: str = "doc_id", sourc
     rows = own.join(targets, F.col(source_col).eqNullSafe(F.col("_src")), "inner").drop("_src")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     if weight_col:
-        expected = F.least(F.lit(float(max_copies)), expected * F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)), F.lit(0.0)))
+        rows = rows.withColumn("_weight", F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)), F.lit(0.0)))
+        levels = weight_levels(rows, source_col, max_copies)
+        rows = rows.join(levels, F.col(source_col).eqNullSafe(F.col("_s")), "inner").drop("_s")
+        expected = F.least(F.lit(float(max_copies)), F.col("_level") * F.col("_weight"))
     rows = (rows.withColumn("_e", expected)
             .withColumn("_whole", F.floor("_e").cast("long"))
             .withColumn("_p", F.col("_e") - F.col("_whole"))
