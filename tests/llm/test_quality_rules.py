@@ -47,3 +47,14 @@ def test_policies_and_ablation(make_docs):
     with pytest.raises(ValueError):
         q.policy_mask(("no such rule",))
     assert q.ablation(q.build_ledger(make_docs([]))).collect() == []
+
+
+def test_op2_writes_the_ablation_of_the_whole_table(spark, make_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(q, "shared_dir", lambda _, name: str(tmp_path / name))
+    make_docs([(i, sentence(i, 80) if i % 3 else "short") for i in range(30)]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = q.op2(spark, str(tmp_path)).collect()
+    table = {(r["policy"], r["rule"]): r for r in spark.read.parquet(str(tmp_path / "op2_ablation")).collect()}
+    assert set(table) == {(v, r) for v, names in q.POLICIES.items() for r in names}
+    assert all(r["n_docs"] == 30 for r in table.values())
+    assert table["base", "few_words"]["n_failed"] == 10 and table["base", "few_words"]["n_rejected"] == sum(r["base_failed"] for r in rows)
+    assert table["2024-2", "few_words"]["n_rejected"] == sum(not r["kept"] for r in rows)

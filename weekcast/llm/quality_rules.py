@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, map_texts, utf8
+from .common import SPACE, documents, map_texts, saved, shared_dir, utf8
 from .registry import query
 
 SYMBOLS = b"#*$%&|<>"
@@ -126,14 +126,12 @@ def ablation(ledger: DataFrame, policies: dict[str, tuple[str, ...]] | None = No
     """policy, rule, n_failed (documents that fail the rule), n_only (that the policy rejects for this rule
     alone: won back without it), n_rejected (that the policy rejects) and n_docs."""
     rules = rules or default_rules()
-    spark = ledger.sparkSession
     by_mask = ledger.groupBy("failed_bits").agg(F.count(F.lit(1)).alias("n"))
-    plan = [(v, r, policy_mask(names, rules), policy_mask((r,), rules))
-            for v, names in (policies or POLICIES).items() for r in names]
-    table = spark.createDataFrame(plan, "policy string, rule string, mask long, bit long")
+    plan = [F.struct(F.lit(v).alias("policy"), F.lit(r).alias("rule"), F.lit(policy_mask(names, rules)).cast("long").alias("mask"),
+                     F.lit(policy_mask((r,), rules)).cast("long").alias("bit")) for v, names in (policies or POLICIES).items() for r in names]
     own = F.col("failed_bits").bitwiseAND(F.col("mask"))
     counted = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
-    return (by_mask.join(F.broadcast(table))  # a fixed few rows: one per policy and rule
+    return (by_mask.select("failed_bits", "n", F.inline(F.array(*plan)))  # a fixed few rows a mask: one per policy and rule
             .groupBy("policy", "rule")
             .agg(counted(own.bitwiseAND(F.col("bit")) != 0).alias("n_failed"), counted(own == F.col("bit")).alias("n_only"),
                  counted(own != 0).alias("n_rejected"), F.sum("n").alias("n_docs")))
@@ -164,8 +162,10 @@ FROM b
 
 @query("op2_quality_rules", _ORACLE)
 def op2(spark, sf_dir):
-    """Every document against the newest policy; ``base_failed`` is the policy ``base``."""
-    ledger = build_ledger(documents(spark, sf_dir))
+    """Every document against the newest policy; ``base_failed`` is the policy ``base``.  The ablation of all policies
+    over the whole ledger is written to the shared folder ``op2_ablation``."""
+    ledger = saved(build_ledger(documents(spark, sf_dir)))
+    ablation(ledger).write.parquet(shared_dir(spark, "op2_ablation"))
     judged = apply_policy(apply_policy(ledger, POLICIES["base"], into="base_kept"), POLICIES["2024-2"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          (~F.col("base_kept")).alias("base_failed"), "kept")
