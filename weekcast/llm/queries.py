@@ -5,6 +5,7 @@ import corpus_pipeline
 from . import (  # noqa: F401
     decontaminate,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     quality_bayes,
