@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     merkle,
     mixing,
     near_dedup,
+    period_runs,
     quality_bayes,
     quality_rules,
     secrets,
