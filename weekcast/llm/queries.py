@@ -4,6 +4,7 @@ import corpus_pipeline
 
 from . import (  # noqa: F401
     decontaminate,
+    html_wrappers,
     line_dedup,
     merkle,
     mixing,
