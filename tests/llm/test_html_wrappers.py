@@ -40,7 +40,8 @@ def run_plain(rows):
                 for into, n in ((chars, sum(len(t) for _, t, _ in s.texts)), (links, sum(n for _, _, n in s.texts))):
                     into.setdefault(s.id, {}).setdefault(key, 0)
                     into[s.id][key] += n
-        constant = {(k, t) for k, texts in seen.items() for t, of in texts.items() if len(of) >= 3 and 2 * len(of) >= sum(map(len, texts.values()))}
+        top = {k: max(texts, key=lambda t: (len(texts[t]), h.text_hash(t))) for k, texts in seen.items()}
+        constant = {(k, t) for k, t in top.items() if len(seen[k][t]) >= 3 and 2 * len(seen[k][t]) >= sum(map(len, seen[k].values()))}
         vary = lambda found: {k: sum(n for t, n in by.items() if (k, t) not in constant) for k, by in found.items()}
         kept = h.content(template, vary(chars), vary(links))
         w = h.Wrapper.__new__(h.Wrapper)

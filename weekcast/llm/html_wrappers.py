@@ -7,8 +7,8 @@
    trees' children with the most matched nodes, the unmatched ones kept as optional.  Merging goes in rounds of at most
    ``fan_in`` shapes a task until each host has one template, so a host of any size is no bottleneck.
 3. All pages are aligned with their host's template.  Counted over all pages: the texts of every single slot, and the
-   text that every slot holds.  A single slot with the same text on at least half of the pages (three at least, that differ in their longest
-   text, so that copies of an article aren't taken for template) is constant: template.  The others vary.
+   text that every slot holds.  The most frequent text of a single slot is constant, that is template, if at least half of the pages have
+   it (three at least, that differ in their longest text, so that copies of an article aren't taken for template).  The others vary.
 4. The varying slots hold content where they are part of the page's article: below ``article`` or ``main``, else below the node
    to which most of the varying text leads.  Navigation, header, footer, sidebar, notice, advert, form and
    comment nodes (by element, role, or a word of class or id) vary too but are no part of it; such a name doesn't count on a
@@ -474,14 +474,13 @@ def induce(pages: DataFrame, share: float = 0.5, least: int = 3, salt_rows: int
     observed = _observed(_joined(pages, made, "shape", salt_rows, most_hosts))
     # pages that differ in their longest text, per text of a slot and per slot
     texts = observed.groupBy("_host", "slot", "text", "longest").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    texts = saved(texts.groupBy("_host", "slot", "text").agg(F.count("longest").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links")))
-    slots = texts.groupBy("_host", "slot").agg(F.sum("n").alias("_all"))
-    judged = texts.join(slots, ["_host", "slot"]).withColumn(
-        "_constant", F.col("text").isNotNull() & (F.col("n") >= least) & (F.col("n") >= share * F.col("_all")))
-    vary = ~F.col("_constant")
-    per_slot = judged.groupBy("_host", "slot").agg(F.collect_list(F.when(F.col("_constant"), F.col("text"))).alias("texts"),  # two at most
-                                                   F.sum(F.when(vary, F.col("chars")).otherwise(0)).alias("chars"),
-                                                   F.sum(F.when(vary, F.col("links")).otherwise(0)).alias("links"))
+    texts = texts.groupBy("_host", "slot", "text").agg(F.count("longest").alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    # the most frequent text by aggregates alone: a slot of a hot host is combined where its rows are
+    top = F.max(F.when(F.col("text").isNotNull(), F.struct("n", "text", "chars", "links")))
+    slots = texts.groupBy("_host", "slot").agg(F.sum("n").alias("_all"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), top.alias("_top"))
+    constant = F.coalesce((F.col("_top.n") >= least) & (F.col("_top.n") >= share * F.col("_all")), F.lit(False))
+    per_slot = slots.select("_host", "slot", F.when(constant, F.array("_top.text")).otherwise(F.array().cast("array<bigint>")).alias("texts"),
+                            *[(F.col(c) - F.when(constant, F.col(f"_top.{c}")).otherwise(0)).alias(c) for c in ("chars", "links")])
     found = per_slot.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("slot", "texts", "chars", "links"))).alias("_found"))
     rows = F.concat(F.lit("["), F.array_join(F.transform("_found", lambda x: F.concat(
         F.lit("["), x["slot"].cast("string"), F.lit(","), F.to_json(x["texts"]), F.lit(","), x["chars"].cast("string"), F.lit(","),
