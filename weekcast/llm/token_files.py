@@ -5,8 +5,8 @@ ids continue, level 1 holds the next chunk of those that do, and so on.  A rank
 of set bits before each block of 512) turns a position of one level into the position of the next,
 so any id is read with one directory look-up and one popcount a level; no block is decoded.
 
-``write_token_files`` range-partitions the documents by id, sorts each partition, encodes the texts
-and writes segments: rows of a Parquet table with the ids and lengths of a run of documents and one
+``write_token_files`` encodes the texts where they are read, range-partitions the ids of tokens by document, sorts each
+partition and writes segments: rows of a Parquet table with the ids and lengths of a run of documents and one
 binary payload.  A segment closes at ``segment_tokens`` ids, so a task holds one segment at a time
 whatever a partition holds.  Spark's committer makes the write safe against lost executors.
 
@@ -20,6 +20,7 @@ table without segments; a text of any length is encoded whole.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, pieces, shared_dir
+from .common import documents, pieces, saved, shared_dir, text_key
 from .registry import query
 
 END_ID = 2
@@ -123,28 +124,14 @@ class Dac:
         return out
 
 
-class _Cache(dict):
-    """Ids by word; a word that is missing is taken from the generation before or encoded."""
-
-    def __init__(self, encode, before):
-        super().__init__()
-        self.encode, self.before = encode, before
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.before.get(word)
-        if ids is None:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
-
-
 #: How byte-level vocabularies write a byte: printable ones of Latin-1 as themselves, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_WRITTEN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_REST = iter(range(256, 512))
+_WRITTEN = "".join(chr(b if b in _PRINTABLE else next(_REST)) for b in range(256))
 
 
 def _byte_level(text: str) -> str:
-    return text if text.isascii() else text.encode().decode("latin-1").translate(_WRITTEN)
+    return text if text.isascii() else codecs.charmap_decode(text.encode(), "strict", _WRITTEN)[0]
 
 
 class WordEncoder:
@@ -153,30 +140,41 @@ class WordEncoder:
     It applies to tokenizers whose pre-tokenizer keeps no white space: no token spans it then, and the
     ids of a text are those of its words in turn.  A new word goes through the library's own
     normalizer, pre-tokenizer and model; words that hold a special token's text, and all texts of any
-    other tokenizer, go through its whole encoder.  Latin letters with at most one mark behind them
-    skip the normalizer and pre-tokenizer where probes show that these lower the case and cut off the mark, no more.
-    The cache has two generations of at most ``cache_words`` words and those of one block of texts."""
+    other tokenizer, go through its whole encoder.  Latin letters with marks behind them
+    skip the normalizer and pre-tokenizer where probes show that these lower the case and cut off the marks, no more.
+    The cache has two generations of at most ``cache_words`` words and those of one block of texts; a block's new words are
+    learned together."""
 
-    MARKS = frozenset(".,;:!?")
+    MARKS = b".,;:!?*#$%&|<>()[]{}\"'-_/+=~^@`\\"
     LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")  # lower-case Latin: one code point each, stable under NFC
 
     def __init__(self, path: str, cache_words: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        said = json.loads(self.tokenizer.to_str())
-        steps = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        before = self.tokenizer.pre_tokenizer
+        steps = (json.loads(before.__getstate__()) if before else {}).get("pretokenizers") or [{}]
         self.by_word = (steps[0].get("type"), steps[0].get("behavior"), steps[0].get("invert")) == ("Split", "Removed", True)
         self.cache_words = cache_words
-        self.cache = _Cache(self._word, {})
+        self.cache, self.older = {}, {}
         if self.by_word:
-            self.special = [t["content"].encode() for t in said["added_tokens"]]
-            self.model, self.before = self.tokenizer.model, self.tokenizer.pre_tokenizer
+            self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.model, self.before = self.tokenizer.model, before
             self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
             probes = ["AZaz", "\u00c9t\u00e9\u0178\u0219", "\u00df"]
-            self.plain = all(self._parts(w) == [_byte_level(w.lower())] and all(self._parts(w + m) == [_byte_level(w.lower()), m] for m in self.MARKS)
-                             for w in probes)
-            self.marks = {ord(m): self._ids([m]) for m in self.MARKS}
+            self.probes = [(w, _byte_level(w.lower())) for w in probes]
+            self.plain = all(self._parts(w) == [low] for w, low in self.probes)
+            self.ends = {b"": b""}
+
+    def _end(self, marks: bytes) -> bytes | None:
+        """The ids of marks at the end of a word; None if they aren't always parts of their own."""
+        text = marks.decode()
+        parts = self._parts(text)
+        alone = len(self.ends) < 10_000 and all(self._parts(w + text) == [low, *parts] for w, low in self.probes)
+        ids = self._ids(parts) if alone else None
+        if len(self.ends) < 10_000:
+            self.ends[marks] = ids
+        return ids
 
     def _parts(self, word: str) -> list[str]:
         return [part for part, _ in self.before.pre_tokenize_str(self.normal(word))]
@@ -185,38 +183,50 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _word(self, word: bytes) -> bytes:
-        if self.plain:
-            mark = self.marks.get(word[-1])
-            body = word if mark is None else word[:-1]
-            low = body.lower() if body.isalpha() else self._letters(body)
-            if low and low != word:  # the same word is often known without its mark and capital
-                return self.cache[low] + (mark or b"")
-            if low:
-                return self._ids([_byte_level(low.decode())])
-        if any(m in word for m in self.special):
-            return self._alone([word])[0]
-        return self._ids(self._parts(word.decode()))
-
-    def _letters(self, word: bytes) -> bytes | None:
-        """The word in lower case if Latin letters are all there is."""
-        low = word.decode().lower()
-        return low.encode() if self.LETTERS.fullmatch(low) else None
-
     def _ids(self, parts: list[str]) -> bytes:
-        ids = [token.id for part in parts for token in self.model.tokenize(part)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return np.array([token.id for part in parts for token in self.model.tokenize(part)], "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put the ids of these words into the cache."""
+        cache, older, ends, letters, tokenize, pack = self.cache, self.older, self.ends, self.LETTERS.fullmatch, self.model.tokenize, struct.pack
+        formats = [f"<{n}I" for n in range(64)]
+        for word in words:
+            ids = older.get(word)
+            if ids is None and self.plain:
+                body = word.rstrip(self.MARKS)
+                marks = word[len(body):]
+                end = ends[marks] if marks in ends else self._end(marks)
+                if end is None:
+                    low = b""
+                elif body.isalpha():  # of bytes: ASCII letters
+                    low = body.lower()
+                    plain = low.decode()
+                else:
+                    plain = body.decode().lower()
+                    low = plain.encode() if letters(plain) else b""
+                    plain = _byte_level(plain)
+                if low:  # a word is often known without its mark and capitals
+                    ids = cache.get(low) or older.get(low)
+                    if ids is None:
+                        found = [token.id for token in tokenize(plain)]
+                        ids = pack(formats[len(found)] if len(found) < 64 else f"<{len(found)}I", *found)
+                    cache[low] = ids
+                    ids += end
+            if ids is None:
+                ids = self._alone([word])[0] if any(m in word for m in self.special) else self._ids(self._parts(word.decode()))
+            cache[word] = ids
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Little-endian u32 ids of each text (UTF-8), without an end id."""
-        raw = [t or b"" for t in texts]
+        """Little-endian u32 ids of each text (UTF-8), without an end id; equal texts are encoded once."""
         if not self.by_word:
-            return self._alone(raw)
+            return self._alone([t or b"" for t in texts])
         if len(self.cache) > self.cache_words:
-            self.cache.before = {}
-            self.cache = _Cache(self._word, self.cache)
+            self.cache, self.older = {}, self.cache
+        words = {t: self._lowered(t or b"").split() for t in set(texts)}
+        self._learn(set().union(*words.values()).difference(self.cache))
         known = self.cache.__getitem__
-        return [b"".join(map(known, self._lowered(r).split())) for r in raw]
+        made = {t: b"".join(map(known, found)) for t, found in words.items()}
+        return [made[t] for t in texts]
 
     def _lowered(self, text: bytes) -> bytes:
         """ASCII in lower case, as the normalizer would have it, unless that could spell a special token."""
@@ -234,46 +244,72 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def packed_ids(ids: bytes) -> bytes:
+    """Little-endian u32 ids as u16 where that is enough, behind a byte that says the width."""
+    values = np.frombuffer(ids, "<u4")
+    return b"\x04" + ids if len(values) and int(values.max()) > 0xFFFF else b"\x02" + values.astype("<u2").tobytes()
+
+
+def unpacked_ids(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
+def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """_id, _t (a hash of the text), _ids (packed ids without an end id) of each row, saved: 2 bytes an id travel
+    instead of texts, and the range partitioning, which reads its input twice, doesn't encode twice."""
+    rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
+    schema = T.StructType([rows.schema["_id"], rows.schema["_t"], T.StructField("_ids", T.BinaryType())])
+
+    def run(batches):
+        code = encoder(tokenizer_path)
+        for batch in batches:
+            for piece in pieces(batch, "_text", 1 << 20):
+                made = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_t"), pa.array(map(packed_ids, made), pa.binary())], names=schema.names)
+
+    return saved(rows.mapInArrow(run, schema))
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text",
                       end_id: int = END_ID, segment_tokens: int = 1 << 19) -> None:
-    """Encode ``docs`` in ascending order of ``id_col`` into a table of DAC segments at ``out``."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    keys = [F.col("_id").asc_nulls_first(), F.xxhash64("_text").asc()]
-    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
+    """Encode ``docs`` and write them in ascending order of ``id_col`` as a table of DAC segments at ``out``."""
+    rows = encoded(docs, tokenizer_path, id_col, text_col)
+    # many rows of equal id and text are told apart by where they were saved, so that they can be dealt to several partitions
+    keys = [F.col("_id").asc_nulls_first(), F.col("_t").asc(), F.col("_row").asc()]
+    ordered = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = ordered.select("_id", "_ids", F.spark_partition_id().alias("_part"))
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("first_token", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("doc_ids", T.ArrayType(rows.schema["_id"].dataType)), T.StructField("doc_tokens", T.ArrayType(T.IntegerType())),
         T.StructField("codes", T.BinaryType())])
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], np.uint32)
 
     def run(batches):
-        code = encoder(tokenizer_path)
         part, id_type, first = None, None, 0
         held, ids, lengths, n = [], [], [], 0
 
         def segment():
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(id_type)),
-                 pa.array([lengths], pa.list_(pa.int32())), pa.array([encode_dac(np.frombuffer(b"".join(held), "<u4"))], pa.binary())],
-                names=schema.names)
+                 pa.array([lengths], pa.list_(pa.int32())), pa.array([encode_dac(np.concatenate(held))], pa.binary())], names=schema.names)
 
         for batch in batches:
-            for piece in pieces(batch, "_text"):
-                part, id_type = piece.column("_part")[0].as_py(), piece.schema.field("_id").type
-                texts = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
-                for doc, tokens in zip(piece.column("_id").to_pylist(), texts, strict=True):
-                    held += tokens, end
-                    ids.append(doc)
-                    lengths.append(len(tokens) // 4 + 1)
-                    n += lengths[-1]
-                    if n >= segment_tokens:
-                        yield segment()
-                        first += n
-                        held, ids, lengths, n = [], [], [], 0
+            if batch.num_rows:
+                part, id_type = batch.column("_part")[0].as_py(), batch.schema.field("_id").type
+            for doc, tokens in zip(batch.column("_id").to_pylist(), batch.column("_ids"), strict=True):
+                values = unpacked_ids(tokens.as_py())
+                held += values.astype(np.uint32), end
+                ids.append(doc)
+                lengths.append(len(values) + 1)
+                n += lengths[-1]
+                if n >= segment_tokens:
+                    yield segment()
+                    first += n
+                    held, ids, lengths, n = [], [], [], 0
         if ids:
             yield segment()
 
-    ordered.mapInArrow(run, schema).write.parquet(out)
+    ordered.mapInArrow(run, schema).write.option("compression", "none").parquet(out)  # bytes of a code are where they were put
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
