@@ -5,6 +5,8 @@ import pytest
 
 from weekcast.llm import token_files as t
 
+from .conftest import sentence
+
 ODD = ["I'm don't <|endoftext|> x<|endoftext|>y  é é ½ ٣ a_b \x1c\x85 z q İ ΣΑΣ ÀB. Ÿ, ß! ÉTÉ", "", "  ", "́ a", "日本語 ok 😀", "a" * 3000,
        "x.. y. Z. ... Wörter, WÖRTER! é. ﬁ ÅK Åk", "tab\there\nline\x0bx\x0cy\r\nz", "it's IT'S 'll. O'Neil"]
 
@@ -81,3 +83,29 @@ def test_query(spark, tokenizer):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert not texts
+
+
+def test_packed_ids():
+    for ids in ([], [0], [5, 255], [256, 65535, 1], [65536, 2], [2**32 - 1, 0, 7]):
+        packed = t.packed_ids(np.array(ids, "<u4").tobytes())
+        assert t.unpacked_ids(packed).tolist() == ids and len(packed) == 1 + len(ids) * max(1, -(-max(ids, default=1).bit_length() // 8))
+
+
+def test_many_equal_rows_are_dealt_out(spark, make_docs, tmp_path):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    t.write_token_files(make_docs([(7, sentence(1, 60))] * 4000 + [(1, "a")]).repartition(4), t.default_tokenizer(), str(tmp_path / "t"), segment_tokens=1 << 12)
+    table = t.segments(spark, str(tmp_path / "t"))
+    spark.conf.set(setting, before)
+    parts = [r[1] for r in table.groupBy("part").sum("n_tokens").collect()]
+    assert len(parts) >= 4 and max(parts) < 0.5 * sum(parts)
+    digests = t.read_digests(spark, str(tmp_path / "t")).collect()
+    assert len(digests) == 4001 and len({(r["n_tokens"], r["ids_crc32"]) for r in digests}) == 2
+
+
+def test_ends_of_words():
+    code = t.WordEncoder(t.default_tokenizer())
+    texts = ["word$$$ word,%%% WORD. \u00c9t\u00e9!! (907) a-b don't x's \u201cq\u201d ... ''", "word's word-- word_ word'", "<|endoftext|> a<|endoftext|>."]
+    raw = [x.encode() for x in texts]
+    assert code.encode(raw) == code._alone(raw) == code.encode(raw)

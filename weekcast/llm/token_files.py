@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, pieces, saved, shared_dir, text_key
+from .common import documents, pieces, shared_dir, text_key
 from .registry import query
 
 END_ID = 2
@@ -245,29 +245,37 @@ def encoder(path: str) -> WordEncoder:
 
 
 def packed_ids(ids: bytes) -> bytes:
-    """Little-endian u32 ids as u16 where that is enough, behind a byte that says the width."""
-    values = np.frombuffer(ids, "<u4")
-    return b"\x04" + ids if len(values) and int(values.max()) > 0xFFFF else b"\x02" + values.astype("<u2").tobytes()
+    """Little-endian u32 ids as planes: the lowest byte of all, the next one of all, as many as the largest id has."""
+    planes = np.frombuffer(ids, np.uint8).reshape(-1, 4)
+    width = 4
+    while width > 1 and not planes[:, width - 1].any():
+        width -= 1
+    return bytes([width]) + planes[:, :width].T.tobytes()
 
 
 def unpacked_ids(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(packed[0], -1)
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, :packed[0]] = planes.T
+    return out.view("<u4").ravel()
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _t (a hash of the text), _ids (packed ids without an end id) of each row, saved: 2 bytes an id travel
-    instead of texts, and the range partitioning, which reads its input twice, doesn't encode twice."""
+    """_id, _t (a hash of the text), _ids (packed ids without an end id) of each row, from a table written to the shared
+    folder: 2 bytes an id travel instead of texts, and the range partitioning, which reads its input twice, doesn't encode twice."""
     rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
     schema = T.StructType([rows.schema["_id"], rows.schema["_t"], T.StructField("_ids", T.BinaryType())])
 
     def run(batches):
         code = encoder(tokenizer_path)
         for batch in batches:
-            for piece in pieces(batch, "_text", 1 << 20):
+            for piece in pieces(batch, "_text"):
                 made = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
                 yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_t"), pa.array(map(packed_ids, made), pa.binary())], names=schema.names)
 
-    return saved(rows.mapInArrow(run, schema))
+    out = shared_dir(docs.sparkSession, "ids")
+    rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
+    return docs.sparkSession.read.parquet(out)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text",
@@ -298,7 +306,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
                 part, id_type = batch.column("_part")[0].as_py(), batch.schema.field("_id").type
             for doc, tokens in zip(batch.column("_id").to_pylist(), batch.column("_ids"), strict=True):
                 values = unpacked_ids(tokens.as_py())
-                held += values.astype(np.uint32), end
+                held += values, end
                 ids.append(doc)
                 lengths.append(len(values) + 1)
                 n += lengths[-1]
