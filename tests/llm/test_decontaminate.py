@@ -76,3 +76,13 @@ def test_main_path_runs_no_python(make_docs, corpus, spark):
     docs, items = corpus
     plan = d.find_hits(make_docs(docs), spark.createDataFrame(items, "item_id long, text string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_long_benchmark_item(spark, make_docs):
+    import time
+    item = " ".join(f"w{i}" for i in range(5000))
+    bench = spark.createDataFrame([("a", item), ("b", "w17 w18 w19")], "item_id string, text string")
+    docs = make_docs([(1, "x " + " ".join(f"w{i}" for i in range(100, 130)) + " y"), (2, "w1 w2 w3"), (3, "q w17 w18 w19 q")])
+    start = time.time()
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in d.find_hits(docs, bench).collect()}
+    assert got == {1: (30, ["a"]), 2: (0, []), 3: (3, ["b"])} and time.time() - start < 60

@@ -73,14 +73,18 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
               item_text_col: str = "text", window: int = 10, k: int = 5, broadcast_rows: int = 200_000) -> DataFrame:
     """``id_col``, _t (text key), n_words, n_hit (words inside an occurrence of a window) and items (array of the ids whose
     windows occur, sorted as strings) for every row of ``docs``."""
-    items = saved(benchmark.select(F.col(item_col).cast("string").alias("_item"), words(F.col(item_text_col)).alias("_w")).filter(F.size("_w") > 0))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = saved(benchmark.select(F.col(item_col).cast("string").alias("_item"), words(F.col(item_text_col)).alias("_w"))
+                  .filter(F.size("_w") > 0).repartition(tasks, "_item", F.size("_w")))
     short = sorted(r[0] for r in items.select(F.size("_w")).filter(F.size("_w") < window).distinct().collect())  # window - 1 rows at most
     length = F.least(F.size("_w"), F.lit(window))
     windows = saved(items.select("_item", length.alias("_len"), F.explode(F.array_distinct(_texts(F.col("_w"), length))).alias("_text")))
-    prints = saved(fingerprints(items.filter(F.size("_w") >= window), "_w", k, window, [])
-                   .unionByName(fingerprints(items.filter(F.size("_w") < window), "_w", k, window, short)
-                                .withColumn("_prints", F.filter("_prints", lambda p: p["len"] == F.size("_w"))))
-                   .select(F.explode("_prints").alias("_p")).select(F.col("_p.len").alias("_len"), F.col("_p.hash").alias("_hash")).distinct()
+    # saved before the explode: the filter that Spark infers for one would copy the fingerprints' expressions into each other
+    printed = saved(fingerprints(items.filter(F.size("_w") >= window), "_w", k, window, [])
+                    .unionByName(fingerprints(items.filter(F.size("_w") < window), "_w", k, window, short)
+                                 .withColumn("_prints", F.filter("_prints", lambda p: p["len"] == F.size("_w"))))
+                    .select("_prints"))
+    prints = saved(printed.select(F.explode("_prints").alias("_p")).select(F.col("_p.len").alias("_len"), F.col("_p.hash").alias("_hash")).distinct()
                    .withColumn("_found", F.lit(1)))
 
     own = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
