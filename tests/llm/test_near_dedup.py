@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weekcast.llm import near_dedup as n
 
@@ -100,3 +101,36 @@ def test_one_of_each(make_docs, family):
     want = {i for i, (_, c) in brute(rows, 3, 85).items() if c == i}
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(want)
     assert left.columns == ["doc_id", "text", "source", "lang"]
+
+
+def test_many_null_ids_meet_their_own_texts_only(spark, make_docs):
+    base = sentence(3, 120).split()
+    rows = [(None, " ".join(base[:i % 100] + [f"x{i}"] + base[i % 100 + 1:])) for i in range(200)] + [(1, " ".join(base))]
+    docs = make_docs(rows)
+    signed = n.signature_table(docs, "doc_id", "text", 5, 60, 4, 5)
+    members = signed.select("_id", "_t", F.lit(1).alias("_g"), F.lit("").alias("_x"), F.lit("").alias("_y"), F.xxhash64("_k1", "_k2").alias("_v"), "_k1", "_k2") \
+                    .withColumnRenamed("_id", "_rep")
+    confirmed = n._confirmed(docs, members, "doc_id", "text", 5, (80, 100))
+    plan = confirmed._jdf.queryExecution().optimizedPlan().toString()
+    assert "_t" in plan and confirmed.count() == 200  # a spanning forest of 201 linked texts
+    got = n.near_duplicates(docs).collect()
+    assert len(got) == 201 and sum(r["kept"] for r in got) == 1 and {r["component_id"] for r in got} == {1}
+
+
+@pytest.mark.parametrize("share", [85, 88])
+def test_recall_just_above_the_threshold(spark, make_docs, share):
+    """Pairs of texts whose sets agree to just above 0.85 or 0.88: all are found."""
+    rows = []
+    for i in range(300):
+        words = [f"w{i}_{k}" for k in range(400)]
+        other, k = list(words), 0
+        while True:  # replace words, three shingles each, while the sets agree enough
+            shared = 398 - 3 * (k + 1)
+            if 100 * shared < share * (2 * 398 - shared):
+                break
+            other[5 + 10 * k] = f"y{i}_{k}"
+            k += 1
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    got = {r["doc_id"]: r["component_id"] for r in n.near_duplicates(make_docs(rows), width=3, threshold=(85, 100), rows=5).collect()}
+    found = sum(got[2 * i + 1] == 2 * i for i in range(300))
+    assert found == 300

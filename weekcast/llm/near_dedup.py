@@ -236,13 +236,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept (it is that id) for every row.  Sets are linked where threshold[1] * |A & B| >= threshold[0] * |A | B|."""
     signed = saved(signature_table(docs, id_col, text_col, width, n_permutations, rows, seed))
     own = F.xxhash64("_k1", "_k2")  # names a class; the 128 bits tell classes apart where sets are compared
-    classes = signed.filter("n_shingles > 0").groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep"), F.first("n_shingles").alias("_n"), F.first("_bands").alias("_bands"))
+    classes = signed.filter("n_shingles > 0").groupBy("_k1", "_k2").agg(F.min("_id").alias("_rep"), F.min(F.struct("_id", "_t")).alias("_own"), F.first("n_shingles").alias("_n"), F.first("_bands").alias("_bands"))
     classes = saved(classes.withColumn("_v", own))
     hits = classes.select("_v", F.explode("_bands").alias("_bucket"))
     leads = hits.groupBy("_bucket").agg(F.min("_v").alias("_lead"), F.max("_v").alias("_last")).filter("_lead <> _last").drop("_last")
     stars = hits.join(leads, "_bucket").filter("_v <> _lead").select(F.col("_v").alias("_a"), F.col("_lead").alias("_b")).distinct()
     groups = components(stars).withColumnRenamed("_c", "_g")
-    members = saved(_blocked(groups.join(classes.select("_v", "_k1", "_k2", "_rep", "_n"), "_v"), threshold, block))
+    members = saved(_blocked(groups.join(classes.select("_v", "_k1", "_k2", F.col("_own._id").alias("_rep"), F.col("_own._t").alias("_t"), "_n"), "_v"), threshold, block))
     edges = saved(_confirmed(docs, members, id_col, text_col, width, threshold))
     return _result(signed, classes, components(edges), id_col)
 
@@ -253,15 +253,13 @@ def _blocked(members: DataFrame, threshold: tuple[int, int], block: int) -> Data
     # sizes of linked sets differ by the ratio at most; a little less of it keeps rounding from moving them two classes apart
     sized = members.withColumn("_s", F.floor(F.log(F.col("_n").cast("double")) / (ratio * 1.000001)).cast("int"))
     counts = sized.groupBy("_g", "_s").agg(F.count(F.lit(1)).alias("_m"))
-    whole = counts.groupBy("_g").agg(F.sum("_m").alias("_all"))
-    small = sized.join(whole.filter(F.col("_all") <= 2 * block), "_g").withColumn("_x", F.lit("")).withColumn("_y", F.lit(""))
-    large = sized.join(whole.filter(F.col("_all") > 2 * block), "_g")
-    blocks = counts.withColumn("_b", F.ceil(F.col("_m") / block).cast("int"))
-    here = blocks.select("_g", "_s", F.col("_b").alias("_here"))
-    above = blocks.select("_g", (F.col("_s") - 1).alias("_s"), F.col("_b").alias("_above"))
-    below = blocks.select("_g", (F.col("_s") + 1).alias("_s"), F.col("_b").alias("_below"))
-    cut = (large.join(here, ["_g", "_s"]).join(above, ["_g", "_s"], "left").join(below, ["_g", "_s"], "left")
-           .withColumn("_i", F.pmod(F.xxhash64("_k2", "_k1"), F.col("_here")).cast("int")))
+    # by group: its classes, and the blocks of each size (sizes are logarithms, so a group has few)
+    groups = counts.groupBy("_g").agg(F.sum("_m").alias("_all"), F.map_from_entries(F.collect_list(F.struct(
+        F.col("_s"), F.ceil(F.col("_m") / block).cast("int")))).alias("_blocks"))
+    cut = sized.join(groups, "_g")
+    cut = cut.withColumns({"_here": F.try_element_at("_blocks", F.col("_s")), "_above": F.try_element_at("_blocks", F.col("_s") + 1),
+                           "_below": F.try_element_at("_blocks", F.col("_s") - 1)})
+    cut = cut.withColumn("_i", F.pmod(F.xxhash64("_k2", "_k1"), F.col("_here")).cast("int"))
     name = lambda s, i: F.concat_ws(".", s.cast("string"), i.cast("string"))
     me = name(F.col("_s"), F.col("_i"))
     none = F.array().cast("array<struct<x:string,y:string>>")
@@ -271,16 +269,18 @@ def _blocked(members: DataFrame, threshold: tuple[int, int], block: int) -> Data
         me.alias("x"), name(F.col("_s") + 1, j).alias("y")))).otherwise(none)
     down = F.when(F.col("_below").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("_below") - 1), lambda j: F.struct(
         name(F.col("_s") - 1, j).alias("x"), me.alias("y")))).otherwise(none)
-    spread = cut.withColumn("_t", F.explode(F.concat(same, up, down))).withColumns({"_x": F.col("_t.x"), "_y": F.col("_t.y")})
-    columns = ["_g", "_x", "_y", "_v", "_k1", "_k2", "_rep"]
-    return small.select(*columns).union(spread.select(*columns))
+    alone = F.array(F.struct(F.lit("").alias("x"), F.lit("").alias("y")))
+    tasks = F.when(F.col("_all") <= 2 * block, alone).otherwise(F.concat(same, up, down))
+    spread = cut.withColumn("_task", F.explode(tasks))
+    return spread.select("_g", F.col("_task.x").alias("_x"), F.col("_task.y").alias("_y"), "_v", "_k1", "_k2", "_rep", "_t")
 
 
 def _confirmed(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, width: int, threshold: tuple[int, int]) -> DataFrame:
     """_a, _b: a spanning forest of the links inside each task, confirmed on the full sets of the texts."""
-    texts = docs.select(F.col(id_col).alias("_rep"), F.col(text_col).alias("_text"))
-    wanted = members.select("_rep", "_g", "_x", "_y", "_v", "_k1", "_k2")
-    held = texts.join(wanted, texts["_rep"].eqNullSafe(wanted["_rep"])).select("_g", "_x", "_y", "_v", "_k1", "_k2", "_text")
+    # by id and text: rows of one id, null or not, don't meet each other's classes
+    texts = docs.select(F.col(id_col).alias("_rep"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
+    wanted = members.select("_rep", "_t", "_g", "_x", "_y", "_v", "_k1", "_k2")
+    held = texts.join(wanted, texts["_rep"].eqNullSafe(wanted["_rep"]) & (texts["_t"] == wanted["_t"])).select("_g", "_x", "_y", "_v", "_k1", "_k2", "_text")
 
     def compare(table: pa.Table) -> pa.Table:
         sets, names, seen = [], [], set()
