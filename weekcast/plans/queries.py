@@ -752,34 +752,67 @@ def _state_step(featured):
 
 
 def _trained(spark, d, two_stage: bool):
-    return ml.train(f2_featured(spark, d), CALENDAR, two_stage=two_stage, tau=0.1, history_weeks=26, decay_weeks=13)
-
-
-def _fitted(art):
-    """Rows of the fit and whether every validation score is a number of 0 or more (scores themselves depend on the trees)."""
-    y = F.col("y_pred")
+    """Rounds at a rate of 0.1, ended five rounds after the best one."""
+    return ml.train(f2_featured(spark, d), CALENDAR, two_stage=two_stage, tau=0.1, history_weeks=26, decay_weeks=13, learning_rate=0.1, patience=5)
+
+
+def _fitted(spark, art):
+    """Rows of the fit; validation scores that are numbers of 0 or more; those that a walk of the model's node table in SQL gives too;
+    and whether the training loss fell in the first rounds of each model."""
+    from weekcast.operators.boosting import depth, score_sql
+    y, models = F.col("y_pred"), [art[k] for k in ("model", "clf", "reg") if k in art]
+    valid = art["valid"].select(*PK, "y_pred", *art["features"]).checkpoint()
+    walked = valid.select(*PK, "y_pred")
+    for k, m in enumerate(models):
+        if m.trees:
+            sql = score_sql("{rows}", PK, m.features, "{nodes}", m.start, max(map(depth, m.trees)))
+            walked = walked.join(spark.sql(sql, rows=valid, nodes=m.node_table(spark)).withColumnRenamed("raw", f"raw_{k}"), PK)
+        else:
+            walked = walked.withColumn(f"raw_{k}", F.lit(m.start))
+    if len(models) == 1:
+        again = F.exp("raw_0")
+    else:
+        again = F.when(1 / (1 + F.exp(-F.col("raw_0"))) >= art["tau"], F.exp("raw_1")).otherwise(0.0)
     sound = F.coalesce(~F.isnan(y) & (y >= 0) & (y < F.lit(float("inf"))), F.lit(False))
-    return art["valid"].agg(F.lit(art["rows_train"]).cast("long").alias("rows_train"), F.count(F.lit(1)).alias("rows_valid"),
-                            F.count_if(sound).alias("sound_scores"))
+    falls = all(len(m.history) > 2 and m.history[2]["loss"] < m.history[1]["loss"] < m.history[0]["loss"] for m in models)
+    return walked.agg(F.lit(art["rows_train"]).cast("long").alias("rows_train"), F.count(F.lit(1)).alias("rows_valid"),
+                      F.count_if(sound).alias("sound_scores"), F.count_if(F.abs(again - y) <= 1e-9 * (1 + y)).alias("walked_scores"),
+                      F.lit(falls).alias("loss_falls"))
 
 
 _MODEL_ROWS = """
 SELECT count(*) FILTER (week_start < DATE '2001-10-08' AND week_start >= DATE '2001-10-08' - INTERVAL 182 DAY) AS rows_train,
        count(*) FILTER (week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05') AS rows_valid,
        count(*) FILTER (week_start >= DATE '2001-10-08' AND week_start < DATE '2001-11-05') AS sound_scores FROM panel"""
-_MODEL_SQL = with_ctes(base_ctes(SQL_SALES_DENSE, span="span"), _MODEL_ROWS)
+_MODEL_SQL = with_ctes(base_ctes(SQL_SALES_DENSE, span="span"), "SELECT *, rows_valid AS walked_scores, TRUE AS loss_falls FROM (" + _MODEL_ROWS + ") m")
 
 
 @query("ml_regressor", _MODEL_SQL)
 def q_ml_regressor(spark, d):
-    """Boosted regressor: rows it was fitted and scored on, and sound scores."""
-    return _fitted(_trained(spark, d, False))
+    """Poisson boosting: rows it was fitted and scored on, scores checked against its node table, falling loss."""
+    return _fitted(spark, _trained(spark, d, False))
+
+
+@query("ml_regressor_scores")
+def q_ml_regressor_scores(spark, d):
+    """Validation rows with the Poisson model's score, and its WMAPE."""
+    return _scores(_trained(spark, d, False))
+
+
+@query("ml_two_stage_scores")
+def q_ml_two_stage_scores(spark, d):
+    """Validation rows with the two-stage model's score, and its WMAPE."""
+    return _scores(_trained(spark, d, True))
+
+
+def _scores(art):
+    return art["valid"].select(*PK, "label", F.round("y_pred", 6).alias("y_pred"), F.round(F.lit(art["wmape"]).cast("double"), 6).alias("wmape"))
 
 
 @query("ml_two_stage", _MODEL_SQL)
 def q_ml_two_stage(spark, d):
-    """Classifier and positive-only regressor, threshold 0.1 (L3)."""
-    return _fitted(_trained(spark, d, True))
+    """Classifier and positive-only regressor, threshold 0.1, checked as ``ml_regressor`` (L3)."""
+    return _fitted(spark, _trained(spark, d, True))
 
 
 @query("ml_forecast", with_ctes(base_ctes(SQL_SALES_DENSE, span="span"), """
@@ -794,6 +827,12 @@ def q_ml_forecast(spark, d):
     return out.select("week_no", "store_id", "product_id", (F.col("quantity") >= 0).alias("is_count"))
 
 
+@query("ml_forecast_quantities")
+def q_ml_forecast_quantities(spark, d):
+    """The quantities of the learned forecast (L4)."""
+    return ml.forecast_ml(f2_featured(spark, d), _trained(spark, d, True), CALENDAR, fx.holidays_table(spark), only_active=True, active_window=3)
+
+
 @query("ml_save_load", with_ctes(base_ctes(SQL_SALES_DENSE, span="span"),
                                  "SELECT rows_valid AS rows, sound_scores AS equal_scores FROM (" + _MODEL_ROWS + ") m"))
 def q_ml_save_load(spark, d):
