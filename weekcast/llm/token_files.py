@@ -21,6 +21,7 @@ table without segments; a text of any length is encoded whole.
 from __future__ import annotations
 
 import codecs
+import contextlib
 import json
 import os
 import re
@@ -269,13 +270,28 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
     def run(batches):
         code = encoder(tokenizer_path)
         for batch in batches:
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", 1 << 20):
                 made = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
                 yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_t"), pa.array(map(packed_ids, made), pa.binary())], names=schema.names)
 
-    out = shared_dir(docs.sparkSession, "ids")
-    rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
-    return docs.sparkSession.read.parquet(out)
+    spark = docs.sparkSession
+    out = shared_dir(spark, "ids")
+    with small_batches(spark):
+        rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
+    return spark.read.parquet(out)
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, most_rows: int = 1_000):
+    """What is written in this block passes at most so many texts at a time between Spark and Python, which bounds the memory
+    of both beside a task's own; then the session's setting holds again."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most_rows, int(before)) if int(before) > 0 else most_rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text",
