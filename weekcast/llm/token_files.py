@@ -236,13 +236,15 @@ class WordEncoder:
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
+CACHE_WORDS = 200_000
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> WordEncoder:
     """One encoder, with its cache, for each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, cache_words) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, cache_words] = WordEncoder(path, cache_words)
+    return _ENCODERS[path, cache_words]
 
 
 def packed_ids(ids: bytes) -> bytes:
@@ -261,14 +263,14 @@ def unpacked_ids(packed: bytes) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
     """_id, _t (a hash of the text), _ids (packed ids without an end id) of each row, from a table written to the shared
     folder: 2 bytes an id travel instead of texts, and the range partitioning, which reads its input twice, doesn't encode twice."""
     rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
     schema = T.StructType([rows.schema["_id"], rows.schema["_t"], T.StructField("_ids", T.BinaryType())])
 
     def run(batches):
-        code = encoder(tokenizer_path)
+        code = encoder(tokenizer_path, cache_words)
         for batch in batches:
             for piece in pieces(batch, "_text", 1 << 20):
                 made = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
@@ -295,9 +297,10 @@ def small_batches(spark: SparkSession, most_rows: int = 1_000):
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text",
-                      end_id: int = END_ID, segment_tokens: int = 1 << 19) -> None:
-    """Encode ``docs`` and write them in ascending order of ``id_col`` as a table of DAC segments at ``out``."""
-    rows = encoded(docs, tokenizer_path, id_col, text_col)
+                      end_id: int = END_ID, segment_tokens: int = 1 << 19, cache_words: int = CACHE_WORDS) -> None:
+    """Encode ``docs`` and write them in ascending order of ``id_col`` as a table of DAC segments at ``out``.  A worker remembers twice
+    ``cache_words`` words (some 200 bytes each): fewer take less memory and more time."""
+    rows = encoded(docs, tokenizer_path, id_col, text_col, cache_words)
     # many rows of equal id and text are told apart by where they were saved, so that they can be dealt to several partitions
     keys = [F.col("_id").asc_nulls_first(), F.col("_t").asc(), F.col("_row").asc()]
     ordered = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -394,11 +397,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_digests(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+def token_digests(docs: DataFrame, tokenizer_path: str | None = None, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Write ``docs`` as token files into the shared folder and read them back."""
     spark = docs.sparkSession
     out = shared_dir(spark, "tokens")
-    write_token_files(docs, tokenizer_path or default_tokenizer(), out)
+    write_token_files(docs, tokenizer_path or default_tokenizer(), out, cache_words=cache_words)
     return read_digests(spark, out)
 
 
