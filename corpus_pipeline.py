@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns what the next one reads: all of the columns of
 ``documents``, for the documents (or, after the mix, copies of documents) that it keeps.  The last
 stage writes the token files and returns a digest of each document as read back from them.
+
+Edge cases: a null text is an empty one; documents without words are judged by their site alone, are near no other, hit no benchmark
+and weigh nothing in the mix; rows of equal id and text are one document to near-dedup, of which one row stays, and rows of null ids
+are told apart by their texts; an empty table gives an empty result; further columns, whatever their names, are passed on by all
+stages but the last; texts of any length are processed whole.
 """
 
 from __future__ import annotations
@@ -38,8 +43,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of each document (and copy) of the mix, from the token files."""
-    return token_digests(docs)
+    """doc_id, start, n_tokens and ids_crc32 of each document (and copy) of the mix, from the token files.
+
+    The encoders' caches are small here: this stage runs where the stages before have used the executors' memory."""
+    return token_digests(docs, cache_words=50_000)
 
 
 STAGES = [
