@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,22 +265,23 @@ def unpacked_ids(packed: bytes) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
-    """_id, _t (a hash of the text), _ids (packed ids without an end id) of each row, from a table written to the shared
+    """_id, _t (a hash of the text), _ids (packed and compressed ids without an end id) of each row, from a table written to the shared
     folder: 2 bytes an id travel instead of texts, and the range partitioning, which reads its input twice, doesn't encode twice."""
     rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_t"), F.col(text_col).alias("_text"))
     schema = T.StructType([rows.schema["_id"], rows.schema["_t"], T.StructField("_ids", T.BinaryType())])
 
     def run(batches):
-        code = encoder(tokenizer_path, cache_words)
+        code, squeeze = encoder(tokenizer_path, cache_words), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for piece in pieces(batch, "_text", 1 << 20):
                 made = code.encode(piece.column("_text").cast(pa.binary()).to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_t"), pa.array(map(packed_ids, made), pa.binary())], names=schema.names)
+                small = [squeeze(packed_ids(ids)) for ids in made]
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_t"), pa.array(small, pa.binary())], names=schema.names)
 
     spark = docs.sparkSession
     out = shared_dir(spark, "ids")
     with small_batches(spark):
-        rows.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
+        rows.mapInArrow(run, schema).write.option("compression", "none").parquet(out)  # ids are compressed already
     return spark.read.parquet(out)
 
 
@@ -312,7 +314,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
     end = np.array([end_id], np.uint32)
 
     def run(batches):
-        part, id_type, first = None, None, 0
+        part, id_type, first, restore = None, None, 0, zstandard.ZstdDecompressor().decompress
         held, ids, lengths, n = [], [], [], 0
 
         def segment():
@@ -324,7 +326,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
             if batch.num_rows:
                 part, id_type = batch.column("_part")[0].as_py(), batch.schema.field("_id").type
             for doc, tokens in zip(batch.column("_id").to_pylist(), batch.column("_ids"), strict=True):
-                values = unpacked_ids(tokens.as_py())
+                values = unpacked_ids(restore(tokens.as_py()))
                 held += values, end
                 ids.append(doc)
                 lengths.append(len(values) + 1)
