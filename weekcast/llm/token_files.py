@@ -338,7 +338,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
         if ids:
             yield segment()
 
-    ordered.mapInArrow(run, schema).write.option("compression", "none").parquet(out)  # bytes of a code are where they were put
+    ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
