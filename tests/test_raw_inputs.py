@@ -4,7 +4,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from weekcast.config import ForecastConfig
-from weekcast.functions.dates import holiday_table, us_federal_holidays
+import pytest
+
+from weekcast.functions.dates import easter_sunday, holiday_table, holiday_years, public_holidays, us_federal_holidays
+from weekcast.operators.features import add_holiday_features
 from weekcast.operators.baselines import naive_state
 from weekcast.operators.weekly import weekly_sales
 from weekcast.plans.pipeline import prepare
@@ -56,7 +59,38 @@ def test_money_of_any_size(spark):
 def test_holidays_by_rule(spark):
     assert [str(d) for y in (2000, 2001) for d in us_federal_holidays(y)] == sorted(US_HOLIDAYS)
     assert D(2022, 6, 20) in us_federal_holidays(2022) and D(2010, 12, 31) in us_federal_holidays(2010)
-    assert holiday_table(spark, "BR").count() == 0
+    with pytest.raises(ValueError):
+        holiday_table(spark, "XX")
+    with pytest.raises(ValueError):
+        holiday_table(spark, "DE", 1980, 1985)
+
+
+def test_easter_of_ten_years():
+    """Easter Sundays."""
+    assert [str(easter_sunday(y)) for y in range(2016, 2026)] == [
+        "2016-03-27", "2017-04-16", "2018-04-01", "2019-04-21", "2020-04-12", "2021-04-04", "2022-04-17", "2023-04-09", "2024-03-31", "2025-04-20"]
+    assert str(easter_sunday(1981)) == "1981-04-19" and str(easter_sunday(1954)) == "1954-04-18" and str(easter_sunday(2038)) == "2038-04-25"
+
+
+def test_holidays_of_other_countries(spark):
+    """Public holidays as published."""
+    def days(country, year):
+        return " ".join(f"{d:%m-%d}" for d in public_holidays(country, year))
+
+    assert days("BR", 2023) == "01-01 04-07 04-21 05-01 09-07 10-12 11-02 11-15 12-25"
+    assert days("BR", 2024) == "01-01 03-29 04-21 05-01 09-07 10-12 11-02 11-15 11-20 12-25"
+    assert days("DE", 2024) == "01-01 03-29 04-01 05-01 05-09 05-20 10-03 12-25 12-26"
+    assert "10-31" in days("DE", 2017) and "10-31" not in days("DE", 2018)
+    assert days("fr", 2025) == "01-01 04-21 05-01 05-08 05-29 06-09 07-14 08-15 11-01 11-11 12-25"
+    assert holiday_table(spark, "FR", 2024, 2025).count() == 22
+
+
+def test_a_week_without_known_holidays_raises(spark):
+    weeks = spark.createDataFrame([(D(2022, 1, 3),), (D(1970, 1, 5),)], "week_start date")
+    table = holiday_table(spark)
+    assert add_holiday_features(weeks, table).count() == 2
+    with pytest.raises(Exception, match="no holidays known for week 1970-01-05"):
+        add_holiday_features(weeks, table, years=holiday_years("US")).collect()
 
 
 def test_default_calendar_is_december_to_january():

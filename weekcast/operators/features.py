@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekcast.config import (ACTIVE_SHARE_WINDOWS, DEFAULT, FEATURE_LAGS, RATIO_EPS, ForecastConfig)
-from weekcast.functions.dates import calendar_columns, holiday_table
+from weekcast.functions.dates import calendar_columns, holiday_table, holiday_years
 from weekcast.functions.dates import week_start as week_bucket
 from weekcast.functions.scalars import discount_promo
 
@@ -122,11 +122,13 @@ def add_discount_promo(df: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFram
                            "promo_flag_lag1": F.lag("promo_flag", 1).over(w)})
 
 
-def add_holiday_features(df: DataFrame, holidays: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def add_holiday_features(df: DataFrame, holidays: DataFrame, cfg: ForecastConfig = DEFAULT,
+                         years: tuple[int, int] | None = None) -> DataFrame:
     """Holiday on the week's first day, holiday anywhere in the week, event week (X4, X5, trap R11).
 
     ``holidays`` is a (country, holiday_date) dimension; only the distinct dates of
     the configured country are broadcast (one row per holiday, a calendar-bounded table).
+    ``years`` are the first and last year that the table knows; a week outside fails the job.
     """
     wc = cfg.week_col
     days = (holidays.where(F.upper("country") == cfg.country.upper())
@@ -136,6 +138,10 @@ def add_holiday_features(df: DataFrame, holidays: DataFrame, cfg: ForecastConfig
              .join(F.broadcast(weeks.withColumn("is_holiday_week", F.lit(1))), F.col(wc) == F.col("_hw"), "left")
              .drop("_h", "_hw"))
     events = list(cfg.event_weeks)
+    if years is not None:
+        inside = F.col(wc).isNull() | F.year(wc).between(*years)
+        missing = F.raise_error(F.concat(F.lit("no holidays known for week "), F.col(wc).cast("string")))
+        out = out.withColumn("is_holiday", F.when(inside, F.col("is_holiday")).otherwise(missing.cast("int")))
     return out.withColumns({
         "is_holiday": F.coalesce("is_holiday", F.lit(0)),
         "is_holiday_week": F.coalesce("is_holiday_week", F.lit(0)),
@@ -154,37 +160,98 @@ def _level_cumulative(df: DataFrame, level: str, cfg: ForecastConfig, prefix: st
                            F.try_divide(cum_s, cum_c).alias(f"avg_{t}_{prefix}"))
 
 
-def add_level_encodings(df: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def level_history(weekly: DataFrame, level: str, cfg: ForecastConfig, prefix: str, span: str = "local") -> DataFrame:
+    """What ``_level_cumulative`` gives for the panel of ``weekly``, from the sparse weekly rows alone.
+
+    A difference array over weeks: +1 in a pair's first week, -1 after its last one (of the table, for
+    ``span="to_global_max"``); its running sum is the number of panel rows of the level in a week, and sums of the
+    target come from observed weeks.  Between two entries the count is constant, so earlier rows grow evenly there.
+    Only level x week rows (bounded by the calendar) are written out, never the panel.
+    """
+    wc, t = cfg.week_col, cfg.target_col
+    bounds = weekly.groupBy(*cfg.keys).agg(F.min(wc).alias("_first"), F.max(wc).alias("_last"))
+    if span == "to_global_max":
+        bounds = bounds.drop("_last").crossJoin(F.broadcast(weekly.agg(F.max(wc).alias("_last"))))
+    elif span != "local":
+        raise ValueError(f"no level history of span {span!r} from sparse rows")
+    zero = F.lit(0.0)
+    entries = (weekly.select(level, wc, F.coalesce(F.col(t), zero).cast("double").alias("_s"), F.lit(0).alias("_d"))
+               .unionByName(bounds.select(level, F.col("_first").alias(wc), zero.alias("_s"), F.lit(1).alias("_d")))
+               .unionByName(bounds.select(level, F.date_add("_last", 7).alias(wc), zero.alias("_s"), F.lit(-1).alias("_d")))
+               .groupBy(level, wc).agg(F.sum("_s").alias("_s"), F.sum("_d").alias("_d")))
+    w = Window.partitionBy(level).orderBy(wc)
+    before = w.rowsBetween(UNB, -1)
+    steps = entries.select(level, wc, "_s", F.sum("_d").over(w.rowsBetween(UNB, 0)).alias("_rows"), F.lead(wc).over(w).alias("_next"))
+    weeks = F.floor(F.datediff("_next", wc) / 7)
+    steps = steps.withColumns({"_c0": F.coalesce(F.sum(F.col("_rows") * weeks).over(before), F.lit(0)),
+                               "_s0": F.coalesce(F.sum("_s").over(before), zero)})
+    each = (steps.where(F.col("_next").isNotNull() & (F.col("_rows") > 0))
+            .select("*", F.posexplode(F.sequence(F.col(wc), F.date_sub("_next", 7), F.expr("INTERVAL 7 DAYS"))).alias("_k", "_w")))
+    earlier = F.col("_c0") + F.col("_k") * F.col("_rows")
+    total = F.col("_s0") + F.when(F.col("_k") > 0, F.col("_s")).otherwise(zero)
+    return each.select(level, F.col("_w").alias(wc), earlier.cast("long").alias(f"freq_{prefix}"),
+                       F.try_divide(total, earlier).alias(f"avg_{t}_{prefix}"))
+
+
+def add_level_encodings(df: DataFrame, cfg: ForecastConfig = DEFAULT, weekly: DataFrame | None = None,
+                        span: str = "local") -> DataFrame:
     """Causal store / product history (W9, W10): rows and mean qty in earlier weeks.
 
     Pre-aggregated to (store, week) and (product, week) so the window runs over
-    one row per week, whatever the size of the store or product.
+    one row per week, whatever the size of the store or product.  With the sparse ``weekly`` rows of the panel and its
+    ``span`` (not for ``grid``) the panel itself is read once only.
     """
     s, p, wc = cfg.store_col, cfg.product_col, cfg.week_col
-    st = _level_cumulative(df, s, cfg, "store")
-    pr = _level_cumulative(df, p, cfg, "product")
+    if weekly is not None and span != "grid":
+        st, pr = level_history(weekly, s, cfg, "store", span), level_history(weekly, p, cfg, "product", span)
+    else:
+        st, pr = _level_cumulative(df, s, cfg, "store"), _level_cumulative(df, p, cfg, "product")
     return df.join(st, [s, wc], "left").join(pr, [p, wc], "left")
 
 
-def add_level_encodings_ascoded(df: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def level_prefix(totals: DataFrame, level: str, other: str, sums: dict[str, str], blocks: int = 1024) -> DataFrame:
+    """``totals`` (a row per (level, other)) with the sums of the level's rows of smaller ``other``: a prefix sum in two steps.
+
+    ``other`` (a whole number) is cut into ``blocks`` ranges of equal width between its exact smallest and largest value,
+    so a rerun of a lost task cuts alike.  Sums run inside a (level, block), and over the at most ``blocks`` totals of a
+    level: a level that holds all pairs still spreads over as many tasks.  Ranges are as even as the ids are.
+    ``sums`` maps a column to the name of its prefix sum.
+    """
+    o = F.col(other).cast("double")
+    ends = totals.agg(F.min(o).alias("_lo"), F.max(o).alias("_hi"))
+    cut = F.floor((o - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1.0) * blocks)
+    rows = totals.crossJoin(F.broadcast(ends)).withColumn("_block", cut).drop("_lo", "_hi")
+    before = Window.partitionBy(level).orderBy("_block").rowsBetween(UNB, -1)
+    starts = rows.groupBy(level, "_block").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
+    starts = starts.select(level, "_block", *[F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums])
+    inside = Window.partitionBy(level, "_block").orderBy(other).rowsBetween(UNB, -1)
+    rows = rows.withColumns({n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for c, n in sums.items()})
+    return (rows.join(starts, [level, "_block"])
+            .withColumns({n: F.col(n) + F.col(f"_b_{c}") for c, n in sums.items()})
+            .drop("_block", *[f"_b_{c}" for c in sums]))
+
+
+def add_level_encodings_ascoded(df: DataFrame, cfg: ForecastConfig = DEFAULT, weekly: DataFrame | None = None) -> DataFrame:
     """The reference's order (trap R6): per store, rows ordered by (product, week);
     per product, rows ordered by (store, week).  Counts and means of earlier rows.
 
-    Written as prefix sums over pair totals plus the running position inside the
-    pair, so no window ever spans a whole store or product.
+    Written as prefix sums over pair totals (``level_prefix``) plus the running position inside the
+    pair, so no window ever spans a whole store or product.  With the sparse ``weekly`` rows of a local
+    panel the totals come from these.
     """
     s, p, wc, t = cfg.store_col, cfg.product_col, cfg.week_col, cfg.target_col
     w = pair_window(cfg)
     inner = df.withColumns({"_i": (F.row_number().over(w) - 1).cast("long"),
                             "_cs": F.coalesce(F.sum(t).over(w.rowsBetween(UNB, -1)), F.lit(0.0))})
-    totals = df.groupBy(s, p).agg(F.sum(t).alias("_ts"), F.count(F.lit(1)).alias("_tc"))
-
-    def prefix(level, other, name):
-        wl = Window.partitionBy(level).orderBy(other).rowsBetween(UNB, -1)
-        return totals.select(s, p, F.coalesce(F.sum("_tc").over(wl), F.lit(0)).alias(f"_pc_{name}"),
-                             F.coalesce(F.sum("_ts").over(wl), F.lit(0.0)).alias(f"_ps_{name}"))
-
-    out = inner.join(prefix(s, p, "store"), [s, p]).join(prefix(p, s, "product"), [s, p])
+    if weekly is None:
+        totals = df.groupBy(s, p).agg(F.sum(t).alias("_ts"), F.count(F.lit(1)).alias("_tc"))
+    else:
+        totals = weekly.groupBy(s, p).agg(F.sum(t).alias("_ts"), F.floor(F.datediff(F.max(wc), F.min(wc)) / 7 + 1).alias("_tc"))
+    totals = totals.withColumn("_ts", F.coalesce("_ts", F.lit(0.0)))
+    out = inner
+    for level, other, name in ((s, p, "store"), (p, s, "product")):
+        sums = level_prefix(totals, level, other, {"_tc": f"_pc_{name}", "_ts": f"_ps_{name}"})
+        out = out.join(sums.drop("_tc", "_ts"), [s, p])
     cols = {}
     for name in ("store", "product"):
         c = F.col(f"_pc_{name}") + F.col("_i")
@@ -194,10 +261,12 @@ def add_level_encodings_ascoded(df: DataFrame, cfg: ForecastConfig = DEFAULT) ->
 
 
 def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastConfig = DEFAULT,
-                   lags=FEATURE_LAGS) -> DataFrame:
+                   lags=FEATURE_LAGS, weekly: DataFrame | None = None, span: str = "local") -> DataFrame:
     """The prepare feature set: store/product encodings, calendar, pair windows,
     promo, holidays (without a table those of ``holiday_table`` for the configured country).
 
+    ``weekly`` and ``span`` are what the panel was made of (``add_level_encodings``).
+
     The store and product encodings are joined while the panel is still lean.
     When their tables are large the joins shuffle the lean rows by (store, week)
     and (product, week); that partitioning never satisfies a pair window, so
@@ -206,11 +275,11 @@ def build_features(panel: DataFrame, holidays: DataFrame | None, cfg: ForecastCo
     added.  Joining after the ~40 window columns exist would shuffle the wide
     rows twice instead.
     """
-    df = add_level_encodings(panel, cfg)
+    df = add_level_encodings(panel, cfg, weekly, span)
     df = df.withColumns(calendar_columns(cfg.week_col))
     df = add_pair_features(df, cfg, lags)
     if "discount" in df.columns and "gross_value" in df.columns:
         df = add_discount_promo(df, cfg)
     if holidays is None:
-        holidays = holiday_table(panel.sparkSession, cfg.country)
+        return add_holiday_features(df, holiday_table(panel.sparkSession, cfg.country), cfg, holiday_years(cfg.country))
     return add_holiday_features(df, holidays, cfg)

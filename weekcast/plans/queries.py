@@ -380,6 +380,26 @@ def q_profile(spark, d):
     return qa.profile(f3_typed(spark, d))
 
 
+@query("profile_sketch", f"""
+SELECT 'store_id' AS column_name, count(DISTINCT store_id) AS exact_distinct, TRUE AS within_bound FROM ({SQL_SALES_DIRTY_TYPED}) t
+UNION ALL SELECT 'product_id', count(DISTINCT product_id), TRUE FROM ({SQL_SALES_DIRTY_TYPED}) t
+UNION ALL SELECT 'txn_date', count(DISTINCT txn_date), TRUE FROM ({SQL_SALES_DIRTY_TYPED}) t
+UNION ALL SELECT 'net_value', count(DISTINCT net_value), TRUE FROM ({SQL_SALES_DIRTY_TYPED}) t""")
+def q_profile_sketch(spark, d):
+    """Distinct values by sketches of months, merged, against exact counts."""
+    cols = ["store_id", "product_id", "txn_date", "net_value"]
+    sales = f3_typed(spark, d).select(*cols)
+    approx = qa.distinct_estimates(qa.distinct_sketches(sales, [F.trunc("txn_date", "month").alias("month")], cols), cols)
+    approx = approx.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"approx_{c}").alias("_approx")) for c in cols]))
+                           .alias("_e")).select("_e.*")
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_v")) for c in cols]))
+    exact = (sales.select(values.alias("_e")).select("_e.*").distinct()
+             .groupBy("column_name").agg(F.count("_v").alias("exact_distinct")))
+    off = F.abs(F.col("_approx") - F.col("exact_distinct"))
+    return (exact.join(approx, "column_name")
+            .select("column_name", "exact_distinct", (off <= F.col("exact_distinct") * qa.sketch_error() + 1).alias("within_bound")))
+
+
 # ------------------------------------------------------- registers (J1-J4, O)
 STORE_ATTRS = ("premise", "store_category", "zipcode")
 
@@ -537,7 +557,8 @@ def q_feat_calendar(spark, d):
                                    ("avg_qty_store", "avg_qty_product")))
 def q_feat_expanding_causal(spark, d):
     """Rows and mean qty of the store / product in all earlier weeks (W9, W10 causal)."""
-    out = ft.add_level_encodings(f1_panel(spark, d), CALENDAR)
+    wk = f1_weekly(spark, d)
+    out = ft.add_level_encodings(panel_local(wk), CALENDAR, wk)
     return r6df(out.select(*PK, "freq_store", "avg_qty_store", "freq_product", "avg_qty_product"))
 
 
@@ -546,7 +567,8 @@ def q_feat_expanding_causal(spark, d):
                                  ("avg_qty_store", "avg_qty_product")))
 def q_feat_expanding_asis(spark, d):
     """Expanding means in the reference's (product, week) / (store, week) order (W10, trap R6)."""
-    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), CALENDAR)
+    wk = f1_weekly(spark, d)
+    out = ft.add_level_encodings_ascoded(panel_local(wk), CALENDAR, wk)
     return r6df(out.select(*PK, "avg_qty_store", "avg_qty_product"))
 
 
@@ -554,7 +576,8 @@ def q_feat_expanding_asis(spark, d):
                                            f"FROM ({ofe.level_ascoded_sql('panel')}) x"))
 def q_feat_freq(spark, d):
     """Running row count per store and per product in the reference's order."""
-    out = ft.add_level_encodings_ascoded(f1_panel(spark, d), CALENDAR)
+    wk = f1_weekly(spark, d)
+    out = ft.add_level_encodings_ascoded(panel_local(wk), CALENDAR, wk)
     return out.select(*PK, "freq_store", "freq_product")
 
 
@@ -652,7 +675,7 @@ def f2_featured(spark, d, span="to_global_max"):
     """Dense fixture, panel extended to its last week, full feature set."""
     from weekcast.operators.panel import panel as make_panel
     wk = weekly_sales(fx.sales_dense(spark, d), CALENDAR)
-    return ft.build_features(make_panel(wk, CALENDAR, span), fx.holidays_table(spark), CALENDAR)
+    return ft.build_features(make_panel(wk, CALENDAR, span), fx.holidays_table(spark), CALENDAR, weekly=wk, span=span)
 
 
 def _f2_feature_ctes() -> list[tuple[str, str]]:

@@ -40,13 +40,14 @@ def write_eval_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_panel(df: DataFrame, path: str, week_col: str = "week_start", mode: str = "overwrite",
-                keys: tuple[str, ...] = ("store_id", "product_id"), files_per_month: int = 8) -> str:
+def write_panel(df: DataFrame, path: str, week_col: str = "week_start", mode: str = "overwrite") -> str:
     """Prepared panel as parquet partitioned by year and month of the week, so
-    later reads of a date range prune whole folders (S2).  Rows are dealt by month and
-    bucket of the pair first: at most ``files_per_month`` files a folder, whatever the number of tasks."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(files_per_month))
+    later reads of a date range prune whole folders (S2).
+
+    The ``rebalance`` hint lets AQE deal rows by month and then cut or join tasks by measured bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a month gets as many tasks and files as its size asks for.
+    With AQE off a month is one task."""
     (df.withColumns({"p_year": F.year(week_col), "p_month": F.month(week_col)})
-       .repartition("p_year", "p_month", bucket)
+       .hint("rebalance", "p_year", "p_month")
        .write.mode(mode).partitionBy("p_year", "p_month").parquet(path))
     return path
