@@ -43,6 +43,10 @@ def _whole(cfg: ForecastConfig):
     return _asc(cfg).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+def _all_rows(hist: Column | None) -> Column:
+    return F.lit(True) if hist is None else hist
+
+
 def _from_end(flag: Column, cfg: ForecastConfig) -> Column:
     """1 for the pair's last row with ``flag``, 2 for the one before, ...
     (null where ``flag`` is false): a descending rank from ascending counts."""
@@ -52,6 +56,10 @@ def _from_end(flag: Column, cfg: ForecastConfig) -> Column:
     return F.when(flag, total - upto + 1)
 
 
+def _last_week(cfg: ForecastConfig, hist: Column) -> Column:
+    return F.max(F.when(hist, F.col(cfg.week_col)))
+
+
 def ma4_weights(n_values: int, steps: int) -> list[list[float]]:
     """Weights of the recursive MA(4): step k = sum_j w[k][j] * y_j over the
     pair's last ``n_values`` values (oldest first).
@@ -78,24 +86,17 @@ def _max_steps(horizon, cfg: ForecastConfig) -> int:
     return int(horizon)
 
 
-def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
-    """Recursive MA(4) (M1): each step is the mean of the last <= 4 values of
-    history plus earlier steps; the unclipped step feeds the next one.
-
-    The last four values come from ``lag`` on the pair window at the pair's
-    last row.  The recursion itself is unrolled at plan time into weights
-    (``ma4_weights``), so each step is plain arithmetic inside whole-stage
-    codegen; steps are clipped at 0 only on output.
-    """
-    horizon = cfg.horizon if horizon is None else horizon
+def ma4_ranks(cfg: ForecastConfig, hist: Column | None = None) -> dict[str, Column]:
+    """Columns ``_l3`` .. ``_l0`` (the values of the last four rows) and ``_rn``, 1 on the last row of the history.
+    Rows of the history come first in a pair, so lags at its last row see nothing else."""
     y, w = F.col(cfg.target_col).cast("double"), _asc(cfg)
-    rn = _from_end(F.lit(True), cfg)
-    lags = [F.lag(y, k).over(w) for k in (3, 2, 1)]
-    tail = (weekly.select(*cfg.keys, cfg.week_col, *[c.alias(f"_l{3 - i}") for i, c in enumerate(lags)],
-                          y.alias("_l0"), rn.alias("_rn"))
-                  .where("_rn = 1"))
+    hist = _all_rows(hist)
+    return {**{f"_l{k}": F.lag(y, k).over(w) for k in (3, 2, 1)}, "_l0": y, "_rn": _from_end(hist, cfg)}
+
+
+def ma4_preds(steps: int) -> list[Column]:
+    """Forecasts of ``steps`` weeks from ``_l3`` .. ``_l0``, clipped at 0."""
     n = (F.lit(1) + sum(F.col(f"_l{k}").isNotNull().cast("int") for k in (1, 2, 3)))
-    steps = _max_steps(horizon, cfg)
     by_n = {m: ma4_weights(m, steps) for m in (1, 2, 3, 4)}
     preds = []
     for k in range(steps):
@@ -105,25 +106,69 @@ def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) ->
             val = sum(F.lit(wt) * v for wt, v in zip(by_n[m][k], vals) if wt != 0.0)
             expr = F.when(n == m, val) if expr is None else expr.when(n == m, val)
         preds.append(F.greatest(expr, F.lit(0.0)))
+    return preds
+
+
+def ma4_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None) -> DataFrame:
+    """Recursive MA(4) (M1): each step is the mean of the last <= 4 values of
+    history plus earlier steps; the unclipped step feeds the next one.
+
+    The last four values come from ``lag`` on the pair window at the pair's
+    last row.  The recursion itself is unrolled at plan time into weights
+    (``ma4_weights``), so each step is plain arithmetic inside whole-stage
+    codegen; steps are clipped at 0 only on output.
+    """
+    horizon = cfg.horizon if horizon is None else horizon
+    tail = weekly.select(*cfg.keys, cfg.week_col, *[c.alias(k) for k, c in ma4_ranks(cfg).items()]).where("_rn = 1")
+    steps = _max_steps(horizon, cfg)
     tail, h = _attach_horizon(tail, horizon)
     # a data-driven horizon past the steps that were unrolled must not shorten the forecast
     enough = F.when(h <= steps, h).otherwise(F.raise_error(F.lit(f"the horizon exceeds the {steps} weeks of the validation window")).cast("int"))
     return tail.select(*cfg.keys, F.col(cfg.week_col).alias("last_week"),
-                       F.slice(F.array(*preds), F.lit(1), enough).alias("preds"))
+                       F.slice(F.array(*ma4_preds(steps)), F.lit(1), enough).alias("preds"))
+
+
+def naive_aggs(columns: list[str], cfg: ForecastConfig, hist: Column | None = None, use_last_nonzero: bool = True) -> dict[str, Column]:
+    """The last value of an observed week, where asked for and known, and the last value."""
+    y, wc, hist = F.col(cfg.target_col).cast("double"), F.col(cfg.week_col), _all_rows(hist)
+    seen = hist & (F.col("n_tx") > 0) if use_last_nonzero and "n_tx" in columns else hist
+    return {"_seen": F.max_by(y, F.when(seen, wc)), "_any": F.max_by(y, F.when(hist, wc))}
+
+
+def naive_value() -> Column:
+    return F.coalesce("_seen", "_any", F.lit(0.0))
 
 
 def naive_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, use_last_nonzero: bool = True) -> DataFrame:
     """Last value of an observed week (n_tx > 0), else the last value (M2); without ``use_last_nonzero`` the last value."""
     h = cfg.horizon if horizon is None else horizon
-    y, wc = F.col(cfg.target_col).cast("double"), cfg.week_col
-    if use_last_nonzero and "n_tx" in weekly.columns:
-        last_obs = F.max_by(y, F.when(F.col("n_tx") > 0, F.col(wc)))
-        value = F.coalesce(last_obs, F.max_by(y, F.col(wc)))
-    else:
-        value = F.max_by(y, F.col(wc))
-    st = weekly.groupBy(*cfg.keys).agg(F.max(wc).alias("last_week"), F.coalesce(value, F.lit(0.0)).alias("_v"))
+    aggs = naive_aggs(weekly.columns, cfg, use_last_nonzero=use_last_nonzero)
+    st = weekly.groupBy(*cfg.keys).agg(F.max(cfg.week_col).alias("last_week"), *[c.alias(k) for k, c in aggs.items()])
     st, hc = _attach_horizon(st, h)
-    return st.select(*cfg.keys, "last_week", _repeat(F.col("_v"), hc).alias("preds"))
+    return st.select(*cfg.keys, "last_week", _repeat(naive_value(), hc).alias("preds"))
+
+
+def _alpha(cfg: ForecastConfig, alpha: float | None) -> float:
+    a = cfg.alpha if alpha is None else alpha
+    if not 0.0 <= float(a) <= 1.0:
+        raise ValueError(f"EWMA alpha must be in [0, 1], got {a}")
+    return a
+
+
+def ewma_ranks(columns: list[str], cfg: ForecastConfig, hist: Column | None = None, observed_only: bool = True) -> dict[str, Column]:
+    """Columns ``_obs`` (the row counts), ``_r`` (rows that count after it), ``_first`` and ``_n`` (their number)."""
+    hist = _all_rows(hist)
+    o = hist & (F.col("n_tx") > 0) if (observed_only and "n_tx" in columns) else hist
+    return {"_obs": o, "_r": (_from_end(o, cfg) - 1).cast("double"),
+            "_first": o & (F.sum(o.cast("int")).over(_asc(cfg).rowsBetween(Window.unboundedPreceding, 0)) == 1),
+            "_n": F.sum(o.cast("int")).over(_whole(cfg)).cast("double")}
+
+
+def ewma_sum(cfg: ForecastConfig, a: float) -> Column:
+    y = F.col(cfg.target_col).cast("double")
+    weight = F.when(F.col("_first"), F.pow(F.lit(1.0 - a), F.col("_n") - 1)) \
+              .otherwise(F.lit(a) * F.pow(F.lit(1.0 - a), F.col("_r")))
+    return F.sum(F.when(F.col("_obs"), weight * y))
 
 
 def ewma_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, alpha: float | None = None,
@@ -135,24 +180,11 @@ def ewma_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None, a
     sum per pair, so Spark aggregates it partially like any other sum.
     """
     h = cfg.horizon if horizon is None else horizon
-    a = cfg.alpha if alpha is None else alpha
-    if not 0.0 <= float(a) <= 1.0:
-        raise ValueError(f"EWMA alpha must be in [0, 1], got {a}")
-    y, wc = F.col(cfg.target_col).cast("double"), cfg.week_col
-    obs = (F.col("n_tx") > 0) if (observed_only and "n_tx" in weekly.columns) else F.lit(True)
-    o = F.col("_obs")
-    ranked = weekly.select(*cfg.keys, wc, y.alias("_y"), obs.alias("_obs")).withColumns({
-        "_r": (_from_end(o, cfg) - 1).cast("double"),
-        "_first": o & (F.sum(o.cast("int")).over(_asc(cfg).rowsBetween(Window.unboundedPreceding, 0)) == 1),
-        "_n": F.sum(o.cast("int")).over(_whole(cfg)).cast("double"),
-    })
-    weight = F.when(F.col("_first"), F.pow(F.lit(1.0 - a), F.col("_n") - 1)) \
-              .otherwise(F.lit(a) * F.pow(F.lit(1.0 - a), F.col("_r")))
-    st = ranked.groupBy(*cfg.keys).agg(
-        F.max(wc).alias("last_week"),
-        F.coalesce(F.sum(F.when(F.col("_obs"), weight * F.col("_y"))), F.lit(0.0)).alias("_v"))
+    a = _alpha(cfg, alpha)
+    ranked = weekly.withColumns(ewma_ranks(weekly.columns, cfg, observed_only=observed_only))
+    st = ranked.groupBy(*cfg.keys).agg(F.max(cfg.week_col).alias("last_week"), ewma_sum(cfg, a).alias("_v"))
     st, hc = _attach_horizon(st, h)
-    return st.select(*cfg.keys, "last_week", _repeat(F.col("_v"), hc).alias("preds"))
+    return st.select(*cfg.keys, "last_week", _repeat(F.coalesce("_v", F.lit(0.0)), hc).alias("preds"))
 
 
 def backoff_means(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, category_col: str = "store_category"):
@@ -172,6 +204,32 @@ def backoff_means(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, category_col
     return by_cat, by_prod, glob
 
 
+def smart_ranks(columns: list[str], cfg: ForecastConfig, hist: Column | None = None) -> dict[str, Column]:
+    """Columns ``_obs``, ``_act`` (flags of observed and active rows), ``_rn`` and ``_orn`` (ranks from the history's end)."""
+    hist = _all_rows(hist)
+    seen = F.col("n_tx") > 0 if "n_tx" in columns else None
+    o = hist if seen is None else hist & seen
+    act = F.col(cfg.target_col).cast("double") > 0 if seen is None else seen
+    return {"_obs": o, "_act": act, "_rn": _from_end(hist, cfg), "_orn": _from_end(o, cfg)}
+
+
+def smart_aggs(cfg: ForecastConfig, inactivity_window: int = SMART_INACTIVITY_WINDOW) -> dict[str, Column]:
+    o, y = F.col("_obs"), F.col(cfg.target_col).cast("double")
+    return {"_recent": F.max(((F.col("_rn") <= inactivity_window) & F.col("_act")).cast("int")),
+            "_n_obs": F.sum(o.cast("long")),
+            "_mean4": F.avg(F.when(o & (F.col("_orn") <= 4), y)),
+            "_last_obs": F.max(F.when(o & (F.col("_orn") == 1), y)),
+            "_mean_obs": F.avg(F.when(o, y))}
+
+
+def smart_value(fallback: list[Column]) -> Column:
+    n = F.col("_n_obs")
+    return (F.when(F.col("_recent") == 0, F.lit(0.0))
+             .when(n >= 4, F.col("_mean4"))
+             .when(n >= 1, F.greatest(F.col("_last_obs"), F.lit(SMART_BLEND) * F.col("_mean_obs")))
+             .otherwise(F.coalesce(*fallback)))
+
+
 def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
                 inactivity_window: int = SMART_INACTIVITY_WINDOW, category_col: str = "store_category",
                 extra_pairs: DataFrame | None = None) -> DataFrame:
@@ -188,24 +246,9 @@ def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
     """
     h = cfg.horizon if horizon is None else horizon
     keys, wc = cfg.keys, cfg.week_col
-    y = F.col(cfg.target_col).cast("double")
     has_ntx = "n_tx" in weekly.columns
-    obs = (F.col("n_tx") > 0) if has_ntx else F.lit(True)
-    recent_flag = (F.col("n_tx") > 0) if has_ntx else (y > 0)
-    ranked = weekly.select(*keys, wc, y.alias("_y"), obs.alias("_obs"), recent_flag.alias("_act"),
-                           *( [category_col] if category_col in weekly.columns else [] )).withColumns({
-        "_rn": _from_end(F.lit(True), cfg),
-        "_orn": _from_end(F.col("_obs"), cfg),
-    })
-    o = F.col("_obs")
-    aggs = [
-        F.max(wc).alias("last_week"),
-        F.max(((F.col("_rn") <= inactivity_window) & F.col("_act")).cast("int")).alias("_recent"),
-        F.count_if(o).alias("_n_obs"),
-        F.avg(F.when(o & (F.col("_orn") <= 4), F.col("_y"))).alias("_mean4"),
-        F.max(F.when(o & (F.col("_orn") == 1), F.col("_y"))).alias("_last_obs"),
-        F.avg(F.when(o, F.col("_y"))).alias("_mean_obs"),
-    ]
+    ranked = weekly.withColumns(smart_ranks(weekly.columns, cfg))
+    aggs = [F.max(wc).alias("last_week"), *[c.alias(k) for k, c in smart_aggs(cfg, inactivity_window).items()]]
     if category_col in weekly.columns:
         aggs.append(F.min(category_col).alias(category_col))
     st = ranked.groupBy(*keys).agg(*aggs)
@@ -227,13 +270,8 @@ def smart_state(weekly: DataFrame, cfg: ForecastConfig = DEFAULT, horizon=None,
         if by_cat is not None and category_col in st.columns:
             st = st.join(by_cat, [cfg.product_col, category_col], "left")
             fallback = [F.col("_mean_cat")] + fallback
-    n = F.col("_n_obs")
-    value = (F.when(F.col("_recent") == 0, F.lit(0.0))
-              .when(n >= 4, F.col("_mean4"))
-              .when(n >= 1, F.greatest(F.col("_last_obs"), F.lit(SMART_BLEND) * F.col("_mean_obs")))
-              .otherwise(F.coalesce(*fallback)))
     st, hc = _attach_horizon(st, h)
-    return st.select(*keys, "last_week", _repeat(value, hc).alias("preds"))
+    return st.select(*keys, "last_week", _repeat(smart_value(fallback), hc).alias("preds"))
 
 
 STATE_BUILDERS = {"ma4": ma4_state, "naive": naive_state, "ewma": ewma_state, "smart": smart_state}
@@ -251,6 +289,39 @@ def forecast_state(weekly: DataFrame, baseline: str = "ma4", cfg: ForecastConfig
     return STATE_BUILDERS[name](weekly, cfg, horizon, **options)
 
 
+def with_state(weekly: DataFrame, hist: Column, baseline: str = "ma4", cfg: ForecastConfig = DEFAULT, steps: int | None = None,
+               alpha: float | None = None, use_last_nonzero: bool = True, observed_only: bool = True,
+               inactivity_window: int = SMART_INACTIVITY_WINDOW) -> DataFrame:
+    """Every row of ``weekly`` with its pair's state from the rows where ``hist`` holds (these must come first in a pair):
+    ``last_week`` (null without any) and ``_preds``, an array of ``steps`` values (MA(4)) or of the one value
+    that a constant forecaster repeats.
+
+    Ranks and state are windows over one partitioning and one sort of the pairs, so rows after the history are
+    scored without a second reading or a join (``forecast_state`` gives the same state as one row a pair).
+    Without cold pairs no row reaches the smart back-off's means (trap R8).
+    """
+    name, cols = baseline.lower(), weekly.columns
+    steps = steps or cfg.horizon
+    if name == "ma4":
+        ranks = ma4_ranks(cfg, hist)
+        aggs = {k: F.max(F.when(F.col("_rn") == 1, F.col(k))) for k in ("_l3", "_l2", "_l1", "_l0")}
+        preds = F.array(*ma4_preds(steps))
+    elif name == "naive":
+        ranks, aggs = {}, naive_aggs(cols, cfg, hist, use_last_nonzero)
+        preds = _repeat(naive_value(), F.lit(1))
+    elif name == "ewma":
+        ranks, aggs = ewma_ranks(cols, cfg, hist, observed_only), {"_v": ewma_sum(cfg, _alpha(cfg, alpha))}
+        preds = _repeat(F.coalesce("_v", F.lit(0.0)), F.lit(1))
+    elif name == "smart":
+        ranks, aggs = smart_ranks(cols, cfg, hist), smart_aggs(cfg, inactivity_window)
+        preds = _repeat(smart_value([F.lit(0.0)]), F.lit(1))
+    else:
+        raise ValueError(f"unknown baseline: {baseline}")
+    aggs = {**aggs, "last_week": _last_week(cfg, hist)}
+    state = weekly.withColumns(ranks).withColumns({k: c.over(_whole(cfg)) for k, c in aggs.items()})
+    return state.select(*cols, "last_week", preds.alias("_preds"))
+
+
 def explode_state(state: DataFrame, cfg: ForecastConfig = DEFAULT, pred_col: str = "pred") -> DataFrame:
     """(pair, last_week, preds[]) -> one row per future week: last + 7*(i+1)."""
     return state.select(*cfg.keys, "last_week", F.posexplode("preds").alias("_i", pred_col)).select(

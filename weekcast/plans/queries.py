@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weekcast.operators import baselines as bl
-from weekcast.operators.evaluate import backtest_summary, eval_rows
+from weekcast.operators.evaluate import backtest, eval_rows
 from weekcast.operators.forecast import active_pairs, forecast_month
 from weekcast.operators.panel import panel_grid, panel_local
 from weekcast.operators.weekly import weekly_sales
@@ -220,7 +220,7 @@ def _backtest(name: str, restrict_lags: bool = False):
         if restrict_lags:
             from weekcast.operators.features import lag_columns
             p = p.withColumns(lag_columns(CALENDAR))
-        return r6df(backtest_summary(eval_rows(p, name, CALENDAR, restrict_lags=restrict_lags)))
+        return r6df(backtest(p, name, CALENDAR, restrict_lags=restrict_lags))
 
     ctes, rows = _eval_sql(name, restrict_lags)
     sql = r6(with_ctes(ctes + [("er", rows)], SUMMARY_SQL), ("wmape_all", "wmape_pos"))
