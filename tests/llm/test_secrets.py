@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -57,6 +58,18 @@ def test_index_finds_what_plain_scans_find(spark, make_docs):
             assert ids == {i for i, t in rows if holds(s.trigram_query(rule.pattern), t)} >= {i for i, t in rows if plain((rule,), t)}
 
 
+def test_web_tokens_take_linear_time():
+    rule = next(r for r in s.RULES if r.kind == "web_token")
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["eyJ", "eyJ", ".", ".", "a", "_-9", "eyJabcdefghij", " "]) for _ in range(rng.randrange(14)))
+        assert [("web_token", *x) for x in s.find_spans(rule, rule.compiled(), text)] == plain((rule,), text)
+    spent = time.process_time()
+    for text in ("eyJ" * 500_000 + ".eyJ", ("eyJa." * 300_000) + "?", "eyJa.eyJ" + "eyJ" * 500_000):
+        list(s.find_spans(rule, rule.compiled(), text))
+    assert time.process_time() - spent < 10     # 1.5 MB each; minutes if it were quadratic
+
+
 def test_edges(make_docs, edge_rows):
     rows = s.scan_secrets(make_docs([*edge_rows, (20, "token=" + "a" * 200_000)], clashing=True).drop("spans")).collect()
     assert len(rows) == len(edge_rows) + 1 and all(not r["spans"] for r in rows if r["doc_id"] in (1, 2, 3))

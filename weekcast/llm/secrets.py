@@ -35,12 +35,20 @@ from .registry import query
 
 @dataclass(frozen=True)
 class Rule:
-    """``group``: the part of the match that needs ``min_chars`` characters."""
+    """``group``: the part of the match that needs ``min_chars`` characters.
+
+    ``scan`` is a pattern with the same matches and others, without its group 1, that are none.  It is for patterns that would
+    read a run of characters again from each place in it: such a place can't match where the first one in the run doesn't.
+    """
 
     kind: str
     pattern: str
     min_chars: int = 1
     group: int = 0
+    scan: str | None = None
+
+    def compiled(self) -> re.Pattern:
+        return re.compile(self.scan or self.pattern, re.ASCII)
 
 
 _ASSIGN = r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -58,7 +66,7 @@ RULES = (
     Rule("forge_token", "gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("chat_token", "xox[abprs]-[A-Za-z0-9-]+", 20),
     Rule("cloud_key", "AIza[A-Za-z0-9_-]+", 39),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, scan=r"eyJ[A-Za-z0-9_-]++(\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)?"),
     Rule("payment_key", "[rs]k_live_[A-Za-z0-9]+", 24),
 )
 
@@ -209,6 +217,8 @@ def _lookup(trigrams: list[bytes]) -> np.ndarray:
 
 def find_spans(rule: Rule, compiled: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
     for match in compiled.finditer(text):
+        if rule.scan and match.group(1) is None:
+            continue
         if match.end(rule.group) - match.start(rule.group) >= rule.min_chars:
             yield match.span()
 
@@ -217,7 +227,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id_col`` and spans (array of kind, start, end; by start, then in the order of the rules) for every row."""
     queries = [trigram_query(r.pattern) for r in rules]
     trigrams = _trigrams(queries)
-    compiled = [re.compile(r.pattern, re.ASCII) for r in rules]
+    compiled = [r.compiled() for r in rules]
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
