@@ -36,13 +36,15 @@ def weekly_sales(sales: DataFrame, cfg: ForecastConfig = DEFAULT, money_scale: i
             F.coalesce(F.sum("_r"), F.lit(0.0)).alias("qty_return")]
     # Money sums are exact: each value is cast to DECIMAL(30, money_scale) and
     # summed in decimal, so the total does not depend on the order in which
-    # partial sums meet (doubles would), then it is returned as a double.  A group with a
-    # value that no such decimal holds is summed in doubles.
+    # partial sums meet (doubles would), then it is returned as a double.  Values that no
+    # such decimal holds are summed apart, in doubles, and added; that sum is null in
+    # nearly every group, so the shuffled rows carry one number a column.
     dec = f"decimal(30,{int(money_scale)})"
     for c in money:
         exact = F.col(c).try_cast(dec)
-        lost = F.count_if(F.col(c).isNotNull() & exact.isNull())
-        total = F.when(lost == 0, F.try_sum(exact).cast("double")).otherwise(F.sum(F.col(c).cast("double")))
+        lost = F.sum(F.when(exact.isNull(), F.col(c).cast("double")))
+        kept = F.try_sum(exact)
+        total = F.when(lost.isNull(), kept.cast("double")).otherwise(lost + F.coalesce(kept.cast("double"), F.lit(0.0)))
         aggs.append(F.coalesce(total, F.lit(0.0)).alias(c))
     aggs += [F.count(cfg.date_col).alias("n_tx")]
     return base.groupBy(*keys, cfg.week_col).agg(*aggs)
