@@ -109,3 +109,16 @@ def test_ends_of_words():
     texts = ["word$$$ word,%%% WORD. \u00c9t\u00e9!! (907) a-b don't x's \u201cq\u201d ... ''", "word's word-- word_ word'", "<|endoftext|> a<|endoftext|>."]
     raw = [x.encode() for x in texts]
     assert code.encode(raw) == code._alone(raw) == code.encode(raw)
+
+
+def test_words_are_learned_once_where_they_are_met(tokenizer):
+    code = t.WordEncoder(t.default_tokenizer(), cache_words=4)
+    asked, learned = [], code._learned
+    code._learned = code.cache.learn = lambda word: asked.append(word) or learned(word)
+    for block in (["Alpha beta, beta", "alpha Été!"], ["beta, gamma alpha", "alpha"], ["delta beta", "Ωmega alpha, ''"]):
+        raw = [x.encode() for x in block]
+        assert [np.frombuffer(g, "<u4").tolist() for g in code.encode(raw)] == [library_ids(tokenizer, x) for x in block]
+        assert len(asked) == len(set(asked)) and set(asked) <= code.cache.keys()      # no word is asked for again within a generation
+        if len(code.cache) > code.cache_words:
+            asked.clear()
+    assert code.older                                                                  # a later block began another generation

@@ -136,6 +136,17 @@ def _byte_level(text: str) -> str:
     return text if text.isascii() else codecs.charmap_decode(text.encode(), "strict", _WRITTEN)[0]
 
 
+class Words(dict):
+    """The ids of words; one that is absent is learned, kept and given."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class WordEncoder:
     """Encodes texts word by word with a cache, exactly as the tokenizer encodes whole texts.
 
@@ -144,8 +155,8 @@ class WordEncoder:
     normalizer, pre-tokenizer and model; words that hold a special token's text, and all texts of any
     other tokenizer, go through its whole encoder.  Latin letters with marks behind them
     skip the normalizer and pre-tokenizer where probes show that these lower the case and cut off the marks, no more.
-    The cache has two generations of at most ``cache_words`` words and those of one block of texts; a block's new words are
-    learned together."""
+    The cache has two generations of at most ``cache_words`` words and those of one block of texts; a word is learned where it is
+    first met."""
 
     MARKS = b".,;:!?*#$%&|<>()[]{}\"'-_/+=~^@`\\"
     LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")  # lower-case Latin: one code point each, stable under NFC
@@ -158,10 +169,12 @@ class WordEncoder:
         steps = (json.loads(before.__getstate__()) if before else {}).get("pretokenizers") or [{}]
         self.by_word = (steps[0].get("type"), steps[0].get("behavior"), steps[0].get("invert")) == ("Split", "Removed", True)
         self.cache_words = cache_words
-        self.cache, self.older = {}, {}
+        self.cache, self.older = Words(self._learned), {}
         if self.by_word:
             self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.special_low = [m.lower() for m in self.special]
             self.model, self.before = self.tokenizer.model, before
+            self.tokenize = self.model.tokenize
             self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
             probes = ["AZaz", "\u00c9t\u00e9\u0178\u0219", "\u00df"]
             self.probes = [(w, _byte_level(w.lower())) for w in probes]
@@ -188,52 +201,50 @@ class WordEncoder:
     def _ids(self, parts: list[str]) -> bytes:
         return np.array([token.id for part in parts for token in self.model.tokenize(part)], "<u4").tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Put the ids of these words into the cache."""
-        cache, older, ends, letters, tokenize, pack = self.cache, self.older, self.ends, self.LETTERS.fullmatch, self.model.tokenize, struct.pack
-        formats = [f"<{n}I" for n in range(64)]
-        for word in words:
-            ids = older.get(word)
-            if ids is None and self.plain:
-                body = word.rstrip(self.MARKS)
-                marks = word[len(body):]
-                end = ends[marks] if marks in ends else self._end(marks)
-                if end is None:
-                    low = b""
-                elif body.isalpha():  # of bytes: ASCII letters
-                    low = body.lower()
-                    plain = low.decode()
-                else:
-                    plain = body.decode().lower()
-                    low = plain.encode() if letters(plain) else b""
-                    plain = _byte_level(plain)
-                if low:  # a word is often known without its mark and capitals
-                    ids = cache.get(low) or older.get(low)
-                    if ids is None:
-                        found = [token.id for token in tokenize(plain)]
-                        ids = pack(formats[len(found)] if len(found) < 64 else f"<{len(found)}I", *found)
-                    cache[low] = ids
-                    ids += end
-            if ids is None:
-                ids = self._alone([word])[0] if any(m in word for m in self.special) else self._ids(self._parts(word.decode()))
-            cache[word] = ids
+    def _learned(self, word: bytes) -> bytes:
+        """The ids of a word that the newer generation lacks."""
+        ids = self.older.get(word)
+        if ids is not None:
+            return ids
+        if self.plain:
+            body = word.rstrip(self.MARKS)
+            marks = word[len(body):]
+            end = self.ends[marks] if marks in self.ends else self._end(marks)
+            if end is None:
+                low = b""
+            elif body.isalpha():  # of bytes: ASCII letters
+                low = body.lower()
+                plain = low.decode()
+            else:
+                plain = body.decode().lower()
+                low = plain.encode() if self.LETTERS.fullmatch(plain) else b""
+                plain = _byte_level(plain)
+            if low == word:
+                return self._packed(plain)
+            if low:  # a word is often known without its mark and capitals
+                ids = self.cache.get(low) or self.older.get(low) or self._packed(plain)
+                self.cache[low] = ids
+                return ids + end
+        return self._alone([word])[0] if any(m in word for m in self.special) else self._ids(self._parts(word.decode()))
+
+    def _packed(self, part: str) -> bytes:
+        found = [token.id for token in self.tokenize(part)]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian u32 ids of each text (UTF-8), without an end id; equal texts are encoded once."""
         if not self.by_word:
             return self._alone([t or b"" for t in texts])
         if len(self.cache) > self.cache_words:
-            self.cache, self.older = {}, self.cache
-        words = {t: self._lowered(t or b"").split() for t in set(texts)}
-        self._learn(set().union(*words.values()).difference(self.cache))
+            self.cache, self.older = Words(self._learned), self.cache
         known = self.cache.__getitem__
-        made = {t: b"".join(map(known, found)) for t, found in words.items()}
+        made = {t: b"".join(map(known, self._lowered(t or b"").split())) for t in set(texts)}
         return [made[t] for t in texts]
 
     def _lowered(self, text: bytes) -> bytes:
         """ASCII in lower case, as the normalizer would have it, unless that could spell a special token."""
         low = text.lower() if self.plain else text
-        return text if any(m.lower() in low for m in self.special) else low
+        return text if any(m in low for m in self.special_low) else low
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -250,11 +261,11 @@ def encoder(path: str, cache_words: int = CACHE_WORDS) -> WordEncoder:
 
 def packed_ids(ids: bytes) -> bytes:
     """Little-endian u32 ids as planes: the lowest byte of all, the next one of all, as many as the largest id has."""
-    planes = np.frombuffer(ids, np.uint8).reshape(-1, 4)
-    width = 4
-    while width > 1 and not planes[:, width - 1].any():
-        width -= 1
-    return bytes([width]) + planes[:, :width].T.tobytes()
+    values = np.frombuffer(ids, "<u4")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    if width == 2:  # most vocabularies
+        return b"\x02" + values.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
 
 
 def unpacked_ids(packed: bytes) -> np.ndarray:
