@@ -122,3 +122,51 @@ def test_words_are_learned_once_where_they_are_met(tokenizer):
         if len(code.cache) > code.cache_words:
             asked.clear()
     assert code.older                                                                  # a later block began another generation
+
+
+def test_rows_pass_a_few_at_a_time(spark, make_docs, tmp_path, monkeypatch):
+    """The jobs of ids and segments bound the rows of a batch between Spark and Python, and give the session's settings back."""
+    docs, arrow = make_docs([(i, sentence(1, 600)) for i in range(4000)]).coalesce(1), "spark.sql.execution.arrow."
+    names = [arrow + "maxRecordsPerBatch", arrow + "maxBytesPerBatch", "spark.sql.shuffle.partitions"]
+    before, plain, jobs = {n: spark.conf.get(n) for n in names}, type(docs).mapInArrow, []
+
+    def recorded(df, fn, schema):
+        at = f"{tmp_path}/{len(jobs)}"
+        jobs.append(at)
+
+        def run(batches):
+            def noted():
+                for batch in batches:
+                    with open(at, "a") as f:
+                        f.write(f"{batch.num_rows}\n")
+                    yield batch
+            yield from fn(noted())
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", recorded)
+    spark.conf.set(names[2], "1")
+    try:
+        rows = t.token_digests(docs).collect()
+        assert {n: spark.conf.get(n) for n in names[:2]} == {n: before[n] for n in names[:2]}
+    finally:
+        spark.conf.set(names[2], before[names[2]])
+    assert sorted(r["doc_id"] for r in rows) == list(range(4000)) and len({r["ids_crc32"] for r in rows}) == 1
+    sizes = [[int(line) for line in open(at)] for at in jobs[:2]]
+    assert [sum(job) for job in sizes] == [4000, 4000] and max(map(max, sizes)) <= 1000
+
+
+def test_a_row_group_has_some_segments(spark, make_docs, tmp_path):
+    import pyarrow.parquet as pq
+    words = np.random.default_rng(1).integers(0, 60_000, (400, 12_000))
+    docs = make_docs([(i, " ".join(map(str, row))) for i, row in enumerate(words.tolist())])
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1")
+    try:
+        t.write_token_files(docs.coalesce(4), t.default_tokenizer(), str(tmp_path / "t"), segment_tokens=240_000)
+    finally:
+        spark.conf.set(setting, before)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "t").glob("*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    sizes = [sum(g.column(i).total_compressed_size for i in range(g.num_columns)) for g in groups]
+    assert len(files) == 1 and files[0].num_rows < 100 and len(groups) > 1 and max(sizes) < 9 << 20

@@ -292,21 +292,28 @@ def encoded(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
     spark = docs.sparkSession
     out = shared_dir(spark, "ids")
     with small_batches(spark):
-        rows.mapInArrow(run, schema).write.option("compression", "none").parquet(out)  # ids are compressed already
+        rows.mapInArrow(run, schema).write.options(compression="none", **ROW_GROUPS).parquet(out)  # ids are compressed already
     return spark.read.parquet(out)
 
 
+#: A task holds a row group as it writes or reads one, whatever its file has.  Pages and groups are cut by size from the first row
+#: on; by default 100 rows are taken unseen, which for segments is some 120 MB.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
+
+
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, most_rows: int = 1_000):
-    """What is written in this block passes at most so many texts at a time between Spark and Python, which bounds the memory
-    of both beside a task's own; then the session's setting holds again."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(most_rows, int(before)) if int(before) > 0 else most_rows))
+def small_batches(spark: SparkSession, most_rows: int = 1_000, most_bytes: int = 2 << 20):
+    """What is written in this block passes at most so many rows, and about so many bytes (one row at least), at a time between Spark
+    and Python, which bounds the memory of both beside a task's own; then the session's settings hold again."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {name: spark.conf.get(name) for name in (rows, size)}
+    spark.conf.set(rows, str(min(most_rows, int(before[rows])) if int(before[rows]) > 0 else most_rows))
+    spark.conf.set(size, str(most_bytes))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text",
@@ -349,7 +356,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, id_col: st
         if ids:
             yield segment()
 
-    ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(out)
+    with small_batches(docs.sparkSession):
+        ordered.mapInArrow(run, schema).write.options(compression="zstd", **ROW_GROUPS).parquet(out)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
