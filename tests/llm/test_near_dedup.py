@@ -134,3 +134,22 @@ def test_recall_just_above_the_threshold(spark, make_docs, share):
     got = {r["doc_id"]: r["component_id"] for r in n.near_duplicates(make_docs(rows), width=3, threshold=(85, 100), rows=5).collect()}
     found = sum(got[2 * i + 1] == 2 * i for i in range(300))
     assert found == 300
+
+
+def test_size_estimates_stay_small_over_rounds(spark, monkeypatch):
+    """A long path takes several rounds; the planner's size estimates don't multiply from one to the next."""
+    names = list(range(400))
+    random.Random(3).shuffle(names)
+    edges = spark.createDataFrame(list(itertools.pairwise(names)), "_a long, _b long")
+    sizes, empty = [], type(edges).isEmpty
+
+    def size(df):
+        return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+
+    def noted(df):
+        sizes.append(size(df))
+        return empty(df)
+    monkeypatch.setattr(type(edges), "isEmpty", noted)
+    found = n.components(edges)
+    assert len(sizes) > 2 and max([*sizes, size(found)]) < 10 ** 30
+    assert {(r["_v"], r["_c"]) for r in found.collect()} == {(v, 0) for v in names}

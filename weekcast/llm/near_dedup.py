@@ -18,7 +18,7 @@ No task holds more than two blocks, no pair leaves a task unless it is confirmed
 forest does.  Components of the confirmed links are the result.
 
 The driver sees whether edges are left after a round, nothing else.  Components come from
-hooking and contraction on checkpointed tables.
+hooking and contraction on stored tables.
 
 Edge cases: a text without words has an empty set and is its own component; a text with fewer words
 than a shingle is one shingle of the whole sequence; rows with equal doc_id and text are rows of one class;
@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .common import documents, pieces, saved, text_key, utf8, without
 from .registry import query
 
@@ -162,8 +163,11 @@ def components(edges: DataFrame) -> DataFrame:
     Every round each vertex with a smaller neighbour is hooked to the least one, hooks are followed, and edges
     are drawn anew between where they lead, without loops and repetitions.  Two rounds follow hooks four steps far,
     which ends the stars that buckets make; if edges are left, later rounds follow them to their ends, so
-    that each at least halves the vertices that have edges.  Vertices of finished components take no part."""
-    left = saved(edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).filter("_a <> _b").distinct())
+    that each at least halves the vertices that have edges.  Vertices of finished components take no part.
+
+    The tables of a round are stored as files, whose sizes the planner reads.  A checkpoint keeps the estimate of its plan instead, a
+    product for each join, so that estimates grew to numbers of millions of digits in a few rounds, which the driver held and multiplied."""
+    left = stored(edges.select(F.greatest("_a", "_b").alias("_a"), F.least("_a", "_b").alias("_b")).filter("_a <> _b").distinct(), "edges")
     first, steps = left, []
 
     def followed(hook: DataFrame) -> DataFrame:
@@ -172,21 +176,21 @@ def components(edges: DataFrame) -> DataFrame:
         return hook.join(further, "_p", "left").select("_v", F.coalesce("_q", "_p").alias("_p"))
 
     while not left.isEmpty():
-        hook = saved(left.groupBy(F.col("_a").alias("_v")).agg(F.min("_b").alias("_p")))
-        hook = saved(followed(followed(hook)))
+        hook = stored(left.groupBy(F.col("_a").alias("_v")).agg(F.min("_b").alias("_p")), "hooks")
+        hook = stored(followed(followed(hook)), "hooks")
         while len(steps) >= 2:
-            longer = saved(followed(hook))
+            longer = stored(followed(hook), "hooks")
             if longer.exceptAll(hook).isEmpty():
                 break
             hook = longer
         steps.append(hook)
         x, y = hook.withColumnsRenamed({"_v": "_a", "_p": "_x"}), hook.withColumnsRenamed({"_v": "_b", "_p": "_y"})
         drawn = left.join(x, "_a", "left").join(y, "_b", "left").select(F.coalesce("_x", "_a").alias("_x"), F.coalesce("_y", "_b").alias("_y")).filter("_x <> _y")
-        left = saved(drawn.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).distinct())
+        left = stored(drawn.select(F.greatest("_x", "_y").alias("_a"), F.least("_x", "_y").alias("_b")).distinct(), "edges")
     found = first.select(F.col("_a").alias("_v")).union(first.select(F.col("_b").alias("_v"))).distinct().withColumn("_c", F.col("_v"))
     for hook in steps:
         found = found.join(hook.withColumnsRenamed({"_v": "_c", "_p": "_n"}), "_c", "left").select("_v", F.coalesce("_n", "_c").alias("_c"))
-    return saved(found)
+    return stored(found, "components")
 
 
 def linked_pairs(sets: list[np.ndarray], threshold: tuple[int, int], other: np.ndarray | None = None) -> list[tuple[int, int]]:
