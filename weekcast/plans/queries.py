@@ -865,9 +865,14 @@ def q_ml_forecast_quantities(spark, d):
 
 
 def _learned_forecast(spark, d):
-    """Trained and forecast from the same featured panel, so the sales are read once."""
+    """Trained and forecast from the same featured panel, so the sales are read once; the states that the forecast starts
+    from are made while the model is trained."""
     featured = f2_featured(spark, d)
-    return ml.forecast_ml(featured, _trained(spark, d, True, featured), CALENDAR, fx.holidays_table(spark), only_active=True, active_window=3)
+    pairs = dict(only_active=True, active_window=3)
+    with ml.wide_plan(spark):
+        art, state = ml.together(spark, lambda: _trained(spark, d, True, featured),
+                                 lambda: ml.starting_state(featured, ml.model_features(True), CALENDAR, **pairs))
+    return ml.forecast_ml(featured, art, CALENDAR, fx.holidays_table(spark), **pairs, state=state)
 
 
 @query("ml_save_load", with_ctes(base_ctes(SQL_SALES_DENSE, span="span"),
